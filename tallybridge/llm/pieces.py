@@ -8,8 +8,8 @@ tokens is an encoding just when all neighbours are compatible. Ids are then read
 Compatibility is decided by replaying the two tokens' own merges side by side and looking whether a merge across
 the border would come first. Characters that no piece has stand for themselves and become byte pieces.
 
-No piece has a space mark after another character (checked when the model is read), so nothing merges across
-such a place and texts are cut there; equal chunks are encoded once per slice and kept in a bounded cache.
+Where two neighbouring characters stand side by side in no piece, nothing ever merges across, so texts are cut
+there (at every new word, in particular); equal parts are encoded once per slice and kept in a bounded cache.
 
 Cases: a null or empty text has no ids and decodes to "". Repeated rows and ids are encoded row by row. Other
 input columns are not touched.
@@ -17,8 +17,6 @@ input columns are not touched.
 
 from __future__ import annotations
 
-import re
-
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -30,8 +28,8 @@ from pyspark.sql import functions as F
 from . import common
 
 SPACE = "▁"
-#: Chunks of which a worker keeps the ids; the cache is emptied when it is full.
-CACHE = 200_000
+#: Parts of which a worker keeps the ids; the cache is emptied when it is full.
+CACHE = 500_000
 NEVER = float("inf")
 
 
@@ -63,14 +61,21 @@ class Pieces:
         plain = [i for i in ids if i not in special and i not in self.byte_of]
         self.id_of = {self.names[i]: i for i in plain}
         self.rank = {self.names[i]: -model.get_score(i) for i in plain}
-        self.cuts = not any(SPACE in p.lstrip(SPACE) for p in self.id_of)
         self.steps: dict[int, tuple[list, bool]] = {}
         self.fits: dict[int, bool] = {}
         self.cache: dict[str, tuple[str, int, str]] = {}
         self.automaton = ahocorasick.Automaton()
         for i in plain:
-            self.automaton.add_word(self.names[i], (len(self.names[i]), i))
+            if self.merges(i)[1]:
+                self.automaton.add_word(self.names[i], (len(self.names[i]), i))
         self.automaton.make_automaton()
+        pairs = {(ord(p[k]), ord(p[k + 1])) for p in self.id_of for k in range(len(p) - 1)}
+        kind_of = {c: k for k, c in enumerate(sorted({c for pair in pairs for c in pair}), 1)}
+        self.kinds = np.zeros(max(kind_of, default=0) + 2, np.int32)
+        self.kinds[list(kind_of)] = list(kind_of.values())
+        self.beside = np.zeros((len(kind_of) + 1,) * 2, bool)
+        for x, y in pairs:
+            self.beside[kind_of[x], kind_of[y]] = True
 
     def merges(self, i: int) -> tuple[list, bool]:
         """The merges that build piece i: (rank, left end, right end) after each, and whether they end in the piece."""
@@ -109,18 +114,13 @@ class Pieces:
 
     def chunk_ids(self, chunk: str) -> list[int]:
         """The ids of a chunk in which spaces are space marks already."""
-        n, fits = len(chunk), self.fits
+        n, fits, filled = len(chunk), self.fits.get, -1
         last: list[int | None] = [None] * (n + 1)
         for end, (length, i) in self.automaton.iter(chunk):
-            if last[end + 1] is None:
-                start = end + 1 - length
-                before = last[start]  # None: the start, or a character without a piece
-                if before is None:
-                    good = True
-                elif (good := fits.get(before << 32 | i)) is None:
-                    good = self.compatible(before, i)
-                if good and self.merges(i)[1]:
-                    last[end + 1] = i
+            if end != filled:
+                before = last[end + 1 - length]  # None: the start, or a character without a piece
+                if before is None or (good := fits(before << 32 | i)) or (good is None and self.compatible(before, i)):
+                    last[end + 1], filled = i, end
         found, at = [], n
         while at:
             if (i := last[at]) is None:
@@ -133,16 +133,12 @@ class Pieces:
         return found[::-1]
 
     def encode(self, text: str | None) -> list[int]:
-        return [i for chunk in self.chunks(text) for i in self.chunk_ids(chunk)]
-
-    def chunks(self, text: str | None) -> list[str]:
-        if not text:
-            return []
-        marked = SPACE + text.replace(" ", SPACE)
-        return re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", marked) if self.cuts else [marked]
+        return self.chunk_ids(SPACE + text.replace(" ", SPACE)) if text else []
 
     def spell(self, ids) -> str:
         """The characters of ids, space marks as spaces."""
+        if self.byte_of.keys().isdisjoint(ids):
+            return "".join([self.names[i] for i in ids]).replace(SPACE, " ")
         out, raw = [], bytearray()
         for i in ids:
             if (b := self.byte_of.get(i)) is not None:
@@ -160,45 +156,46 @@ class Pieces:
         text = self.spell(ids)
         return text[1:] if text[:1] == " " else text
 
-    def known(self, chunk: str) -> tuple[str, int, str]:
-        """A chunk's ids as text, their number, and what they spell."""
-        if (found := self.cache.get(chunk)) is None:
-            ids = self.chunk_ids(chunk)
+    def known(self, part: str) -> tuple[str, int, str]:
+        """A part's ids as text, their number, and what they spell."""
+        if (found := self.cache.get(part)) is None:
+            ids = self.chunk_ids(part)
             found = ",".join(map(str, ids)), len(ids), self.spell(ids)
             if len(self.cache) >= CACHE:
                 self.cache.clear()
-            self.cache[chunk] = found
+            self.cache[part] = found
         return found
 
+    def borders(self, characters: np.ndarray) -> np.ndarray:
+        """Marks each character that no piece has right after the character before it: nothing merges there."""
+        kinds = self.kinds[np.minimum(characters, len(self.kinds) - 1)]
+        out = np.ones(len(characters), bool)
+        out[1:] = ~self.beside[kinds[:-1], kinds[1:]]
+        return out
+
 
 def encode_texts(pieces: Pieces, text: pa.Array) -> tuple[pa.Array, np.ndarray, pa.Array]:
     """Ids as text, number of ids and decoded text of each text."""
     text = pc.fill_null(text, "").cast(pa.large_string())
-    lists = pc.split_pattern(text, " ")
-    odd = pc.or_(pc.match_substring_regex(text, f"^ |  | $|{SPACE}"), pc.equal(text, ""))
-    special = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
-    if not pieces.cuts:
-        special = np.arange(len(text))
-    coded = lists.flatten().dictionary_encode()
-    found = [pieces.known(SPACE + chunk) for chunk in coded.dictionary.to_pylist()] if len(special) < len(text) else [("", 0, "")] * len(coded.dictionary)
-    bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
+    marked = pc.binary_join_element_wise(pc.if_else(pc.equal(text, ""), "", SPACE).cast(pa.large_string()), pc.replace_substring(text, " ", SPACE), pa.scalar("", pa.large_string()))
+    sizes = pc.binary_length(marked).to_numpy(zero_copy_only=False)
+    data = np.frombuffer(b"".join(pc.cast(marked, pa.large_binary()).to_pylist()), np.uint8)
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    cut = pieces.borders(np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32))
+    starts = np.cumsum(sizes) - sizes
+    cut[np.searchsorted(at, starts[sizes > 0])] = True
+    edges = np.concatenate([at[cut], [len(data)]])
+    parts = pa.Array.from_buffers(pa.large_string(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(data)])
+    parts = parts.dictionary_encode()
+    bounds = np.searchsorted(edges, np.concatenate([starts, [len(data)]]))
+    found = [pieces.known(x) for x in parts.dictionary.to_pylist()]
 
     def joined(values, by):
-        parts = pa.array(values, pa.string()).take(coded.indices)
-        return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), parts), by)
-
-    ids, spelt = joined([x[0] for x in found], ","), joined([x[2] for x in found], "")
-    spelt = pc.utf8_slice_codeunits(spelt, 1)
-    sizes = common.per_text(np.array([x[1] for x in found], np.int64)[coded.indices.to_numpy()], bounds)
-    if len(special):
-        own = [[pieces.known(c) for c in pieces.chunks(text[int(k)].as_py())] for k in special]
-        sizes[special] = [sum(x[1] for x in o) for o in own]
-        mask = np.zeros(len(text), bool)
-        mask[special] = True
-        ids = pc.replace_with_mask(ids, mask, pa.array([",".join(x[0] for x in o) for o in own], pa.string()))
-        plain = ["".join(x[2] for x in o) for o in own]
-        spelt = pc.replace_with_mask(spelt, mask, pa.array([x[1:] if x[:1] == " " else x for x in plain], pa.string()))
-    return ids, sizes, spelt
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, pa.string()).take(parts.indices)), by)
+
+    spelt = pc.utf8_slice_codeunits(joined([x[2] for x in found], ""), 1)  # without the first space mark
+    n_ids = common.per_text(np.array([x[1] for x in found], np.int64)[parts.indices.to_numpy()], bounds)
+    return joined([x[0] for x in found], ","), n_ids, spelt
 
 
 def encoded(docs: DataFrame, path: str | None = None, carry: list[str] | None = None) -> DataFrame:

@@ -1,8 +1,9 @@
 """The numbered queries and their SQL."""
 
-from . import repetition
+from . import pieces, repetition
 
 QUERIES = {
+    "op9_sentencepiece": pieces.op9_sentencepiece,
     "op1_repetition": repetition.op1_repetition,
 }
 
