@@ -1,8 +1,9 @@
 """The numbered queries and their SQL."""
 
-from . import pieces, repetition, token_counts
+from . import language, pieces, repetition, token_counts
 
 QUERIES = {
+    "op4_language": language.op4_language,
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op1_repetition": repetition.op1_repetition,
