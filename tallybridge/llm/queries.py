@@ -1,8 +1,9 @@
 """The numbered queries and their SQL."""
 
-from . import language, pieces, repetition, token_counts
+from . import language, pieces, repetition, token_counts, topk
 
 QUERIES = {
+    "op6_topk": topk.op6_topk,
     "op4_language": language.op4_language,
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_sentencepiece": pieces.op9_sentencepiece,
@@ -10,5 +11,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op6_topk": topk.ORACLE,
     "op1_repetition": repetition.ORACLE,
 }
