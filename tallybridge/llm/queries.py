@@ -1,8 +1,9 @@
 """The numbered queries and their SQL."""
 
-from . import language, pieces, repetition, token_counts, topk
+from . import language, mixing, pieces, repetition, token_counts, topk
 
 QUERIES = {
+    "op2_mixing": mixing.op2_mixing,
     "op6_topk": topk.op6_topk,
     "op4_language": language.op4_language,
     "op8_token_counts": token_counts.op8_token_counts,
@@ -11,6 +12,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_mixing": mixing.ORACLE,
     "op6_topk": topk.ORACLE,
     "op1_repetition": repetition.ORACLE,
 }
