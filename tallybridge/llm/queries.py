@@ -1,8 +1,9 @@
 """The numbered queries and their SQL."""
 
-from . import language, mixing, pieces, repetition, token_counts, topk
+from . import language, mixing, passages, pieces, repetition, token_counts, topk
 
 QUERIES = {
+    "op7_passages": passages.op7_passages,
     "op2_mixing": mixing.op2_mixing,
     "op6_topk": topk.op6_topk,
     "op4_language": language.op4_language,
@@ -12,6 +13,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op7_passages": passages.ORACLE,
     "op2_mixing": mixing.ORACLE,
     "op6_topk": topk.ORACLE,
     "op1_repetition": repetition.ORACLE,
