@@ -1,8 +1,9 @@
 """The numbered queries and their SQL."""
 
-from . import language, mixing, passages, pieces, repetition, token_counts, topk
+from . import language, mixing, near_copies, passages, pieces, repetition, token_counts, topk
 
 QUERIES = {
+    "op3_near_copies": near_copies.op3_near_copies,
     "op7_passages": passages.op7_passages,
     "op2_mixing": mixing.op2_mixing,
     "op6_topk": topk.op6_topk,
