@@ -130,3 +130,16 @@ def per_text(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(values) + 1, np.float64 if values.dtype.kind == "f" else np.int64)
     np.cumsum(values, out=sums[1:])
     return sums[bounds[1:]] - sums[bounds[:-1]]
+
+
+def loose(column):
+    """A column whose struct fields and list items may be null, as Spark declares the columns of Python functions."""
+
+    def kind(t: pa.DataType) -> pa.DataType:
+        if pa.types.is_struct(t):
+            return pa.struct([pa.field(f.name, kind(f.type)) for f in t])
+        if pa.types.is_list(t):
+            return pa.list_(kind(t.value_type))
+        return t
+
+    return column.cast(kind(column.type))

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 #: Characters of text in a group, about; hashes in a bucket, about.
 GROUP_CHARS, BUCKET_HASHES = 12 << 20, 2 << 20
 #: Range borders that are looked up by their place; a wider table is cut evenly within them.
@@ -124,3 +126,45 @@ def member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
     among = np.sort(among)
     at = np.minimum(np.searchsorted(among, values), len(among) - 1)
     return among[at] == values
+
+
+#: UTF-8 bytes of text that a task collects before it packs them by group.
+PACK_BYTES = 16 << 20
+
+
+def packed_rows(df: DataFrame) -> DataFrame:
+    """Rows of df (with grp and text) as compressed Arrow data, (grp, rows): what a shuffle by grp has to move."""
+
+    def flush(parts):
+        table = pa.Table.from_batches(parts).sort_by("grp").combine_chunks()
+        grp = table.column("grp").to_numpy()
+        cuts = np.flatnonzero(np.diff(grp)) + 1
+        names, blobs = [], []
+        for a, b in zip([0, *cuts], [*cuts, len(grp)]):
+            sink = pa.BufferOutputStream()
+            own = table.slice(a, b - a).drop_columns(["grp"])
+            with pa.ipc.new_stream(sink, own.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(own)
+            names.append(int(grp[a]))
+            blobs.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], ["grp", "rows"])
+
+    def run(batches):
+        parts, size = [], 0
+        for batch in batches:
+            for part in slices(batch):
+                parts.append(part)
+                size += part.nbytes if part.num_rows == batch.num_rows else batch.nbytes * part.num_rows // batch.num_rows
+                if size > PACK_BYTES:
+                    yield flush(parts)
+                    parts, size = [], 0
+        if parts:
+            yield flush(parts)
+
+    return df.mapInArrow(run, "grp int, rows binary")
+
+
+def rows_of(table: pa.Table) -> pa.Table:
+    """The rows of a group, by doc_id (null last) and text; other columns do not matter for their order."""
+    parts = [pa.ipc.open_stream(x.as_buffer()).read_all() for x in table.column("rows")]
+    return pa.concat_tables(parts).sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()

@@ -141,7 +141,7 @@ def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray],
                 score = np.clip(near.max(1).astype(np.float64), 0, 1)
                 none = (letters == 0) | (not langs)
                 best[none], score[none] = len(langs), 0
-                yield pa.RecordBatch.from_arrays([part.column("row"), names.take(pa.array(best)), pa.array(score), pa.array(none | (score < least))], ["row", "lang_pred", "score", "rejected"])
+                yield pa.RecordBatch.from_arrays([common.loose(part.column("row")), names.take(pa.array(best)), pa.array(score), pa.array(none | (score < least))], ["row", "lang_pred", "score", "rejected"])
 
     kind = made.schema["row"].dataType.simpleString()
     return made.mapInArrow(run, f"row {kind}, lang_pred string, score double, rejected boolean").select("row.*", "lang_pred", "score", "rejected")

@@ -44,7 +44,7 @@ def text_windows(text: pa.Array, width: int):
 
 def send(width: int, bits: int):
     def run(keys, table):
-        parts = [(found, checks) for _, _, _, found, checks, _, _ in text_windows(table.column("text").combine_chunks(), width)]
+        parts = [(found, checks) for _, _, _, found, checks, _, _ in text_windows(groups.rows_of(table).column("text").combine_chunks(), width)]
         hashes, checks = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
         order = np.argsort(hashes, kind="stable")
         hashes, checks = hashes[order], checks[order]
@@ -56,7 +56,8 @@ def send(width: int, bits: int):
 
 def remove(width: int):
     def run(keys, table, told):
-        ids = table.column("doc_id").cast(pa.int64())
+        table = groups.rows_of(table)
+        ids = table.column("doc_id").combine_chunks().cast(pa.int64())
         doc_ids = ids.fill_null(LAST).to_numpy()
         earlier = np.sort(groups.gathered(told)[1])
         parts = list(text_windows(table.column("text").combine_chunks(), width))
@@ -92,8 +93,9 @@ def remove(width: int):
 
 def deduplicated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_words, n_removed, spans (words first to last, last excluded), kept (the words left) and its sha256."""
+    common.small_batches(docs.sparkSession)
     base, chars = groups.grouped(docs.select("doc_id", "text"))
-    by_group = base.groupBy("grp")
+    by_group = groups.packed_rows(base).groupBy("grp")
     sent = by_group.applyInArrow(send(width, groups.bucket_bits(chars // 6)), groups.MESSAGE)
     told = sent.groupBy("bucket").applyInArrow(groups.later_groups, groups.REPLY)
     schema = "doc_id long, n_words long, n_removed long, spans array<struct<first: int, last: int>>, kept string, kept_sha256 string"

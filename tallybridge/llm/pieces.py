@@ -213,7 +213,7 @@ def encoded(docs: DataFrame, path: str | None = None, carry: list[str] | None =
         for batch in batches:
             for part in common.slices(batch):
                 ids, sizes, spelt = encode_texts(pieces, part.column("text"))
-                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(sizes, pa.int64()), ids, spelt], ["row", "n_tokens", "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([common.loose(part.column("row")), pa.array(sizes, pa.int64()), ids, spelt], ["row", "n_tokens", "ids", "decoded"])
 
     kind = made.schema["row"].dataType.simpleString()
     return made.mapInArrow(run, f"row {kind}, n_tokens long, ids string, decoded string").select("row.*", "n_tokens", "ids", "decoded")
