@@ -29,6 +29,8 @@ from . import common
 from .components import linked
 
 SHINGLE, LEAST, BANDS, ROWS = 5, 0.8, 32, 5
+#: Stands for a null doc_id.
+NO_ID = (1 << 63) - 1
 
 
 def shingles(text: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -161,8 +163,8 @@ def similar(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def classes(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int = ROWS, carry: list[str] | None = None) -> DataFrame:
-    """carry's columns (doc_id by default) and class_id of every row of docs (doc_id, text)."""
+def links(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(node, root) of the texts of docs that are linked to another; node: xxhash64 of a text."""
     common.small_batches(docs.sparkSession)
     texts = docs.select(F.xxhash64("text").alias("node"), "text").filter("text IS NOT NULL")
     keyed = banded(texts, bands, rows).dropDuplicates(["node"]).select(F.explode("keys").alias("key"), "node")
@@ -176,12 +178,31 @@ def classes(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int
         one = pairs.join(bag_of.select(F.col("node").alias("a"), F.col("bag").alias("x")), "a")
         return similar(one.join(bag_of.select(F.col("node").alias("b"), F.col("bag").alias("y")), "b").select("a", "b", "x", "y"), least)
 
-    labels = linked(members, verify)
-    rows_ = docs.select(F.struct(*(carry or ["doc_id"])).alias("row"), F.col("doc_id").cast("long").alias("id"), F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("node"), F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False)).alias("some"))
-    alone = rows_.filter("NOT some").select("row.*", F.col("id").alias("class_id"))
-    rooted = rows_.filter("some").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = rooted.groupBy("root").agg(F.min("id").alias("class_id"))
-    return rooted.join(named, "root").select("row.*", "class_id").unionByName(alone)
+    return linked(members, verify)
+
+
+def keyed_rows(docs: DataFrame, *carry: str) -> tuple[DataFrame, DataFrame]:
+    """(row, id, node) of the rows with a word, and of those without; a null id is the largest."""
+    some = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    rows = docs.select(F.struct(*carry).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("node"), some.alias("some"))
+    return rows.filter("some").drop("some"), rows.filter("NOT some").drop("some")
+
+
+def classes(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """doc_id and class_id of every row of docs (doc_id, text)."""
+    some, alone = keyed_rows(docs, "doc_id")
+    rooted = some.join(links(docs, least, bands, rows), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = rooted.groupBy("root").agg(F.min("id").alias("name"))
+    named = rooted.join(named, "root").select("row.*", "name").unionByName(alone.select("row.*", F.col("id").alias("name")))
+    return named.select("doc_id", F.when(F.col("name") != NO_ID, F.col("name")).alias("class_id"))
+
+
+def representatives(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """One whole row of docs for each class: that of the smallest doc_id, then of the text that hashes lowest."""
+    some, alone = keyed_rows(docs, *docs.columns)
+    rooted = some.select("id", "node").join(links(docs, least, bands, rows), "node", "left")
+    first = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(F.struct("id", "node")).alias("first")).select("first.*")
+    return some.join(first, ["id", "node"], "left_semi").dropDuplicates(["id", "node"]).select("row.*").unionByName(alone.select("row.*"))
 
 
 def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """The numbered queries and their SQL."""
 
-from . import language, lines, mixing, near_copies, passages, pieces, repetition, token_counts, topk
+from . import language, lines, mixing, near_copies, passages, pieces, repetition, scoring, token_counts, topk
 
 QUERIES = {
+    "op5_scoring": scoring.op5_scoring,
     "op10_lines": lines.op10_lines,
     "op3_near_copies": near_copies.op3_near_copies,
     "op7_passages": passages.op7_passages,
