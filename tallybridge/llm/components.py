@@ -17,6 +17,8 @@ from .common import written
 
 #: Centres per bucket and round: the first round takes one, the next 4, then 16 each.
 MOST_CENTRES = 16
+#: When the buckets that are still mixed have so few pairs, per member at the start, one last round takes them all.
+LAST_ROUND = 4
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -41,19 +43,28 @@ def components(edges: DataFrame) -> DataFrame:
 def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(node, root) of the nodes that verified pairs link; members: (key, node), a bucket's nodes.
 
-    Each round, every bucket with nodes of two or more components picks centres, proposes the pairs of a centre and a
+    Copies find each other through centres: each round, every bucket with nodes of two or more components picks centres, proposes the pairs of a centre and a
     node of another component, and retires the centres. So a pair of one bucket is either verified or its two nodes
     are in one component already: the components are those of all similar pairs. verify gets distinct pairs
-    (a, b), a < b, and returns those that are similar.
+    (a, b), a < b, and returns those that are similar. Once what is left is small (chance neighbours of different
+    components), the last round proposes every pair of it that joins two components.
     """
     alive = written(members.select("key", "node").distinct(), "bucket-members")
+    at_start = alive.count()
     labels = tried = edges = None
     for k in itertools.count():
         at_once = min(4**k, MOST_CENTRES)
         rooted = alive.withColumn("root", F.col("node")) if labels is None else alive.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
         rooted = written(rooted.join(mixed, "key", "left_semi"), "bucket-members")
-        if rooted.isEmpty():
+        left = rooted.groupBy("key").agg(F.count("*").alias("n")).agg(F.sum(F.expr("n * (n - 1) / 2")).alias("pairs")).first()["pairs"]
+        if not left:
+            break
+        if k and left <= LAST_ROUND * at_start:
+            others = rooted.select("key", F.col("node").alias("other"), F.col("root").alias("other_root"))
+            pairs = rooted.join(others, "key").filter("node < other AND root <> other_root").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
+            edges = written(edges.unionByName(verify(written(pairs.join(tried, ["a", "b"], "left_anti"), "pairs"))), "links")
+            labels = components(edges)
             break
         picks = [F.min("node").alias("c0")] + [F.min_by("node", F.xxhash64("node", F.lit(i))).alias(f"c{i}") for i in range(1, at_once)]
         centres = rooted.groupBy("key").agg(*picks).select("key", F.explode(F.array_distinct(F.array(*[f"c{i}" for i in range(at_once)]))).alias("centre"))
