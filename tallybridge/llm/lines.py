@@ -125,9 +125,9 @@ def shared_bands(keys, table):
 
 
 def candidates(keys, table, told):
-    """(node, line, keys) of the lines of a group that share a band; node: group and number of the line."""
+    """(node, line, size, keys) of the lines of a group that share a band; node: group and number of the line; size: its shingles."""
     if not told.num_rows:
-        return pa.table([pa.array([], pa.int64()), pa.array([], pa.string()), pa.array([], pa.list_(pa.int64()))], ["node", "line", "keys"])
+        return pa.table([pa.array([], pa.int64()), pa.array([], pa.string()), pa.array([], pa.int64()), pa.array([], pa.list_(pa.int64()))], ["node", "line", "size", "keys"])
     _, _, distinct, _ = lines_of(groups.rows_of(table).column("text").combine_chunks())
     _, hashes, number = groups.gathered(told, np.uint32)
     order = np.argsort(number, kind="stable")
@@ -135,7 +135,24 @@ def candidates(keys, table, told):
     starts = np.flatnonzero(np.diff(number.astype(np.int64), prepend=-1))
     lists = pa.ListArray.from_arrays(pa.array([*starts, len(number)], pa.int32()), pa.array(hashes.view(np.int64)))
     nodes = (np.int64(keys[0].as_py()) << 32) + number[starts].astype(np.int64)
-    return pa.table([pa.array(nodes), distinct.take(pa.array(number[starts].astype(np.int64))).cast(pa.string()), lists], ["node", "line", "keys"])
+    lines = distinct.take(pa.array(number[starts].astype(np.int64)))
+    owner, _ = distinct_shingles(lines)
+    return pa.table([pa.array(nodes), lines.cast(pa.string()), pa.array(np.bincount(owner, minlength=len(lines))), lists], ["node", "line", "size", "keys"])
+
+
+def distinct_shingles(lines: pa.Array, side: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and hash of each line's distinct shingles, sorted by both; the hash's last bit is ``side``."""
+    owner, found = line_shingles(lines.cast(pa.large_string()))
+    return distinct_sorted(owner, found & ~np.uint64(1) | np.uint64(side))
+
+
+def distinct_sorted(owner: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(found)
+    small = owner[order].astype(np.uint16) if len(owner) and owner.max() < 1 << 16 else owner[order]  # 16 bits are sorted by counting
+    order = order[np.argsort(small, kind="stable")]
+    owner, found = owner[order], found[order]
+    fresh = np.concatenate([[True], (owner[1:] != owner[:-1]) | (found[1:] != found[:-1])]) if len(found) else np.zeros(0, bool)
+    return owner[fresh], found[fresh]
 
 
 def similar(pairs: DataFrame, least: float) -> DataFrame:
@@ -143,19 +160,14 @@ def similar(pairs: DataFrame, least: float) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in common.slices(batch, "x"):
-                sets = []
-                for c in ("x", "y"):
-                    owner, found = line_shingles(part.column(c).cast(pa.large_string()))
-                    order = np.lexsort((found, owner))
-                    owner, found = owner[order], found[order]
-                    fresh = np.concatenate([[True], (owner[1:] != owner[:-1]) | (found[1:] != found[:-1])]) if len(found) else np.zeros(0, bool)
-                    sets.append((owner[fresh], found[fresh]))
-                owner, found = (np.concatenate([s[k] for s in sets]) for k in (0, 1))
-                order = np.lexsort((found, owner))
-                owner, found = owner[order], found[order]
+            for part in common.slices(batch, "x", 1 << 20):
+                sides = [line_shingles(part.column(c).cast(pa.large_string())) for c in ("x", "y")]
+                owner = np.concatenate([owner for owner, _ in sides])
+                owner, found = distinct_sorted(owner, np.concatenate([found & ~np.uint64(1) | np.uint64(k) for k, (_, found) in enumerate(sides)]))
+                n = np.bincount(owner, minlength=part.num_rows)
+                found = found >> np.uint64(1)
                 both = np.bincount(owner[1:][(owner[1:] == owner[:-1]) & (found[1:] == found[:-1])], minlength=part.num_rows)
-                good = pa.array(both >= least * (np.bincount(owner, minlength=part.num_rows) - both) - 1e-9)
+                good = pa.array(both >= least * (n - both) - 1e-9)
                 yield pa.RecordBatch.from_arrays([part.column(c).filter(good) for c in ("a", "b")], ["a", "b"])
 
     return pairs.mapInArrow(run, "a long, b long")
@@ -192,12 +204,15 @@ def deduplicated(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows
     exact = by_group.applyInArrow(send_lines(groups.bucket_bits(chars // 300)), groups.MESSAGE).groupBy("bucket").applyInArrow(groups.later_groups, groups.REPLY)
     banded = by_group.cogroup(exact.groupBy("grp")).applyInArrow(send_bands(groups.bucket_bits(chars // 300 * bands), bands, rows), groups.MESSAGE)
     shared = banded.groupBy("bucket").applyInArrow(shared_bands, groups.REPLY)
-    found = by_group.cogroup(shared.groupBy("grp")).applyInArrow(candidates, "node long, line string, keys array<long>")
+    found = by_group.cogroup(shared.groupBy("grp")).applyInArrow(candidates, "node long, line string, size long, keys array<long>")
     found = common.written(found, "line-candidates")
 
     def verify(pairs):
-        one = pairs.join(found.select(F.col("node").alias("a"), F.col("line").alias("x")), "a")
-        return similar(one.join(found.select(F.col("node").alias("b"), F.col("line").alias("y")), "b").select("a", "b", "x", "y"), least)
+        """Sets whose sizes differ too much cannot be similar; the others are compared."""
+        sizes = found.select("node", "size")
+        pairs = pairs.join(sizes.toDF("a", "m"), "a").join(sizes.toDF("b", "n"), "b").filter(F.least("m", "n") >= least * F.greatest("m", "n") - 1e-9)
+        lines = found.select("node", "line")
+        return similar(pairs.select("a", "b").join(lines.toDF("a", "x"), "a").join(lines.toDF("b", "y"), "b").select("a", "b", "x", "y"), least)
 
     labels = linked(found.select(F.explode("keys").alias("key"), "node"), verify).filter("node <> root")
     near = labels.select(F.shiftright("node", 32).cast("int").alias("grp"), F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("payload"), F.col("node").bitwiseAND(F.lit((1 << 32) - 1)).alias("number"))
