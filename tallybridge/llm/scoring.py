@@ -50,7 +50,7 @@ class EliasFano:
         n = len(values)
         top = int(values[-1]) if n else 0
         low = min(56, max(0, (top // max(n, 1)).bit_length() - 1))
-        bits = ((values[:, None] >> np.arange(low, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8) if low else np.zeros((n, 0), np.uint8)
+        bits = np.unpackbits(np.ascontiguousarray(values).view(np.uint8).reshape(n, 8), axis=1, bitorder="little")[:, :low]
         ones = (values >> np.uint64(low)).astype(np.int64) + np.arange(n)
         high = np.zeros(int(ones[-1]) + 1 if n else 0, np.uint8)
         high[ones] = 1
@@ -61,10 +61,11 @@ class EliasFano:
         self.n, self.low, size, unary = (int(x) for x in data[:32].view(np.int64))
         self.packed = data[32 : 32 + size + 16]
         self.size = 48 + size + unary
-        self.ones = np.flatnonzero(np.unpackbits(data[48 + size : self.size], bitorder="little"))
+        self.high = np.flatnonzero(np.unpackbits(data[48 + size : self.size], bitorder="little"))
+        self.high -= np.arange(len(self.high))
 
     def at(self, i: np.ndarray) -> np.ndarray:
-        high = (self.ones[i] - i).astype(np.uint64) << np.uint64(self.low)
+        high = self.high[i].astype(np.uint64) << np.uint64(self.low)
         if not self.low:
             return high
         bit = i.astype(np.int64) * self.low
@@ -72,14 +73,20 @@ class EliasFano:
         return high | words >> (bit & 7).astype(np.uint64) & np.uint64((1 << self.low) - 1)
 
     def search(self, target: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """The first place in [start, end) whose value is target or more (end: none)."""
-        start, end = start.copy(), end.copy()
-        while len(open_ := np.flatnonzero(start < end)):
-            middle = (start[open_] + end[open_]) >> 1
+        """The first place in [start, end) whose value is target or more (end: none).
+
+        The unary part gives the run of equal high bits; within it, low bits are compared by halving.
+        """
+        high = (target >> np.uint64(self.low)).astype(np.int64)
+        place = np.maximum(np.searchsorted(self.high, high), start)
+        last = np.minimum(np.searchsorted(self.high, high, side="right"), end)
+        place = np.minimum(place, end)
+        while len(open_ := np.flatnonzero(place < last)):
+            middle = (place[open_] + last[open_]) >> 1
             less = self.at(middle) < target[open_]
-            start[open_[less]] = middle[less] + 1
-            end[open_[~less]] = middle[~less]
-        return start
+            place[open_[less]] = middle[less] + 1
+            last[open_[~less]] = middle[~less]
+        return place
 
 
 class Trie:
@@ -243,19 +250,25 @@ def answer_pairs(mass: float):
             data = np.frombuffer(payload.as_buffer(), np.uint8)
             n, size = (int(x) for x in data[:16].view(np.int64))
             first, n_context, successors = groups.unpack(data[16 : 16 + size], np.uint64, np.uint32)
-            parts.append((np.repeat(first, successors), np.repeat(n_context, successors), *of_planes(data[16 + size :], n, np.uint64, np.uint32, np.uint16)))
-        part, n_context, word, count, prior = (np.concatenate(c) for c in zip(*parts))
-        seen = np.flatnonzero(count > 0)
-        seen = seen[np.lexsort((word[seen], part[seen]))]
-        fresh = np.concatenate([[True], (part[seen][1:] != part[seen][:-1]) | (word[seen][1:] != word[seen][:-1])]) if len(seen) else np.zeros(0, bool)
+            parts.append((first, successors, np.repeat(n_context, successors), *of_planes(data[16 + size :], n, np.uint64, np.uint32, np.uint16)))
+        contexts = np.unique(np.concatenate([p[0] for p in parts]))
+        place = np.concatenate([np.repeat(np.searchsorted(contexts, first).astype(np.uint64), successors) for first, successors, *_ in parts])
+        n_context, word, count, prior = (np.concatenate(c) for c in zip(*[p[2:] for p in parts]))
+        keys = place << np.uint64(WORD_BITS) | word
+        order = np.argsort(keys, kind="stable")  # merges the groups' sorted runs
+        keys = keys[order]
+        fresh = np.concatenate([[True], keys[1:] != keys[:-1]])
         starts = np.flatnonzero(fresh)
-        total = np.add.reduceat(count[seen].astype(np.float64), starts) if len(starts) else np.zeros(0)
-        one = seen[starts]
+        one, keys = order[starts], keys[starts]
+        part, word = contexts[keys >> np.uint64(WORD_BITS)], keys & np.uint64((1 << WORD_BITS) - 1)
+        total = np.add.reduceat(count[order].astype(np.float64), starts)
         p = (total + mass * 10.0 ** (prior[one] / -2048.0)) / (n_context[one] + mass)
         code = np.round(-np.log10(p) * STEP).clip(0, NONE - 1).astype(np.uint16)
-        trie = Trie(mapped(Trie.build(part[one], word[one], code)))
-        found = trie.lookup(part, word)
-        at = np.cumsum([0, *(len(p[0]) for p in parts)])
+        seen = total > 0
+        trie = Trie(mapped(Trie.build(part[seen], word[seen], code[seen])))
+        found = np.empty(len(order), np.uint16)
+        found[order] = trie.lookup(part, word)[np.cumsum(fresh) - 1]
+        at = np.cumsum([0, *(len(p[2]) for p in parts)])
         rows = [planes(found[a:b]) for a, b in zip(at[:-1], at[1:])]
         return pa.table([table.column("bucket"), table.column("grp"), pa.array(rows, pa.binary())], ["bucket", "grp", "payload"])
 
