@@ -96,6 +96,21 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """1, base, base^2, ... modulo 2^64; kept between calls while they are no longer than some slices."""
+    if base not in _powers or len(_powers[base]) < n:
+        out = np.full(max(n, 1), np.uint64(base))
+        out[0] = 1
+        np.multiply.accumulate(out, out=out)
+        if n > 4 * SLICE_BYTES:
+            return out
+        _powers[base] = out
+    return _powers[base][:n]
+
+
 def windows(values: np.ndarray, bounds: np.ndarray, width: int, base: int = 0x9E3779B97F4A7C15) -> tuple[np.ndarray, np.ndarray]:
     """Rabin-Karp: a 64-bit rolling hash of each run of ``width`` values that lies within one text.
 
@@ -107,14 +122,7 @@ def windows(values: np.ndarray, bounds: np.ndarray, width: int, base: int = 0x9E
     starts = np.flatnonzero(np.arange(n) + width <= ends)
     if not len(starts):
         return starts, np.zeros(0, np.uint64)
-    odd = np.uint64(base | 1)
-    inverse = np.uint64(pow(int(odd), -1, 1 << 64))
-    up = np.full(n, odd)
-    up[0] = 1
-    down = np.full(n, inverse)
-    down[0] = 1
-    np.multiply.accumulate(up, out=up)
-    np.multiply.accumulate(down, out=down)
+    up, down = powers(base | 1, n), powers(pow(base | 1, -1, 1 << 64), n)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(values * down, out=sums[1:])
     return starts, mix((sums[starts + width] - sums[starts]) * up[starts])

@@ -23,62 +23,64 @@ LAST_ROUND = 4
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of edges (a, b): root is the smallest node of its component."""
-    stars = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
-    stars = written(stars, "stars")
-    sign = None
-    while True:
+    stars = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "stars")
+    while not _is_forest(stars):
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         stars = written(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "stars")
-        now = tuple(stars.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v", F.lit(1)).cast("decimal(38,0)"))).first())
-        if now == sign:
-            break
-        sign = now
     return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(node, root) of the nodes that verified pairs link; members: (key, node), a bucket's nodes.
+def _is_forest(stars: DataFrame) -> bool:
+    """Whether every node points to one root only, and no root points on."""
+    ends = stars.select(F.col("u").alias("node"), F.lit(1).alias("points"), F.lit(0).alias("root")).unionByName(stars.select(F.col("v").alias("node"), F.lit(0).alias("points"), F.lit(1).alias("root")))
+    return ends.groupBy("node").agg(F.sum("points").alias("points"), F.max("root").alias("root")).filter("points + root > 1").isEmpty()
+
+
+def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], least: float) -> DataFrame:
+    """(node, root) of the nodes that verified pairs link; members: (key, node, size), a bucket's nodes, two or more.
 
-    Copies find each other through centres: each round, every bucket with nodes of two or more components picks centres, proposes the pairs of a centre and a
-    node of another component, and retires the centres. So a pair of one bucket is either verified or its two nodes
-    are in one component already: the components are those of all similar pairs. verify gets distinct pairs
-    (a, b), a < b, and returns those that are similar. Once what is left is small (chance neighbours of different
+    Copies find each other through centres: each round, every bucket with nodes of two or more components picks centres,
+    proposes the pairs of a centre and a node of another component, and retires the centres. So a pair of one bucket
+    is either verified or its two nodes are in one component already: the components are those of all similar pairs.
+    Pairs of sets whose sizes differ by more than ``least`` allows cannot be similar and are left out. verify gets distinct
+    pairs (a, b), a < b, and returns those that are similar. Once what is left is small (chance neighbours of different
     components), the last round proposes every pair of it that joins two components.
     """
-    alive = written(members.select("key", "node").distinct(), "bucket-members")
+    alive = written(members.select("key", "node", "size"), "bucket-members")
     at_start = alive.count()
     labels = tried = edges = None
+    alike = F.least("size", "other_size") >= least * F.greatest("size", "other_size") - 1e-9
     for k in itertools.count():
-        at_once = min(4**k, MOST_CENTRES)
-        rooted = alive.withColumn("root", F.col("node")) if labels is None else alive.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
-        rooted = written(rooted.join(mixed, "key", "left_semi"), "bucket-members")
-        left = rooted.groupBy("key").agg(F.count("*").alias("n")).agg(F.sum(F.expr("n * (n - 1) / 2")).alias("pairs")).first()["pairs"]
-        if not left:
-            break
-        if k and left <= LAST_ROUND * at_start:
-            others = rooted.select("key", F.col("node").alias("other"), F.col("root").alias("other_root"))
-            pairs = rooted.join(others, "key").filter("node < other AND root <> other_root").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
-            edges = written(edges.unionByName(verify(written(pairs.join(tried, ["a", "b"], "left_anti"), "pairs"))), "links")
-            labels = components(edges)
-            break
-        picks = [F.min("node").alias("c0")] + [F.min_by("node", F.xxhash64("node", F.lit(i))).alias(f"c{i}") for i in range(1, at_once)]
-        centres = rooted.groupBy("key").agg(*picks).select("key", F.explode(F.array_distinct(F.array(*[f"c{i}" for i in range(at_once)]))).alias("centre"))
-        centres = centres.join(rooted.select("key", F.col("node").alias("centre"), F.col("root").alias("centre_root")), ["key", "centre"])
-        centres = written(centres, "centres")
-        pairs = rooted.join(centres, "key").filter("root <> centre_root").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
+        if labels is None:
+            rooted = alive.withColumn("root", F.col("node"))
+        else:
+            rooted = alive.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).filter("low <> high")
+            rooted = written(rooted.join(mixed.select("key", "n"), "key"), "bucket-members")
+            left = rooted.agg(F.sum(F.expr("(n - 1) / 2")).alias("pairs")).first()["pairs"]
+            if not left:
+                break
+            rooted = rooted.drop("n")
+        last = k > 0 and left <= LAST_ROUND * at_start
+        other = rooted.select("key", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("size").alias("other_size"))
+        if not last:
+            order = lambda i: F.struct((F.col("node") if i == 0 else F.xxhash64("node", F.lit(i))).alias("by"), "node", "root", "size")
+            picks = [F.min(order(i)).alias(f"c{i}") for i in range(min(4**k, MOST_CENTRES))]
+            several = F.array_distinct(F.array(*[F.struct(F.col(f"c{i}.node"), F.col(f"c{i}.root"), F.col(f"c{i}.size")) for i in range(len(picks))]))
+            other = rooted.groupBy("key").agg(*picks).select("key", F.explode(several).alias("c")).select("key", F.col("c.node").alias("other"), F.col("c.root").alias("other_root"), F.col("c.size").alias("other_size"))
+            other = other if k == 0 else written(other, "centres")
+        pairs = rooted.join(other, "key").filter((F.col("root") != F.col("other_root")) & alike & (F.col("node") < F.col("other") if last else F.lit(True)))
+        pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+        pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
         found = written(verify(pairs), "links")
         edges = found if edges is None else edges.unionByName(found)
         labels = components(edges)
-        alive = rooted.select("key", "node").join(centres.select("key", F.col("centre").alias("node")), ["key", "node"], "left_anti")
-    if labels is None:
-        labels = members.select("node", F.col("node").alias("root")).limit(0)
+        if last:
+            break
+        alive = rooted.drop("root").join(other.select("key", F.col("other").alias("node")), ["key", "node"], "left_anti")
     return labels

@@ -136,23 +136,18 @@ def candidates(keys, table, told):
     lists = pa.ListArray.from_arrays(pa.array([*starts, len(number)], pa.int32()), pa.array(hashes.view(np.int64)))
     nodes = (np.int64(keys[0].as_py()) << 32) + number[starts].astype(np.int64)
     lines = distinct.take(pa.array(number[starts].astype(np.int64)))
-    owner, _ = distinct_shingles(lines)
-    return pa.table([pa.array(nodes), lines.cast(pa.string()), pa.array(np.bincount(owner, minlength=len(lines))), lists], ["node", "line", "size", "keys"])
+    return pa.table([pa.array(nodes), lines.cast(pa.string()), pa.array(shingle_counts(lines)), lists], ["node", "line", "size", "keys"])
 
 
-def distinct_shingles(lines: pa.Array, side: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Owner and hash of each line's distinct shingles, sorted by both; the hash's last bit is ``side``."""
+def shingle_counts(lines: pa.Array) -> np.ndarray:
+    """The number of distinct shingles of each line."""
     owner, found = line_shingles(lines.cast(pa.large_string()))
-    return distinct_sorted(owner, found & ~np.uint64(1) | np.uint64(side))
-
-
-def distinct_sorted(owner: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(found)
-    small = owner[order].astype(np.uint16) if len(owner) and owner.max() < 1 << 16 else owner[order]  # 16 bits are sorted by counting
-    order = order[np.argsort(small, kind="stable")]
-    owner, found = owner[order], found[order]
-    fresh = np.concatenate([[True], (owner[1:] != owner[:-1]) | (found[1:] != found[:-1])]) if len(found) else np.zeros(0, bool)
-    return owner[fresh], found[fresh]
+    cuts = np.searchsorted(owner, np.arange(len(lines) + 1)).tolist()
+    sizes = np.zeros(len(lines), np.int64)
+    for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+        one = np.sort(found[a:b] >> np.uint64(1))
+        sizes[k] = 1 + np.count_nonzero(one[1:] != one[:-1])
+    return sizes
 
 
 def similar(pairs: DataFrame, least: float) -> DataFrame:
@@ -161,13 +156,20 @@ def similar(pairs: DataFrame, least: float) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in common.slices(batch, "x", 1 << 20):
-                sides = [line_shingles(part.column(c).cast(pa.large_string())) for c in ("x", "y")]
-                owner = np.concatenate([owner for owner, _ in sides])
-                owner, found = distinct_sorted(owner, np.concatenate([found & ~np.uint64(1) | np.uint64(k) for k, (_, found) in enumerate(sides)]))
-                n = np.bincount(owner, minlength=part.num_rows)
-                found = found >> np.uint64(1)
-                both = np.bincount(owner[1:][(owner[1:] == owner[:-1]) & (found[1:] == found[:-1])], minlength=part.num_rows)
-                good = pa.array(both >= least * (n - both) - 1e-9)
+                sides = []
+                for side, c in enumerate(("x", "y")):
+                    owner, found = line_shingles(part.column(c).cast(pa.large_string()))
+                    cuts = np.searchsorted(owner, np.arange(part.num_rows + 1)).tolist()
+                    sides.append((found & ~np.uint64(1) | np.uint64(side), cuts))
+                (x, at_x), (y, at_y) = sides
+                good = np.zeros(part.num_rows, bool)
+                for k in range(part.num_rows):
+                    one = np.concatenate([x[at_x[k] : at_x[k + 1]], y[at_y[k] : at_y[k + 1]]])
+                    one.sort()
+                    one = one[np.concatenate([[True], one[1:] != one[:-1]])] >> np.uint64(1)
+                    both = np.count_nonzero(one[1:] == one[:-1])
+                    good[k] = both >= least * (len(one) - both) - 1e-9
+                good = pa.array(good)
                 yield pa.RecordBatch.from_arrays([part.column(c).filter(good) for c in ("a", "b")], ["a", "b"])
 
     return pairs.mapInArrow(run, "a long, b long")
@@ -208,13 +210,10 @@ def deduplicated(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows
     found = common.written(found, "line-candidates")
 
     def verify(pairs):
-        """Sets whose sizes differ too much cannot be similar; the others are compared."""
-        sizes = found.select("node", "size")
-        pairs = pairs.join(sizes.toDF("a", "m"), "a").join(sizes.toDF("b", "n"), "b").filter(F.least("m", "n") >= least * F.greatest("m", "n") - 1e-9)
         lines = found.select("node", "line")
-        return similar(pairs.select("a", "b").join(lines.toDF("a", "x"), "a").join(lines.toDF("b", "y"), "b").select("a", "b", "x", "y"), least)
+        return similar(pairs.join(lines.toDF("a", "x"), "a").join(lines.toDF("b", "y"), "b").select("a", "b", "x", "y"), least)
 
-    labels = linked(found.select(F.explode("keys").alias("key"), "node"), verify).filter("node <> root")
+    labels = linked(found.select(F.explode("keys").alias("key"), "node", "size"), verify, least).filter("node <> root")
     near = labels.select(F.shiftright("node", 32).cast("int").alias("grp"), F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("payload"), F.col("node").bitwiseAND(F.lit((1 << 32) - 1)).alias("number"))
     told = exact.select("grp", F.lit(0).alias("kind"), "payload", F.lit(None).cast("long").alias("number")).unionByName(near)
     kind = base.schema["row"].dataType.simpleString()

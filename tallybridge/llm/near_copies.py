@@ -113,7 +113,7 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def banded(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(node, keys) of each row of texts (node, text) that has a word."""
+    """(node, keys, size) of each row of texts (node, text) that has a word; size: its shingles."""
 
     def run(batches):
         for batch in batches:
@@ -122,9 +122,9 @@ def banded(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                 keys = band_keys(signatures(owner, element, weight, part.num_rows, bands * rows), bands, rows)
                 some = np.unique(owner)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(keys[some].ravel()), bands).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column("node").take(pa.array(some)), lists], ["node", "keys"])
+                yield pa.RecordBatch.from_arrays([part.column("node").take(pa.array(some)), lists, pa.array(np.bincount(owner, weights=weight).astype(np.int64)[some])], ["node", "keys", "size"])
 
-    return texts.mapInArrow(run, "node long, keys array<long>")
+    return texts.mapInArrow(run, "node long, keys array<long>, size long")
 
 
 def packed_bags(texts: DataFrame) -> DataFrame:
@@ -167,7 +167,7 @@ def links(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int =
     """(node, root) of the texts of docs that are linked to another; node: xxhash64 of a text."""
     common.small_batches(docs.sparkSession)
     texts = docs.select(F.xxhash64("text").alias("node"), "text").filter("text IS NOT NULL")
-    keyed = banded(texts, bands, rows).dropDuplicates(["node"]).select(F.explode("keys").alias("key"), "node")
+    keyed = banded(texts, bands, rows).dropDuplicates(["node"]).select(F.explode("keys").alias("key"), "node", "size")
     keyed = common.written(keyed, "bands")
     full = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("key")
     members = common.written(keyed.join(full, "key", "left_semi"), "band-members")
@@ -178,7 +178,7 @@ def links(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int =
         one = pairs.join(bag_of.select(F.col("node").alias("a"), F.col("bag").alias("x")), "a")
         return similar(one.join(bag_of.select(F.col("node").alias("b"), F.col("bag").alias("y")), "b").select("a", "b", "x", "y"), least)
 
-    return linked(members, verify)
+    return linked(members, verify, least)
 
 
 def keyed_rows(docs: DataFrame, *carry: str) -> tuple[DataFrame, DataFrame]:
