@@ -18,7 +18,7 @@ from .common import written
 #: Centres per bucket and round: the first round takes one, the next 4, then 16 each.
 MOST_CENTRES = 16
 #: When the buckets that are still mixed have so few pairs, per member at the start, one last round takes them all.
-LAST_ROUND = 4
+LAST_ROUND = 1
 
 
 def components(edges: DataFrame) -> DataFrame:
