@@ -59,6 +59,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES)
     cuts = np.flatnonzero(np.diff(part)) + 1
     for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
         yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()  # workers live on between stages
 
 
 def split_words(text) -> tuple[np.ndarray, pa.Array, np.ndarray]:
@@ -96,19 +97,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-_powers: dict[int, np.ndarray] = {}
-
-
 def powers(base: int, n: int) -> np.ndarray:
-    """1, base, base^2, ... modulo 2^64; kept between calls while they are no longer than some slices."""
-    if base not in _powers or len(_powers[base]) < n:
-        out = np.full(max(n, 1), np.uint64(base))
-        out[0] = 1
-        np.multiply.accumulate(out, out=out)
-        if n > 4 * SLICE_BYTES:
-            return out
-        _powers[base] = out
-    return _powers[base][:n]
+    """1, base, base^2, ... modulo 2^64."""
+    out = np.full(n, np.uint64(base))
+    out[0] = 1
+    return np.multiply.accumulate(out, out=out)
 
 
 def windows(values: np.ndarray, bounds: np.ndarray, width: int, base: int = 0x9E3779B97F4A7C15) -> tuple[np.ndarray, np.ndarray]:

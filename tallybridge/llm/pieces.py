@@ -29,7 +29,7 @@ from . import common
 
 SPACE = "▁"
 #: Parts of which a worker keeps the ids; the cache is emptied when it is full.
-CACHE = 500_000
+CACHE = 150_000
 NEVER = float("inf")
 
 
@@ -107,7 +107,7 @@ class Pieces:
                     known = True
                     break
                 i, j = (i + 1, j) if next_a <= next_b else (i, j + 1)
-            if len(self.fits) > 2_000_000:
+            if len(self.fits) > 4 * CACHE:
                 self.fits.clear()
             self.fits[key] = known
         return known
