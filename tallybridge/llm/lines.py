@@ -104,7 +104,7 @@ def send_bands(bits: int, bands: int, rows: int):
         _, _, distinct, _ = lines_of(groups.rows_of(table).column("text").combine_chunks())
         mine = np.flatnonzero(firsts(distinct, told))
         batch, found = pa.RecordBatch.from_arrays([distinct.take(pa.array(mine))], ["text"]), []
-        for part in common.slices(batch):
+        for part in common.slices(batch, most=1 << 18):  # arrays hold eight bytes or more for each character
             found.append(line_bands(part.column("text"), bands, rows))
         hashes = np.concatenate(found).ravel() if found else np.zeros(0, np.uint64)
         number = np.repeat(mine.astype(np.uint32), bands)
