@@ -43,8 +43,9 @@ def lines_of(text: pa.Array) -> tuple[pa.Array, np.ndarray, pa.Array, np.ndarray
 
 
 def line_hashes(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    digests = np.array([divmod(xxhash.xxh3_128_intdigest(x), 1 << 64) for x in lines.cast(pa.large_binary()).to_pylist()], object).reshape(-1, 2)
-    return digests[:, 1].astype(np.uint64), (digests[:, 0].astype(np.uint64) >> np.uint64(48)).astype(np.uint16)
+    digest = xxhash.xxh3_128_digest
+    both = np.frombuffer(b"".join([digest(x) for x in lines.cast(pa.large_binary()).to_pylist()]), ">u8").reshape(-1, 2).astype(np.uint64)
+    return both[:, 1].copy(), (both[:, 0] >> np.uint64(48)).astype(np.uint16)
 
 
 def line_shingles(lines: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
