@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .common import slices
 
 #: Characters of text in a group, about; hashes in a bucket, about.
-GROUP_CHARS, BUCKET_HASHES = 12 << 20, 2 << 20
+GROUP_CHARS, BUCKET_HASHES = 8 << 20, 1 << 20
 #: Range borders that are looked up by their place; a wider table is cut evenly within them.
 BORDERS = 4096
 
@@ -166,5 +166,6 @@ def packed_rows(df: DataFrame) -> DataFrame:
 
 def rows_of(table: pa.Table) -> pa.Table:
     """The rows of a group, by doc_id (null last) and text; other columns do not matter for their order."""
+    pa.default_memory_pool().release_unused()  # what the group before has left
     parts = [pa.ipc.open_stream(x.as_buffer()).read_all() for x in table.column("rows")]
     return pa.concat_tables(parts).sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()
