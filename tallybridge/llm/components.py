@@ -17,8 +17,9 @@ from .common import written
 
 #: Centres per bucket and round: the first round takes one, the next 4, then 16 each.
 MOST_CENTRES = 16
-#: When the buckets that are still mixed have so few pairs, per member at the start, one last round takes them all.
-LAST_ROUND = 1
+#: When the buckets that are still mixed have so few pairs per member at the start, one last round takes them all: as
+#: many as members in the second round, four times as many in the third, sixteen times in the fourth, and so on.
+LAST_ROUND = 4
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -65,7 +66,7 @@ def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], least:
             if not left:
                 break
             rooted = rooted.drop("n")
-        last = k > 0 and left <= LAST_ROUND * at_start
+        last = k > 0 and left <= LAST_ROUND ** (k - 1) * at_start
         other = rooted.select("key", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("size").alias("other_size"))
         if not last:
             order = lambda i: F.struct((F.col("node") if i == 0 else F.xxhash64("node", F.lit(i))).alias("by"), "node", "root", "size")
