@@ -1,11 +1,11 @@
 """Line dedup: equal and nearly equal lines, one line of each component stays.
 
-Lines of at least MIN_CHARS characters take part; shorter ones always stay. Groups of documents (ranges of doc_id)
-first settle equal lines: each group sends hashes of its distinct lines to hash buckets, which tell all but the
-smallest group. Each line's first occurrence then gets a MinHash signature of its character shingles (one
-permutation with bins; empty bins borrow from full ones), cut into bands. Lines that share a band are candidates;
-their Jaccard similarity is verified on whole shingle sets, and distributed union-find makes components of the pairs
-at or above LEAST. Of a component the first line by (doc_id, place) stays.
+All lines that are not blank take part, however short. Groups of documents (ranges of doc_id) first settle equal
+lines: each group sends hashes of its distinct lines to hash buckets, which tell all but the smallest group. Each
+line's first occurrence then gets a MinHash signature of its character shingles (one permutation with bins; empty bins
+borrow from full ones), cut into bands. Lines that share a band are candidates; their Jaccard similarity is verified
+on whole shingle sets, and distributed union-find makes components of the pairs at or above LEAST. Of a component the
+first line by (doc_id, place) stays.
 
 Missed pairs: a pair of similarity 0.8 shares no band with probability of about 4e-4, less above.
 
@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 from . import common, groups
 from .components import linked
 
-SHINGLE, LEAST, BANDS, ROWS, MIN_CHARS = 8, 0.8, 20, 5, 20
+SHINGLE, LEAST, BANDS, ROWS = 8, 0.8, 20, 5
+#: One: every line takes part that is not blank.
+MIN_CHARS = 1
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 

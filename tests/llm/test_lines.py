@@ -83,3 +83,9 @@ def test_planted(spark, group_chars, monkeypatch):
 
 def test_empty(spark):
     assert lines.deduplicated(frame(spark, ["a"]).limit(0)).count() == 0
+
+
+def test_short_lines(spark):
+    texts = ["Of, edti oner.\nAnd ornd.\nx\nThe quick brown fo", "And ornd.\n\nOf, edti oner.\nown", "x\n--------\n \nAnd ornd.", "---------\nThe quick brown fox\n"]
+    out = got(lines.deduplicated(frame(spark, texts)))
+    assert out == [(0, 4, 0, texts[0]), (1, 4, 2, "\nown"), (2, 4, 2, "--------\n "), (3, 3, 2, "")]
