@@ -3,7 +3,10 @@
 A text is a vector over hashed character 2- and 3-grams (lower case; everything but letters is one space): term
 frequencies 1 + ln(tf) times idf, divided by the length. Each language has up to ``clusters`` centroids, found by
 spherical k-means over its training vectors. The language of the nearest centroid by cosine wins; a text whose best
-cosine is below ``least`` is rejected.
+cosine is below ``least`` or below that language's bound for texts of its length is rejected. Bounds are calibrated
+on the sample: centroids of one half of it score the other half, whole and cut short, and a band of lengths (by
+letters, doubling) gets MARGIN times the QUANTILE of those cosines. Bands with fewer than ENOUGH texts have no bound
+but ``least``.
 
 The model is fitted on a bounded sample of labelled rows: about SAMPLE per language, those whose id hashes lowest.
 k-means runs in one Spark task per language over that sample, and the model (languages x clusters x DIMENSIONS
@@ -27,6 +30,10 @@ from . import common
 DIMENSIONS, CLUSTERS, LEAST = 4096, 4, 0.05
 #: Labelled rows per language that the model is fitted on, about.
 SAMPLE = 1500
+#: Of the cosines of a language's own texts in a band of lengths, this share may lie below the bound over MARGIN.
+QUANTILE, MARGIN, ENOUGH = 0.01, 0.75, 50
+#: Bands are [EDGES[i], EDGES[i + 1]) letters; texts shorter than the first edge have no bound but ``least``.
+EDGES = (16, 32, 64, 128, 256, 512, 1024)
 #: Characters that a word n-gram ends at.
 BLANK = 32
 
@@ -76,6 +83,21 @@ def centroids(x: np.ndarray, clusters: int, rounds: int = 8) -> np.ndarray:
     return chosen
 
 
+def bands_of(letters: np.ndarray) -> np.ndarray:
+    """Each text's band of lengths; 0 is below the first edge."""
+    return np.searchsorted(EDGES, letters, side="right")
+
+
+def calibrated(score: np.ndarray, band: np.ndarray) -> list[float]:
+    """Each band's bound on the cosine, 0 where too few texts are in it."""
+    bounds = [0.0] * (len(EDGES) + 1)
+    for k in range(1, len(bounds)):
+        mine = score[band == k]
+        if len(mine) >= ENOUGH:
+            bounds[k] = MARGIN * float(np.quantile(mine, QUANTILE))
+    return bounds
+
+
 def bounded_slices(batch: pa.RecordBatch):
     """Slices of few bytes and few rows: a row is DIMENSIONS counts."""
     for part in common.slices(batch, most=1 << 20):
@@ -83,24 +105,32 @@ def bounded_slices(batch: pa.RecordBatch):
             yield part.slice(a, 512)
 
 
-def fit(labelled: DataFrame, clusters: int = CLUSTERS, sample: int = SAMPLE) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Fits on about ``sample`` rows (doc_id, text, lang) per language: the centroids' languages, centroids, and idf."""
-    rows = labelled.select("doc_id", "text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
+def fit(labelled: DataFrame, clusters: int = CLUSTERS, sample: int = SAMPLE) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Fits on about ``sample`` rows (doc_id, text, lang) per language: the centroids' languages, centroids, idf, and bounds by band."""
+    rows = labelled.select("doc_id", "text", "lang", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int").alias("half")).filter("text IS NOT NULL AND lang IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
-        return [], np.zeros((0, DIMENSIONS), np.float32), np.ones(DIMENSIONS)
+        return [], np.zeros((0, DIMENSIONS), np.float32), np.ones(DIMENSIONS), np.zeros((0, len(EDGES) + 1))
     share = F.create_map(*[F.lit(v) for k, n in sorted(sizes.items()) for v in (k, min(1.0, sample / n))])
     part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
 
     def count(batches):
         for batch in batches:
             for part in bounded_slices(batch):
-                counts, letters = grams(part.column("text"))
-                keep = np.flatnonzero(letters > 0)
-                packed = [np.minimum(counts[k], 65535).astype(np.uint16).tobytes() for k in keep]
-                yield pa.RecordBatch.from_arrays([part.column("lang").take(pa.array(keep)), pa.array(packed, pa.binary())], ["lang", "counts"])
+                text, half = part.column("text"), part.column("half")
+                yield packed(part.column("lang"), text, half)
+                for edge in EDGES:  # what the second half scores when it is cut to about so many letters; half 2
+                    most = edge * 5 // 4
+                    cut = part.filter(pc.and_(pc.equal(half, 1), pc.greater(pc.utf8_length(text), most)))
+                    yield packed(cut.column("lang"), pc.utf8_slice_codeunits(cut.column("text"), 0, most), pa.array(np.full(cut.num_rows, 2), pa.int32()))
+
+    def packed(lang, text, half):
+        counts, letters = grams(text)
+        keep = np.flatnonzero(letters > 0)
+        bags = [np.minimum(counts[k], 65535).astype(np.uint16).tobytes() for k in keep]
+        return pa.RecordBatch.from_arrays([lang.take(pa.array(keep)), pa.array(bags, pa.binary()), pa.array(letters[keep], pa.int64()), half.take(pa.array(keep))], ["lang", "counts", "letters", "half"])
 
-    picked = common.written(rows.filter(part < share[F.col("lang")]).mapInArrow(count, "lang string, counts binary"), "language-sample")
+    picked = common.written(rows.filter(part < share[F.col("lang")]).mapInArrow(count, "lang string, counts binary, letters long, half int"), "language-sample")
 
     def frequencies(batches):
         seen, n = np.zeros(DIMENSIONS, np.int64), 0
@@ -110,25 +140,34 @@ def fit(labelled: DataFrame, clusters: int = CLUSTERS, sample: int = SAMPLE) ->
                 n += 1
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([seen.tolist()], pa.list_(pa.int64()))], ["n", "seen"])
 
-    parts = picked.mapInArrow(frequencies, "n long, seen array<long>").collect()
+    parts = picked.filter("half < 2").mapInArrow(frequencies, "n long, seen array<long>").collect()
     n, seen = sum(p["n"] for p in parts), np.sum([p["seen"] for p in parts], axis=0)
     idf = np.log((1 + n) / (1 + seen)) + 0.1
 
     def cluster(key, table):
-        counts = np.stack([np.frombuffer(row.as_buffer(), np.uint16) for row in table.column("counts")])
-        counts = counts[np.lexsort(counts.T[:8])]
-        found = centroids(vectors(counts, idf), clusters)
-        return pa.table({"lang": [key[0].as_py()] * len(found), "centroid": [x.tolist() for x in found.astype(np.float32)]}, schema=pa.schema([("lang", pa.string()), ("centroid", pa.list_(pa.float32()))]))
-
-    found = picked.groupBy("lang").applyInArrow(cluster, "lang string, centroid array<float>").collect()
+        half, letters = table.column("half").to_numpy(), table.column("letters").to_numpy()
+        rows_at = lambda among: np.stack([np.frombuffer(row.as_buffer(), np.uint16) for row in table.column("counts").take(pa.array(among))])
+        counts = rows_at(np.flatnonzero(half < 2))
+        order = np.lexsort(counts.T[:8])
+        x, first = vectors(counts[order], idf), (half[half < 2] == 0)[order]
+        found, bounds = centroids(x, clusters), [0.0] * (len(EDGES) + 1)
+        if first.any() and not first.all():
+            centres, others = centroids(x[first], clusters), np.flatnonzero(half > 0)
+            score = [(vectors(rows_at(others[a : a + 512]), idf) @ centres.T).max(1) for a in range(0, len(others), 512)]
+            bounds = calibrated(np.concatenate(score), bands_of(letters[others]))
+        kind = pa.schema([("lang", pa.string()), ("centroid", pa.list_(pa.float32())), ("bounds", pa.list_(pa.float64()))])
+        return pa.table({"lang": [key[0].as_py()] * len(found), "centroid": [x.tolist() for x in found.astype(np.float32)], "bounds": [bounds] * len(found)}, schema=kind)
+
+    found = picked.groupBy("lang").applyInArrow(cluster, "lang string, centroid array<float>, bounds array<double>").collect()
     found.sort(key=lambda r: r["lang"])
-    return [r["lang"] for r in found], np.array([r["centroid"] for r in found], np.float32).reshape(len(found), DIMENSIONS), idf
+    bounds = np.array([r["bounds"] for r in found], np.float64).reshape(len(found), len(EDGES) + 1)
+    return [r["lang"] for r in found], np.array([r["centroid"] for r in found], np.float32).reshape(len(found), DIMENSIONS), idf, bounds
 
 
-def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], least: float = LEAST, carry: list[str] | None = None) -> DataFrame:
+def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray, np.ndarray], least: float = LEAST, carry: list[str] | None = None) -> DataFrame:
     """carry's columns (doc_id by default) with lang_pred, score (cosine, 0 to 1) and rejected (boolean) of each row."""
     common.small_batches(docs.sparkSession)
-    langs, centres, idf = model
+    langs, centres, idf, bounds = model
     made = docs.select(F.struct(*(carry or ["doc_id"])).alias("row"), "text")
 
     def run(batches):
@@ -139,9 +178,10 @@ def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray],
                 near = vectors(counts, idf) @ centres.T if langs else np.zeros((len(counts), 1), np.float32)
                 best = near.argmax(1)
                 score = np.clip(near.max(1).astype(np.float64), 0, 1)
+                most = np.maximum(least, bounds[best, bands_of(letters)]) if langs else least
                 none = (letters == 0) | (not langs)
                 best[none], score[none] = len(langs), 0
-                yield pa.RecordBatch.from_arrays([common.loose(part.column("row")), names.take(pa.array(best)), pa.array(score), pa.array(none | (score < least))], ["row", "lang_pred", "score", "rejected"])
+                yield pa.RecordBatch.from_arrays([common.loose(part.column("row")), names.take(pa.array(best)), pa.array(score), pa.array(none | (score < most))], ["row", "lang_pred", "score", "rejected"])
 
     kind = made.schema["row"].dataType.simpleString()
     return made.mapInArrow(run, f"row {kind}, lang_pred string, score double, rejected boolean").select("row.*", "lang_pred", "score", "rejected")

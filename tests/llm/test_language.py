@@ -1,3 +1,6 @@
+import random
+import string
+
 from tallybridge.llm import language
 
 from .conftest import frame
@@ -17,3 +20,18 @@ def test_nothing_to_learn_from(spark):
     model = language.fit(frame(spark, ["a"]).limit(0))
     assert [r.lang_pred for r in language.predicted(frame(spark, ["a b", None]), model).collect()] == ["und", "und"]
     assert language.predicted(frame(spark, ["a"]).limit(0), model).count() == 0
+
+
+def test_unlearned_and_gibberish(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(docs)
+    r = random.Random(3)
+    polish = "Wczoraj wieczorem poszliśmy do starego miasta, żeby zobaczyć nowe przedstawienie w teatrze. Było bardzo zimno, ale ludzie stali w długiej kolejce i czekali cierpliwie na otwarcie drzwi. Po spektaklu wróciliśmy do domu przez park i rozmawialiśmy o tym, co nas najbardziej zaskoczyło. Wszyscy zgodzili się, że muzyka była piękna."
+    strange = [polish, polish * 3, "".join(r.choices("asdfghjkl ;", k=600)), "".join(r.choices(string.ascii_lowercase + "    ", k=600)), "".join(r.choices(string.ascii_letters + string.digits, k=600))]
+    got = {x.doc_id: x.rejected for x in language.predicted(frame(spark, strange), model).collect()}
+    assert all(got[k] for k in range(len(strange)))
+    rows = language.predicted(docs, model).collect()
+    assert sum(x.rejected for x in rows) <= 0.005 * len(rows)
+    short = [x.text[:60] for x in docs.select("text").collect() if len(x.text) >= 60]
+    rows = language.predicted(frame(spark, short), model).collect()
+    assert sum(x.rejected for x in rows) <= 0.02 * len(rows)
