@@ -16,7 +16,7 @@ from tallybridge.llm import common, language, lines, mixing, near_copies, pieces
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that language identification does not reject."""
     model = language.fit(docs)
-    return language.predicted(docs, model, carry=docs.columns).filter("NOT rejected").select(*docs.columns)
+    return language.kept(docs, model)
 
 
 def thin_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

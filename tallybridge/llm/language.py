@@ -166,9 +166,19 @@ def fit(labelled: DataFrame, clusters: int = CLUSTERS, sample: int = SAMPLE) ->
 
 def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray, np.ndarray], least: float = LEAST, carry: list[str] | None = None) -> DataFrame:
     """carry's columns (doc_id by default) with lang_pred, score (cosine, 0 to 1) and rejected (boolean) of each row."""
+    return judged(docs, model, least, carry or ["doc_id"]).select("row.*", "lang_pred", "score", "rejected")
+
+
+def kept(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray, np.ndarray], least: float = LEAST) -> DataFrame:
+    """The rows of docs that are not rejected, whatever their columns are called."""
+    return judged(docs, model, least, docs.columns).filter("NOT rejected").select("row.*")
+
+
+def judged(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray, np.ndarray], least: float, carry: list[str]) -> DataFrame:
+    """carry's columns as a struct row, with lang_pred, score and rejected."""
     common.small_batches(docs.sparkSession)
     langs, centres, idf, bounds = model
-    made = docs.select(F.struct(*(carry or ["doc_id"])).alias("row"), "text")
+    made = docs.select(F.struct(*carry).alias("row"), "text")
 
     def run(batches):
         names = pa.array([*langs, "und"], pa.string())
@@ -184,7 +194,7 @@ def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray, n
                 yield pa.RecordBatch.from_arrays([common.loose(part.column("row")), names.take(pa.array(best)), pa.array(score), pa.array(none | (score < most))], ["row", "lang_pred", "score", "rejected"])
 
     kind = made.schema["row"].dataType.simpleString()
-    return made.mapInArrow(run, f"row {kind}, lang_pred string, score double, rejected boolean").select("row.*", "lang_pred", "score", "rejected")
+    return made.mapInArrow(run, f"row {kind}, lang_pred string, score double, rejected boolean")
 
 
 def held_out(n: int):

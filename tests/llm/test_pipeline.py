@@ -54,3 +54,10 @@ def test_language_held_out(spark):
     rows = out.join(truth, "doc_id").filter("held_out").collect()
     assert sum(r.lang == r.lang_pred for r in rows) >= 0.98 * len(rows)
     assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_language_clashing_columns(spark):
+    docs = frame(spark, ["the cat and the dog", "", "the dog"], lang_pred="a", score=2, rejected=True, row=3)
+    kept = corpus_pipeline.identify(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.lang_pred, r.score, r.rejected, r.row) for r in kept.collect()) == [(0, "a", 2, True, 3), (2, "a", 2, True, 3)]
