@@ -7,10 +7,10 @@ is passed down by halving the interval until one unit of weight is left, and cou
 element's weight. So equal units of two bags have equal points, and two components agree with just the weighted
 Jaccard similarity. Points come in ascending order, and a process stops at the signature's largest component.
 
-Documents that agree in a band are candidates; pairs are verified by the similarity of the two whole multisets (units
-as 32-bit hashes: two different ones are taken for equal once in four billion comparisons), and the components of
-all pairs at or above LEAST are classes. Equal texts are one node throughout, so a group of
-exact copies costs one.
+Documents that agree in a band are candidates; pairs are verified by the similarity of the two whole multisets, and the
+components of all pairs at or above LEAST are classes. Units are 63-bit hashes: in a pair of bags of n and m units,
+about n * m / 2^63 unequal ones are taken for equal, 1e-7 for a million words each. Equal texts are one node
+throughout, so a group of exact copies costs one.
 
 Missed pairs: a pair of similarity 0.8 shares no band with probability below 1e-5, less above.
 
@@ -129,7 +129,7 @@ def banded(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
 
 
 def packed_bags(texts: DataFrame) -> DataFrame:
-    """(node, bag): the units of each multiset as sorted 32-bit hashes, so that pairs can be shuffled with both bags."""
+    """(node, bag): the units of each multiset as sorted 63-bit hashes, so that pairs can be shuffled with both bags."""
 
     def run(batches):
         for batch in batches:
@@ -140,7 +140,7 @@ def packed_bags(texts: DataFrame) -> DataFrame:
                 again = place - np.maximum.accumulate(np.where(fresh, place, 0)) if len(found) else place
                 units = common.mix(found + again.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 cuts = np.searchsorted(owner, np.arange(part.num_rows + 1))
-                units = (units >> np.uint64(32)).astype(np.uint32)
+                units = units >> np.uint64(1)
                 rows = [np.sort(units[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
                 yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(rows, pa.binary())], ["node", "bag"])
 
@@ -154,9 +154,9 @@ def similar(pairs: DataFrame, least: float) -> DataFrame:
         for batch in batches:
             good = np.zeros(batch.num_rows, bool)
             for k, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"))):
-                x, y = np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 if min(len(x), len(y)) >= least * max(len(x), len(y)):
-                    both = np.concatenate([x.astype(np.uint64) << np.uint64(1), y.astype(np.uint64) << np.uint64(1) | np.uint64(1)])
+                    both = np.concatenate([x << np.uint64(1), y << np.uint64(1) | np.uint64(1)])
                     both.sort(kind="stable")
                     shared = int(np.count_nonzero(both[1:] ^ both[:-1] == 1))
                     good[k] = shared >= least * (len(both) - shared) - 1e-9

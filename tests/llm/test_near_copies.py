@@ -86,3 +86,11 @@ def test_components(spark):
         for a, b in pairs:
             parent[a] = parent[b] = min(parent[a], parent[b])
     assert found == {k: v for k, v in parent.items() if sum(k in p for p in pairs if p[0] != p[1])}
+
+
+def test_units_that_agree_in_32_bits(spark):
+    texts = ["a b c d e155185", "a b c d e173593", "a b c d e155185"]  # one shingle each
+    bags = near_copies.packed_bags(spark.createDataFrame(list(enumerate(texts)), "node long, text string")).collect()
+    units = {r.node: r.bag for r in bags}
+    pairs = spark.createDataFrame([(a, b, units[a], units[b]) for a, b in ((0, 1), (0, 2))], "a long, b long, x binary, y binary")
+    assert [(r.a, r.b) for r in near_copies.similar(pairs, 0.8).collect()] == [(0, 2)]
