@@ -1,25 +1,43 @@
-"""Connected components over candidate buckets, wholly in Spark.
+"""Classes of similar sets, wholly in Spark: which pairs of candidate buckets to verify, and union-find over them.
 
 ``components`` is distributed union-find by alternating large and small stars: only minima per node are aggregated
 (with map-side combining) and joined back, so a node with very many links never gathers them in one task.
-``linked`` verifies what buckets propose, linear in their sizes per round and without losing a link.
+
+``linked`` verifies what buckets propose without proposing all pairs of a bucket:
+
+1. Every bucket has a centre, its node with the fullest buckets: of a family of copies that is the original or near it.
+   Pairs of a node and a centre are verified, at most one per bucket membership, and merged.
+2. Buckets with nodes of one component are done. Of the others, those of up to SMALL nodes propose their pairs across
+   components: fewer than SMALL per membership.
+3. Larger ones propose pairs by a prefix index. All nodes of one centre are a family; its sets are ordered alike, what the
+   centre lacks first and what the centre has, too, last. Two sets of N and M elements are similar only if they share
+   t / (1 + t) * (N + M) elements, so their first common element has at least so many from there on in either set. A set
+   is listed under its first elements only, for each class of partner sizes just as far as that allows. Elements that
+   a whole family shares therefore are not listed for the few sets that are far from the centre.
+
+So a pair of one bucket is either verified, or its nodes are in one component already, or it is not similar: the
+components are those of all similar pairs of the buckets.
 """
 
 from __future__ import annotations
 
-import itertools
+import hashlib
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import mix, slices, written
+
+#: Nodes of a bucket whose pairs are proposed at once.
+SMALL = 16
+#: The next class of sizes begins at so many times the size of the one before.
+SIZE_CLASS = 1.12
 
-#: Centres per bucket and round: the first round takes one, the next 4, then 16 each.
-MOST_CENTRES = 16
-#: When the buckets that are still mixed have so few pairs per member at the start, one last round takes them all: as
-#: many as members in the second round, four times as many in the third, sixteen times in the fourth, and so on.
-LAST_ROUND = 4
+#: Turns an Arrow column of texts or packed sets into the elements of all sets and their bounds; elements of a set ascend.
+Decode = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -41,47 +59,123 @@ def _is_forest(stars: DataFrame) -> bool:
     return ends.groupBy("node").agg(F.sum("points").alias("points"), F.max("root").alias("root")).filter("points + root > 1").isEmpty()
 
 
-def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], least: float) -> DataFrame:
-    """(node, root) of the nodes that verified pairs link; members: (key, node, size), a bucket's nodes, two or more.
+def linked(members: DataFrame, sets: DataFrame, decode: Decode, least: float) -> DataFrame:
+    """(node, root) of the nodes that similar pairs link.
 
-    Copies find each other through centres: each round, every bucket with nodes of two or more components picks centres,
-    proposes the pairs of a centre and a node of another component, and retires the centres. So a pair of one bucket
-    is either verified or its two nodes are in one component already: the components are those of all similar pairs.
-    Pairs of sets whose sizes differ by more than ``least`` allows cannot be similar and are left out. verify gets distinct
-    pairs (a, b), a < b, and returns those that are similar. Once what is left is small (chance neighbours of different
-    components), the last round proposes every pair of it that joins two components.
+    members: (key, node, size), a bucket's nodes, two or more; size: elements of the node's set. sets: (node, thing), each
+    node once; decode turns things into sets. Similar pairs have a Jaccard similarity of ``least`` or more.
     """
-    alive = written(members.select("key", "node", "size"), "bucket-members")
-    at_start = alive.count()
-    labels = tried = edges = None
-    alike = F.least("size", "other_size") >= least * F.greatest("size", "other_size") - 1e-9
-    for k in itertools.count():
-        if labels is None:
-            rooted = alive.withColumn("root", F.col("node"))
-        else:
-            rooted = alive.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).filter("low <> high")
-            rooted = written(rooted.join(mixed.select("key", "n"), "key"), "bucket-members")
-            left = rooted.agg(F.sum(F.expr("(n - 1) / 2")).alias("pairs")).first()["pairs"]
-            if not left:
-                break
-            rooted = rooted.drop("n")
-        last = k > 0 and left <= LAST_ROUND ** (k - 1) * at_start
-        other = rooted.select("key", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("size").alias("other_size"))
-        if not last:
-            order = lambda i: F.struct((F.col("node") if i == 0 else F.xxhash64("node", F.lit(i))).alias("by"), "node", "root", "size")
-            picks = [F.min(order(i)).alias(f"c{i}") for i in range(min(4**k, MOST_CENTRES))]
-            several = F.array_distinct(F.array(*[F.struct(F.col(f"c{i}.node"), F.col(f"c{i}.root"), F.col(f"c{i}.size")) for i in range(len(picks))]))
-            other = rooted.groupBy("key").agg(*picks).select("key", F.explode(several).alias("c")).select("key", F.col("c.node").alias("other"), F.col("c.root").alias("other_root"), F.col("c.size").alias("other_size"))
-            other = other if k == 0 else written(other, "centres")
-        pairs = rooted.join(other, "key").filter((F.col("root") != F.col("other_root")) & alike & (F.col("node") < F.col("other") if last else F.lit(True)))
-        pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = written(verify(pairs), "links")
-        edges = found if edges is None else edges.unionByName(found)
-        labels = components(edges)
-        if last:
-            break
-        alive = rooted.drop("root").join(other.select("key", F.col("other").alias("node")), ["key", "node"], "left_anti")
-    return labels
+    counted = members.join(members.groupBy("key").agg(F.count("*").alias("n")), "key")
+    counted = written(counted.join(counted.groupBy("node").agg(F.sum("n").alias("fullness")), "node"), "bucket-members")
+    centre = counted.groupBy("key").agg(F.max(F.struct("fullness", "node", "size")).alias("c"))
+    centre = centre.select("key", F.col("c.node").alias("centre"), F.col("c.size").alias("centre_size"))
+    placed = written(counted.drop("fullness").join(centre, "key"), "bucket-centres")
+    first = placed.filter((F.col("node") != F.col("centre")) & _sizes_allow("size", "centre_size", least))
+    first = first.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    labels = components(written(similar(first, sets, decode, least), "links"))
+
+    rooted = written(placed.drop("centre_size").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node")), "bucket-roots")
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
+    rooted = written(rooted.join(mixed, "key"), "mixed-buckets")
+    few = rooted.filter(F.col("n") <= SMALL)
+    other = few.select("key", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("size").alias("other_size"))
+    few = few.join(other, "key").filter((F.col("root") != F.col("other_root")) & (F.col("node") < F.col("other")) & ~F.col("centre").isin(F.col("node"), F.col("other")) & _sizes_allow("size", "other_size", least))
+    few = few.select(F.col("node").alias("a"), F.col("other").alias("b"), F.col("root").alias("root_a"), F.col("other_root").alias("root_b"))
+    families = rooted.filter((F.col("n") > SMALL) & (F.col("node") != F.col("centre"))).select("node", "root", "centre").distinct()
+    second = written(few.unionByName(indexed_pairs(families, sets, decode, least)).distinct(), "pairs")
+    more = components(written(similar(second, sets, decode, least).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), "links"))
+    merged = labels.join(more.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return written(merged.unionByName(more.join(labels, "node", "left_anti").select("node", "root")), "labels")
+
+
+def _sizes_allow(a: str, b: str, least: float):
+    return F.least(a, b) >= least * F.greatest(a, b) - 1e-9
+
+
+def with_sets(pairs: DataFrame, sets: DataFrame, a: str, b: str) -> DataFrame:
+    """pairs with the things x and y of their nodes a and b."""
+    one = pairs.join(sets.select(F.col("node").alias(a), F.col("thing").alias("x")), a)
+    return one.join(sets.select(F.col("node").alias(b), F.col("thing").alias("y")), b).select(*pairs.columns, "x", "y")
+
+
+def _decoded(column: pa.Array, decode: Decode) -> list[np.ndarray]:
+    """The set of each row; equal things are decoded once."""
+    coded = column.dictionary_encode()
+    values, bounds = decode(coded.dictionary)
+    each = [values[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+    return [each[k] for k in coded.indices.to_pylist()]
+
+
+def similar(pairs: DataFrame, sets: DataFrame, decode: Decode, least: float) -> DataFrame:
+    """The pairs (a, b, and further columns) whose sets have a Jaccard similarity of ``least`` or more."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "x", 1 << 20):
+                good = np.zeros(part.num_rows, bool)
+                for k, (x, y) in enumerate(zip(_decoded(part.column("x"), decode), _decoded(part.column("y"), decode))):
+                    if min(len(x), len(y)) >= least * max(len(x), len(y)) - 1e-9:
+                        both = np.concatenate([x, y])
+                        both.sort(kind="stable")
+                        shared = int(np.count_nonzero(both[1:] == both[:-1]))
+                        good[k] = shared >= least * (len(both) - shared) - 1e-9
+                yield part.drop_columns(["x", "y"]).filter(pa.array(good))
+
+    return with_sets(pairs, sets, "a", "b").mapInArrow(run, pairs.schema)
+
+
+def size_class(sizes: np.ndarray) -> np.ndarray:
+    return np.floor(np.log(np.maximum(sizes, 1.0)) / np.log(SIZE_CLASS)).astype(np.int64)
+
+
+def listings(x: np.ndarray, centre: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where the prefix index lists a set: elements, their places, classes of partner sizes, and its own class."""
+    n, ratio = len(x), (1 + least) / least
+    shared = np.isin(x, centre, assume_unique=True)
+    place = np.arange(int(np.floor(n - least * n + 1e-6)) + 1)  # later on no partner of least * n elements or more is similar
+    place = place[place < n]
+    ordered = np.concatenate([x[~shared], x[shared]])[place]
+    most = ratio * (n - place) - n + 1e-6
+    low, high = size_class(np.full(len(place), least * n - 1e-6)), size_class(most)
+    times = np.maximum(high - low + 1, 0)
+    of = np.repeat(np.arange(len(place)), times)
+    partner = low[of] + np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times)
+    return ordered[of], place[of], partner, size_class(np.full(len(of), float(n)))
+
+
+def indexed_pairs(families: DataFrame, sets: DataFrame, decode: Decode, least: float) -> DataFrame:
+    """Pairs (a, b, root_a, root_b) of families (node, root, centre) that a family's prefix index proposes: all similar ones are among them."""
+    kind = families.schema["node"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "x", 1 << 18):
+                columns: list[list[np.ndarray]] = [[], [], [], [], [], []]
+                names = part.column("centre").dictionary_encode()
+                name = np.frombuffer(b"".join(_digest(v) for v in names.dictionary.to_pylist()), np.uint64)[names.indices.to_numpy()]
+                for k, (x, y) in enumerate(zip(_decoded(part.column("x"), decode), _decoded(part.column("y"), decode))):
+                    element, place, partner, own = listings(x, y, least)
+                    key = mix(element ^ name[k]) + mix(np.minimum(own, partner).astype(np.uint64) * np.uint64(4096) + np.maximum(own, partner).astype(np.uint64))
+                    for column, values in zip(columns, (np.full(len(key), k), key, place, np.full(len(key), len(x)), own <= partner, own >= partner)):
+                        column.append(values)
+                at, key, place, size, smaller, larger = (np.concatenate(c) for c in columns)
+                at = pa.array(at)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), part.column("node").take(at), part.column("root").take(at), pa.array(size.astype(np.int32)), pa.array((size - place).astype(np.int32)), pa.array(smaller), pa.array(larger)], ["key", "node", "root", "size", "rest", "smaller", "larger"])
+
+    listed = with_sets(families, sets, "node", "centre").mapInArrow(run, f"key long, node {kind}, root {kind}, size int, rest int, smaller boolean, larger boolean")
+    listed = written(listed, "listings")
+    # lists with sets of one component only propose nothing
+    mixed = listed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
+    listed = listed.join(mixed, "key", "left_semi")
+    left = listed.filter("smaller")
+    right = listed.filter("larger").select("key", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("size").alias("other_size"), F.col("rest").alias("other_rest"), F.col("smaller").alias("level"))
+    enough = F.least("rest", "other_rest") >= least / (1 + least) * (F.col("size") + F.col("other_size")) - 1e-6
+    pairs = left.join(right, "key").filter((F.col("root") != F.col("other_root")) & enough & (~(F.col("larger") & F.col("level")) | (F.col("node") < F.col("other"))))
+    flip = F.col("node") > F.col("other")
+    a, b = (F.struct(F.col(n).alias("node"), F.col(r).alias("root")) for n, r in (("node", "root"), ("other", "other_root")))
+    pairs = pairs.select(F.when(flip, b).otherwise(a).alias("a"), F.when(flip, a).otherwise(b).alias("b"))
+    return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.root").alias("root_a"), F.col("b.root").alias("root_b")).distinct()
+
+
+def _digest(value) -> bytes:
+    return hashlib.blake2b(str(value).encode(), digest_size=8).digest()

@@ -30,6 +30,8 @@ SHINGLE, LEAST, BANDS, ROWS = 8, 0.8, 20, 5
 #: One: every line takes part that is not blank.
 MIN_CHARS = 1
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Odd factors of the steps of a shingle's hash.
+FACTORS = {1: np.uint64(0x9E3779B97F4A7C15), 2: np.uint64(0xA0761D6478BD642F), 4: np.uint64(0xE7037ED1A0B428DB)}
 
 
 def lines_of(text: pa.Array) -> tuple[pa.Array, np.ndarray, pa.Array, np.ndarray]:
@@ -50,16 +52,29 @@ def line_hashes(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return both[:, 1].copy(), (both[:, 0] >> np.uint64(48)).astype(np.uint16)
 
 
+def characters(lines: pa.Array) -> np.ndarray:
+    """The code points of all lines, one after the other."""
+    lines = pa.concat_arrays([lines.cast(pa.large_string())])  # a copy where it is a slice of something larger
+    offsets = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset : lines.offset + len(lines) + 1]
+    data = lines.buffers()[2]
+    held = memoryview(data)[offsets[0] : offsets[-1]] if data is not None and len(lines) else b""
+    return np.frombuffer(str(held, "utf-8").encode("utf-32-le"), np.uint32).astype(np.uint64)
+
+
 def line_shingles(lines: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Line and hash of each run of ``width`` characters, in order; a shorter line is one shingle."""
+    """Line and hash of each run of ``width`` characters (a power of two), in order; a shorter line is one shingle."""
     sizes = pc.utf8_length(lines).to_numpy(zero_copy_only=False).astype(np.int64)
     padded = np.maximum(sizes, width)
     if (sizes < width).any():
         lines = pc.utf8_rpad(lines, width, "\n")
-    codes = np.frombuffer("".join(lines.to_pylist()).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    bounds = np.concatenate([[0], np.cumsum(padded)])
-    starts, found = common.windows(codes, bounds, width)
-    return np.searchsorted(bounds, starts, side="right") - 1, found
+    found, step = characters(lines), 1
+    while step < width:  # runs of twice as many characters from two neighbours
+        found = found[:-step] * FACTORS[step] + found[step:]
+        found ^= found >> np.uint64(32)
+        step *= 2
+    inside = np.ones(len(found), bool)
+    inside[(np.cumsum(padded)[:-1, None] - np.arange(1, width)).ravel()] = False  # runs that reach into the next line
+    return np.repeat(np.arange(len(lines)), padded - width + 1), common.mix(found[inside])
 
 
 def line_bands(lines: pa.Array, bands: int, rows: int) -> np.ndarray:
@@ -69,22 +84,23 @@ def line_bands(lines: pa.Array, bands: int, rows: int) -> np.ndarray:
     signature = np.full(n * size, EMPTY)
     bins = ((found >> np.uint64(40)) * np.uint64(size) >> np.uint64(24)).astype(np.int64)
     np.minimum.at(signature, owner * size + bins, found)
-    signature = signature.reshape(n, size)
-    full = signature != EMPTY
-    line, slot = np.nonzero(~full)
+    empty = np.flatnonzero(signature == EMPTY)
+    line, slot = np.divmod(empty, size)
+    was = signature.copy()
     turn = 0
     while len(line):  # an empty bin takes the value of a bin drawn by its own number, until that one is full
         turn += 1
-        draw = common.mix(slot.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(turn))
-        source = ((draw >> np.uint64(40)) * np.uint64(size) >> np.uint64(24)).astype(np.int64)
-        good = full[line, source]
-        signature[line[good], slot[good]] = common.mix(signature[line[good], source[good]] + np.uint64(turn))
+        draws = common.mix(np.arange(size, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(turn))
+        source = ((draws >> np.uint64(40)) * np.uint64(size) >> np.uint64(24)).astype(np.int64)
+        taken = was[line * size + source[slot]]
+        good = taken != EMPTY
+        signature[line[good] * size + slot[good]] = common.mix(taken[good] + np.uint64(turn))
         line, slot = line[~good], slot[~good]
-    keys = np.broadcast_to(np.arange(bands, dtype=np.uint64), (n, bands)).copy()
     parts = signature.reshape(n, bands, rows)
+    keys = np.broadcast_to(np.arange(bands, dtype=np.uint64), (n, bands)).copy()
     for k in range(rows):
-        keys = common.mix(keys * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, k])
-    return keys
+        keys += parts[:, :, k] * common.powers(0xD6E8FEB86659FD93, rows + 1)[k + 1]
+    return common.mix(keys)
 
 
 def send_lines(bits: int):
@@ -139,43 +155,17 @@ def candidates(keys, table, told):
     lists = pa.ListArray.from_arrays(pa.array([*starts, len(number)], pa.int32()), pa.array(hashes.view(np.int64)))
     nodes = (np.int64(keys[0].as_py()) << 32) + number[starts].astype(np.int64)
     lines = distinct.take(pa.array(number[starts].astype(np.int64)))
-    return pa.table([pa.array(nodes), lines.cast(pa.string()), pa.array(shingle_counts(lines)), lists], ["node", "line", "size", "keys"])
+    sizes = [np.diff(line_sets(part.column("text"))[1]) for part in common.slices(pa.RecordBatch.from_arrays([lines], ["text"]), most=1 << 18)]
+    return pa.table([pa.array(nodes), lines.cast(pa.string()), pa.array(np.concatenate(sizes)), lists], ["node", "line", "size", "keys"])
 
 
-def shingle_counts(lines: pa.Array) -> np.ndarray:
-    """The number of distinct shingles of each line."""
+def line_sets(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles of each line in ascending order, and each line's bounds in them."""
     owner, found = line_shingles(lines.cast(pa.large_string()))
-    cuts = np.searchsorted(owner, np.arange(len(lines) + 1)).tolist()
-    sizes = np.zeros(len(lines), np.int64)
-    for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-        one = np.sort(found[a:b] >> np.uint64(1))
-        sizes[k] = 1 + np.count_nonzero(one[1:] != one[:-1])
-    return sizes
-
-
-def similar(pairs: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b, x, y: lines) whose shingle sets have a Jaccard similarity of ``least`` or more."""
-
-    def run(batches):
-        for batch in batches:
-            for part in common.slices(batch, "x", 1 << 20):
-                sides = []
-                for side, c in enumerate(("x", "y")):
-                    owner, found = line_shingles(part.column(c).cast(pa.large_string()))
-                    cuts = np.searchsorted(owner, np.arange(part.num_rows + 1)).tolist()
-                    sides.append((found & ~np.uint64(1) | np.uint64(side), cuts))
-                (x, at_x), (y, at_y) = sides
-                good = np.zeros(part.num_rows, bool)
-                for k in range(part.num_rows):
-                    one = np.concatenate([x[at_x[k] : at_x[k + 1]], y[at_y[k] : at_y[k + 1]]])
-                    one.sort()
-                    one = one[np.concatenate([[True], one[1:] != one[:-1]])] >> np.uint64(1)
-                    both = np.count_nonzero(one[1:] == one[:-1])
-                    good[k] = both >= least * (len(one) - both) - 1e-9
-                good = pa.array(good)
-                yield pa.RecordBatch.from_arrays([part.column(c).filter(good) for c in ("a", "b")], ["a", "b"])
-
-    return pairs.mapInArrow(run, "a long, b long")
+    order = np.lexsort((found, owner))
+    owner, found = owner[order], found[order]
+    fresh = np.concatenate([[True], (owner[1:] != owner[:-1]) | (found[1:] != found[:-1])]) if len(found) else np.zeros(0, bool)
+    return found[fresh], np.searchsorted(owner[fresh], np.arange(len(lines) + 1))
 
 
 def rebuild(keys, table, told):
@@ -206,17 +196,13 @@ def deduplicated(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows
     base = docs.select(F.struct(*others).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     base, chars = groups.grouped(base)
     by_group = groups.packed_rows(base).groupBy("grp")
-    exact = by_group.applyInArrow(send_lines(groups.bucket_bits(chars // 300)), groups.MESSAGE).groupBy("bucket").applyInArrow(groups.later_groups, groups.REPLY)
+    exact = common.written(by_group.applyInArrow(send_lines(groups.bucket_bits(chars // 300)), groups.MESSAGE).groupBy("bucket").applyInArrow(groups.later_groups, groups.REPLY), "equal-lines")
     banded = by_group.cogroup(exact.groupBy("grp")).applyInArrow(send_bands(groups.bucket_bits(chars // 300 * bands), bands, rows), groups.MESSAGE)
     shared = banded.groupBy("bucket").applyInArrow(shared_bands, groups.REPLY)
     found = by_group.cogroup(shared.groupBy("grp")).applyInArrow(candidates, "node long, line string, size long, keys array<long>")
     found = common.written(found, "line-candidates")
 
-    def verify(pairs):
-        lines = found.select("node", "line")
-        return similar(pairs.join(lines.toDF("a", "x"), "a").join(lines.toDF("b", "y"), "b").select("a", "b", "x", "y"), least)
-
-    labels = linked(found.select(F.explode("keys").alias("key"), "node", "size"), verify, least).filter("node <> root")
+    labels = linked(found.select(F.explode("keys").alias("key"), "node", "size"), found.select("node", F.col("line").alias("thing")), line_sets, least).filter("node <> root")
     near = labels.select(F.shiftright("node", 32).cast("int").alias("grp"), F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("payload"), F.col("node").bitwiseAND(F.lit((1 << 32) - 1)).alias("number"))
     told = exact.select("grp", F.lit(0).alias("kind"), "payload", F.lit(None).cast("long").alias("number")).unionByName(near)
     kind = base.schema["row"].dataType.simpleString()

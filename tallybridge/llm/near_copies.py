@@ -8,22 +8,22 @@ element's weight. So equal units of two bags have equal points, and two componen
 Jaccard similarity. Points come in ascending order, and a process stops at the signature's largest component.
 
 Documents that agree in a band are candidates; pairs are verified by the similarity of the two whole multisets, and the
-components of all pairs at or above LEAST are classes. Units are 63-bit hashes: in a pair of bags of n and m units,
-about n * m / 2^63 unequal ones are taken for equal, 1e-7 for a million words each. Equal texts are one node
-throughout, so a group of exact copies costs one.
+components of all pairs at or above LEAST are classes. Units are 64-bit hashes: in a pair of bags of n and m units,
+about n * m / 2^64 unequal ones are taken for equal, 5e-8 for a million words each. Equal texts are one node, told by
+126 bits of hashes; their signature is computed once in each slice that a task works on.
 
 Missed pairs: a pair of similarity 0.8 shares no band with probability below 1e-5, less above.
 
 Cases: texts of one to four words are one shingle. Null texts and texts without a word are no one's near copy: each is
-its own class. A class is named by its smallest doc_id (null if all are null). Equal rows are in one class. Equal
-texts are told by a 64-bit hash. Other columns of docs are not touched.
+its own class. A class is named by its smallest doc_id (null if all are null). Equal rows are in one class. Other
+columns of docs are not touched.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
@@ -32,6 +32,8 @@ from .components import linked
 SHINGLE, LEAST, BANDS, ROWS = 5, 0.8, 32, 5
 #: Stands for a null doc_id.
 NO_ID = (1 << 63) - 1
+#: Wide enough for 126 bits.
+NODE = "decimal(38,0)"
 
 
 def shingles(text: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -119,17 +121,23 @@ def banded(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in common.slices(batch):
+                part = once(part)
                 owner, element, weight = bags(*shingles(part.column("text")))
                 keys = band_keys(signatures(owner, element, weight, part.num_rows, bands * rows), bands, rows)
                 some = np.unique(owner)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(keys[some].ravel()), bands).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([part.column("node").take(pa.array(some)), lists, pa.array(np.bincount(owner, weights=weight).astype(np.int64)[some])], ["node", "keys", "size"])
 
-    return texts.mapInArrow(run, "node long, keys array<long>, size long")
+    return texts.mapInArrow(run, f"node {NODE}, keys array<long>, size long")
+
+
+def once(part: pa.RecordBatch) -> pa.RecordBatch:
+    """The first row of each node: copies within a slice are worked on once."""
+    return part.take(pa.array(np.unique(part.column("node").dictionary_encode().indices.to_numpy(), return_index=True)[1]))
 
 
 def packed_bags(texts: DataFrame) -> DataFrame:
-    """(node, bag): the units of each multiset as sorted 63-bit hashes, so that pairs can be shuffled with both bags."""
+    """(node, thing): the units of each multiset as sorted 64-bit hashes, so that pairs can be shuffled with both bags."""
 
     def run(batches):
         for batch in batches:
@@ -140,53 +148,42 @@ def packed_bags(texts: DataFrame) -> DataFrame:
                 again = place - np.maximum.accumulate(np.where(fresh, place, 0)) if len(found) else place
                 units = common.mix(found + again.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 cuts = np.searchsorted(owner, np.arange(part.num_rows + 1))
-                units = units >> np.uint64(1)
                 rows = [np.sort(units[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(rows, pa.binary())], ["node", "bag"])
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(rows, pa.binary())], ["node", "thing"])
 
-    return texts.mapInArrow(run, "node long, bag binary")
+    return texts.mapInArrow(run, f"node {NODE}, thing binary")
 
 
-def similar(pairs: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b, x, y: bags) whose multisets have a Jaccard similarity of ``least`` or more."""
+def bag_units(bags: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The units of packed bags and each bag's bounds."""
+    bags = pa.concat_arrays([bags.cast(pa.large_binary())])
+    bounds = np.frombuffer(bags.buffers()[1], np.int64)[: len(bags) + 1] // 8
+    return np.frombuffer(bags.buffers()[2] or b"", np.uint64), bounds
 
-    def run(batches):
-        for batch in batches:
-            good = np.zeros(batch.num_rows, bool)
-            for k, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"))):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if min(len(x), len(y)) >= least * max(len(x), len(y)):
-                    both = np.concatenate([x << np.uint64(1), y << np.uint64(1) | np.uint64(1)])
-                    both.sort(kind="stable")
-                    shared = int(np.count_nonzero(both[1:] ^ both[:-1] == 1))
-                    good[k] = shared >= least * (len(both) - shared) - 1e-9
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(good)) for c in ("a", "b")], ["a", "b"])
 
-    return pairs.mapInArrow(run, "a long, b long")
+def node_of(text: str) -> Column:
+    """126 bits of hashes of a text: what tells it from others."""
+    high = F.xxhash64(text).cast(NODE) * F.lit(1 << 62).cast(NODE)
+    return (high + F.xxhash64(F.lit(1), text).bitwiseAND(F.lit((1 << 62) - 1)).cast(NODE)).cast(NODE)
 
 
 def links(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(node, root) of the texts of docs that are linked to another; node: xxhash64 of a text."""
+    """(node, root) of the texts of docs that are linked to another; node: node_of a text."""
     common.small_batches(docs.sparkSession)
-    texts = docs.select(F.xxhash64("text").alias("node"), "text").filter("text IS NOT NULL")
-    keyed = banded(texts, bands, rows).dropDuplicates(["node"]).select(F.explode("keys").alias("key"), "node", "size")
-    keyed = common.written(keyed, "bands")
+    texts = docs.select(node_of("text").alias("node"), "text").filter("text IS NOT NULL")
+    signed = common.written(banded(texts, bands, rows).dropDuplicates(["node"]), "bands")
+    keyed = signed.select(F.explode("keys").alias("key"), "node", "size")
     full = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("key")
     members = common.written(keyed.join(full, "key", "left_semi"), "band-members")
     wanted = members.select("node").distinct()
-    bag_of = common.written(packed_bags(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])), "bags")
-
-    def verify(pairs):
-        one = pairs.join(bag_of.select(F.col("node").alias("a"), F.col("bag").alias("x")), "a")
-        return similar(one.join(bag_of.select(F.col("node").alias("b"), F.col("bag").alias("y")), "b").select("a", "b", "x", "y"), least)
-
-    return linked(members, verify, least)
+    sets = common.written(packed_bags(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])), "bags")
+    return linked(members, sets, bag_units, least)
 
 
 def keyed_rows(docs: DataFrame, *carry: str) -> tuple[DataFrame, DataFrame]:
     """(row, id, node) of the rows with a word, and of those without; a null id is the largest."""
     some = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
-    rows = docs.select(F.struct(*carry).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("node"), some.alias("some"))
+    rows = docs.select(F.struct(*carry).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), node_of("text").alias("node"), some.alias("some"))
     return rows.filter("some").drop("some"), rows.filter("NOT some").drop("some")
 
 

@@ -2,9 +2,9 @@ import random
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from tallybridge.llm import near_copies
-from tallybridge.llm.components import components
+from tallybridge.llm import components, near_copies
 
 from .conftest import frame
 
@@ -80,7 +80,7 @@ def test_signatures_are_unbiased():
 def test_components(spark):
     r = random.Random(2)
     pairs = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(r.randint(200, 400), r.randint(200, 400)) for _ in range(90)] + [(7, 7)]
-    found = dict(map(tuple, components(spark.createDataFrame(pairs, "a long, b long")).collect()))
+    found = dict(map(tuple, components.components(spark.createDataFrame(pairs, "a long, b long")).collect()))
     parent = {x: x for p in pairs for x in p}
     for _ in parent:
         for a, b in pairs:
@@ -90,7 +90,48 @@ def test_components(spark):
 
 def test_units_that_agree_in_32_bits(spark):
     texts = ["a b c d e155185", "a b c d e173593", "a b c d e155185"]  # one shingle each
-    bags = near_copies.packed_bags(spark.createDataFrame(list(enumerate(texts)), "node long, text string")).collect()
-    units = {r.node: r.bag for r in bags}
-    pairs = spark.createDataFrame([(a, b, units[a], units[b]) for a, b in ((0, 1), (0, 2))], "a long, b long, x binary, y binary")
-    assert [(r.a, r.b) for r in near_copies.similar(pairs, 0.8).collect()] == [(0, 2)]
+    sets = near_copies.packed_bags(spark.createDataFrame(list(enumerate(texts)), "node long, text string").withColumn("node", F.col("node").cast(near_copies.NODE)))
+    pairs = spark.createDataFrame([(0, 1), (0, 2)], "a long, b long").selectExpr(f"CAST(a AS {near_copies.NODE}) AS a", f"CAST(b AS {near_copies.NODE}) AS b")
+    assert [(r.a, r.b) for r in components.similar(pairs, sets, near_copies.bag_units, 0.8).collect()] == [(0, 2)]
+
+
+def sets_of(rows):
+    """Things are lists of numbers as text."""
+
+    def decode(things):
+        each = [np.array(sorted(map(int, t.split())), np.uint64) for t in things.to_pylist()]
+        return np.concatenate([*each, np.zeros(0, np.uint64)]), np.cumsum([0, *map(len, each)])
+
+    return decode
+
+
+def test_family_of_many_variants(spark):
+    """One bucket of variants of one set, too many for its pairs: links equal those of all pairs, and few are verified."""
+    r, base, sets = random.Random(5), list(range(1000, 1100)), {}
+    for k in range(400):
+        changes = r.choice([1, 4, 8, 12, 16])
+        own = sorted(set(r.sample(base, 100 - changes)) | {r.randint(2000, 2600) for _ in range(changes)})
+        sets[k] = own
+        if k % 40 == 0:
+            sets[1000 + k] = sorted({*own[3:], 5000 + k})
+    same = spark.createDataFrame([(k, " ".join(map(str, v))) for k, v in sets.items()], "node long, thing string")
+    members = spark.createDataFrame([(key, k, len(v)) for k, v in sets.items() for key in (1, 2)] + [(3, 0, len(sets[0])), (3, 1000, len(sets[1000]))], "key long, node long, size long")
+    names, parent = list(sets), {k: k for k in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    alike = {(a, b) for a in names for b in names if a < b and 10 * len(set(sets[a]) & set(sets[b])) >= 8 * len(set(sets[a]) | set(sets[b]))}
+    for a, b in alike:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    found = dict(map(tuple, components.linked(members, same, sets_of(sets), 0.8).collect()))
+    assert found == {k: find(k) for k in names if any(k in p for p in alike)}
+    near = {k for k, v in sets.items() if 10 * len(set(v) & set(base)) >= 8 * len(set(v) | set(base))}  # round one links these
+    with_base = same.unionByName(spark.createDataFrame([(9999, " ".join(map(str, base)))], same.schema))
+    families = spark.createDataFrame([(k, 9999 if k in near else k, 9999) for k in names], "node long, root long, centre long")
+    proposed = {(x.a, x.b) for x in components.indexed_pairs(families, with_base, sets_of(sets), 0.8).collect()}
+    assert {p for p in alike if not near.issuperset(p)} <= proposed
+    assert not any(near.issuperset(p) for p in proposed) and len(proposed) < 10 * len(names)
