@@ -110,7 +110,7 @@ def test_family_of_many_variants(spark):
     r, base, sets = random.Random(5), list(range(1000, 1100)), {}
     for k in range(400):
         changes = r.choice([1, 4, 8, 12, 16])
-        own = sorted(set(r.sample(base, 100 - changes)) | {r.randint(2000, 2600) for _ in range(changes)})
+        own = sorted(set(r.sample(base, 100 - changes)) | {r.randint(2000, 60000) for _ in range(changes)})
         sets[k] = own
         if k % 40 == 0:
             sets[1000 + k] = sorted({*own[3:], 5000 + k})
