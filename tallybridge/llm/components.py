@@ -10,10 +10,12 @@
 2. Buckets with nodes of one component are done. Of the others, those of up to SMALL nodes propose their pairs across
    components: fewer than SMALL per membership.
 3. Larger ones propose pairs by a prefix index. All nodes of one centre are a family; its sets are ordered alike, what the
-   centre lacks first and what the centre has, too, last. Two sets of N and M elements are similar only if they share
+   centre lacks first, the rarest in the family ahead, and what the centre has, too, last. Two sets of N and M elements are similar only if they share
    t / (1 + t) * (N + M) elements, so their first common element has at least so many from there on in either set. A set
    is listed under its first elements only, for each class of partner sizes just as far as that allows. Elements that
-   a whole family shares therefore are not listed for the few sets that are far from the centre.
+   a whole family shares therefore are not listed for the few sets that are far from the centre. Two sets that meet
+   in a list can share no more than what either has left of the elements that the centre lacks, and what either has of
+   the centre's; pairs for which that is too little are not proposed.
 
 So a pair of one bucket is either verified, or its nodes are in one component already, or it is not similar: the
 components are those of all similar pairs of the buckets.
@@ -128,19 +130,49 @@ def size_class(sizes: np.ndarray) -> np.ndarray:
     return np.floor(np.log(np.maximum(sizes, 1.0)) / np.log(SIZE_CLASS)).astype(np.int64)
 
 
-def listings(x: np.ndarray, centre: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Where the prefix index lists a set: elements, their places, classes of partner sizes, and its own class."""
-    n, ratio = len(x), (1 + least) / least
-    shared = np.isin(x, centre, assume_unique=True)
-    place = np.arange(int(np.floor(n - least * n + 1e-6)) + 1)  # later on no partner of least * n elements or more is similar
-    place = place[place < n]
-    ordered = np.concatenate([x[~shared], x[shared]])[place]
-    most = ratio * (n - place) - n + 1e-6
-    low, high = size_class(np.full(len(place), least * n - 1e-6)), size_class(most)
+def listings(x: np.ndarray, centre: np.ndarray, name: np.uint64, shared: np.ndarray, least: float) -> tuple[np.ndarray, ...]:
+    """Where the prefix index lists a set.
+
+    shared: keys of the elements that the centre lacks and another set of the family has, rarest first; elements that no
+    other set has come before them and are not listed. Returns keys, what is left from there on of their kind (lacking
+    or the centre's), what follows of the other kind, classes of partner sizes, and the set's own class.
+    """
+    n, ratio, own = len(x), (1 + least) / least, np.isin(x, centre, assume_unique=True)
+    lacking = n - int(own.sum())
+    keys = np.concatenate([shared, mix(x[own] ^ name)])
+    place = np.concatenate([np.arange(lacking - len(shared), lacking), np.arange(lacking, n)])
+    place = place[place <= n - least * n + 1e-6]  # later on no partner of least * n elements or more is similar
+    low, high = size_class(np.full(len(place), least * n - 1e-6)), size_class(ratio * (n - place) - n + 1e-6)
     times = np.maximum(high - low + 1, 0)
     of = np.repeat(np.arange(len(place)), times)
     partner = low[of] + np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times)
-    return ordered[of], place[of], partner, size_class(np.full(len(of), float(n)))
+    left, after = np.where(place < lacking, lacking - place, n - place), np.where(place < lacking, n - lacking, 0)
+    return keys[of], left[of], after[of], partner, size_class(np.full(len(of), float(n)))
+
+
+def _family_names(column: pa.Array) -> np.ndarray:
+    """64 bits for each row's centre."""
+    coded = column.dictionary_encode()
+    return np.frombuffer(b"".join(_digest(v) for v in coded.dictionary.to_pylist()), np.uint64)[coded.indices.to_numpy()]
+
+
+def lacking_elements(families: DataFrame, sets: DataFrame, decode: Decode) -> DataFrame:
+    """(node, centre, shared): keys of the elements that the centre lacks and two or more sets of the family have, rarest first."""
+    kind = families.schema["node"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "x", 1 << 18):
+                name, keys = _family_names(part.column("centre")), [np.zeros(0, np.uint64)]
+                for k, (x, y) in enumerate(zip(_decoded(part.column("x"), decode), _decoded(part.column("y"), decode))):
+                    keys.append(mix(np.setdiff1d(x, y, assume_unique=True) ^ name[k]))
+                of = pa.array(np.repeat(np.arange(part.num_rows), [len(x) for x in keys[1:]]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), part.column("node").take(of), part.column("centre").take(of)], ["key", "node", "centre"])
+
+    lacking = written(with_sets(families.select("node", "centre"), sets, "node", "centre").mapInArrow(run, f"key long, node {kind}, centre {kind}"), "lacking")
+    often = lacking.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    listed = lacking.join(often, "key").groupBy("node", "centre").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("shared"))
+    return listed.select("node", "centre", F.col("shared.key").alias("shared"))
 
 
 def indexed_pairs(families: DataFrame, sets: DataFrame, decode: Decode, least: float) -> DataFrame:
@@ -150,26 +182,28 @@ def indexed_pairs(families: DataFrame, sets: DataFrame, decode: Decode, least: f
     def run(batches):
         for batch in batches:
             for part in slices(batch, "x", 1 << 18):
-                columns: list[list[np.ndarray]] = [[], [], [], [], [], []]
-                names = part.column("centre").dictionary_encode()
-                name = np.frombuffer(b"".join(_digest(v) for v in names.dictionary.to_pylist()), np.uint64)[names.indices.to_numpy()]
+                columns: list[list[np.ndarray]] = [[] for _ in range(7)]
+                name, shared = _family_names(part.column("centre")), part.column("shared")
                 for k, (x, y) in enumerate(zip(_decoded(part.column("x"), decode), _decoded(part.column("y"), decode))):
-                    element, place, partner, own = listings(x, y, least)
-                    key = mix(element ^ name[k]) + mix(np.minimum(own, partner).astype(np.uint64) * np.uint64(4096) + np.maximum(own, partner).astype(np.uint64))
-                    for column, values in zip(columns, (np.full(len(key), k), key, place, np.full(len(key), len(x)), own <= partner, own >= partner)):
+                    own_shared = shared[k].values.to_numpy().view(np.uint64) if shared[k].is_valid else np.zeros(0, np.uint64)
+                    key, left, after, partner, own = listings(x, y, name[k], own_shared, least)
+                    key = key + mix(np.minimum(own, partner).astype(np.uint64) * np.uint64(4096) + np.maximum(own, partner).astype(np.uint64))
+                    for column, values in zip(columns, (np.full(len(key), k), key, left, after, np.full(len(key), len(x)), own <= partner, own >= partner)):
                         column.append(values)
-                at, key, place, size, smaller, larger = (np.concatenate(c) for c in columns)
-                at = pa.array(at)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), part.column("node").take(at), part.column("root").take(at), pa.array(size.astype(np.int32)), pa.array((size - place).astype(np.int32)), pa.array(smaller), pa.array(larger)], ["key", "node", "root", "size", "rest", "smaller", "larger"])
+                at, key, left, after, size, smaller, larger = (np.concatenate(c) for c in columns)
+                at, counts = pa.array(at), [pa.array(c.astype(np.int32)) for c in (size, left, after)]
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), part.column("node").take(at), part.column("root").take(at), *counts, pa.array(smaller), pa.array(larger)], ["key", "node", "root", "size", "left", "after", "smaller", "larger"])
 
-    listed = with_sets(families, sets, "node", "centre").mapInArrow(run, f"key long, node {kind}, root {kind}, size int, rest int, smaller boolean, larger boolean")
+    families = written(families, "families")
+    ordered = families.join(lacking_elements(families, sets, decode), ["node", "centre"], "left").select("node", "root", "centre", "shared")
+    listed = with_sets(ordered, sets, "node", "centre").mapInArrow(run, f"key long, node {kind}, root {kind}, size int, left int, after int, smaller boolean, larger boolean")
     listed = written(listed, "listings")
     # lists with sets of one component only propose nothing
     mixed = listed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
     listed = listed.join(mixed, "key", "left_semi")
     left = listed.filter("smaller")
-    right = listed.filter("larger").select("key", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("size").alias("other_size"), F.col("rest").alias("other_rest"), F.col("smaller").alias("level"))
-    enough = F.least("rest", "other_rest") >= least / (1 + least) * (F.col("size") + F.col("other_size")) - 1e-6
+    right = listed.filter("larger").select("key", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("size").alias("other_size"), F.col("left").alias("other_left"), F.col("after").alias("other_after"), F.col("smaller").alias("level"))
+    enough = F.least("left", "other_left") + F.least("after", "other_after") >= least / (1 + least) * (F.col("size") + F.col("other_size")) - 1e-6
     pairs = left.join(right, "key").filter((F.col("root") != F.col("other_root")) & enough & (~(F.col("larger") & F.col("level")) | (F.col("node") < F.col("other"))))
     flip = F.col("node") > F.col("other")
     a, b = (F.struct(F.col(n).alias("node"), F.col(r).alias("root")) for n, r in (("node", "root"), ("other", "other_root")))
