@@ -25,12 +25,9 @@ MESSAGE = "bucket int, grp int, payload binary"
 
 
 def group_of(doc_id: Column, borders: list[int], parts: int, top: int) -> Column:
-    """The group of an id: its range among borders (binary search), times parts, plus its place within the range.
-
-    Ids that are null come last: they are not smaller than any other.
-    """
+    """The group of an id: its range among borders (binary search), times parts, plus its place within the range."""
     if not borders:
-        return F.when(doc_id.isNull(), 1).otherwise(0)
+        return F.lit(0)
     table = F.array(*[F.lit(b) for b in borders])
     steps = [1 << k for k in range(len(borders).bit_length() - 1, -1, -1)]
     place = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, s: F.when((at + s <= len(borders)) & (F.get(table, at + s - 1) <= doc_id), at + s).otherwise(at))
@@ -38,20 +35,27 @@ def group_of(doc_id: Column, borders: list[int], parts: int, top: int) -> Column
         low, high = F.get(table, place - 1), F.coalesce(F.get(table, place), F.lit(top + 1))
         inner = F.coalesce(F.least(F.floor((doc_id - low).cast("double") / (high - low).cast("double") * parts), F.lit(parts - 1)), F.lit(0))
         place = place * parts + F.greatest(inner, F.lit(0)).cast("int")
-    return F.when(doc_id.isNull(), (len(borders) + 1) * parts).otherwise(place).cast("int")
+    return place.cast("int")
 
 
-def grouped(docs: DataFrame, group_chars: int = GROUP_CHARS) -> tuple[DataFrame, int]:
-    """docs with a column grp (ranges of doc_id), and the number of characters in all."""
-    sizes = docs.agg(F.count("doc_id").alias("n"), F.sum(F.length("text")).alias("chars"), F.min("doc_id").alias("low"), F.max("doc_id").alias("top")).first()
-    chars = sizes["chars"] or 0
+def grouped(docs: DataFrame, group_chars: int = GROUP_CHARS) -> tuple[DataFrame, int, int]:
+    """docs with a column grp, the number of characters in all, and the first group of null ids.
+
+    Groups are ranges of doc_id. Null ids come last, as they are not smaller than any other: they are dealt by their
+    texts into as many groups as they fill.
+    """
+    sizes = docs.agg(F.count("doc_id").alias("n"), F.sum(F.length("text")).alias("chars"), F.sum(F.when(F.col("doc_id").isNull(), F.length("text"))).alias("loose"), F.min("doc_id").alias("low"), F.max("doc_id").alias("top")).first()
+    chars, loose = sizes["chars"] or 0, sizes["loose"] or 0
     count = max(1, -(-chars // group_chars))
     borders: list[int] = []
     if count > 1 and sizes["n"]:
         coarse = min(count, BORDERS)
         shares = [k / coarse for k in range(1, coarse)]
         borders = sorted({sizes["low"], *docs.agg(F.percentile_approx("doc_id", shares, 10 * BORDERS).alias("b")).first()["b"]})
-    return docs.withColumn("grp", group_of(F.col("doc_id"), borders, -(-count // BORDERS), sizes["top"] or 0)), chars
+    parts = -(-count // BORDERS)
+    last = (len(borders) + 1) * parts
+    by_text = F.pmod(F.xxhash64("text"), F.lit(max(1, -(-loose // group_chars)))).cast("int") + last
+    return docs.withColumn("grp", F.when(F.col("doc_id").isNull(), by_text).otherwise(group_of(F.col("doc_id"), borders, parts, sizes["top"] or 0))), chars, last
 
 
 def bucket_bits(hashes: int, per_bucket: int = BUCKET_HASHES) -> int:
@@ -98,15 +102,23 @@ def gathered(table: pa.Table, *kinds: type) -> list[np.ndarray]:
     return [np.repeat(table.column("grp").to_numpy().astype(np.int64), sizes), *columns]
 
 
-def later_groups(keys, table):
-    """Of the messages (hash, 16-bit check) of a bucket: tells each group which of its hashes a smaller group has, too."""
-    groups, hashes, checks = gathered(table, np.uint16)
-    order = np.lexsort((groups, checks, hashes))
-    groups, hashes, checks = groups[order], hashes[order], checks[order]
-    same = np.concatenate([[False], (hashes[1:] == hashes[:-1]) & (checks[1:] == checks[:-1])]) if len(hashes) else np.zeros(0, bool)
-    first = np.maximum.accumulate(np.where(same, 0, np.arange(len(same)))) if len(same) else np.zeros(0, int)
-    later = groups > groups[first]
-    return replies(groups[later], hashes[later])
+def later_groups(last: int | None = None):
+    """Of the messages (hash, 32-bit check) of a bucket: tells each group which of its hashes a smaller group has, too.
+
+    With ``last`` all groups from there on count as one: none of them is smaller than another.
+    """
+
+    def run(keys, table):
+        groups, hashes, checks = gathered(table, np.uint32)
+        order = np.lexsort((groups, checks, hashes))
+        groups, hashes, checks = groups[order], hashes[order], checks[order]
+        same = np.concatenate([[False], (hashes[1:] == hashes[:-1]) & (checks[1:] == checks[:-1])]) if len(hashes) else np.zeros(0, bool)
+        first = np.maximum.accumulate(np.where(same, 0, np.arange(len(same)))) if len(same) else np.zeros(0, int)
+        rank = groups if last is None else np.minimum(groups, last)
+        later = rank > rank[first]
+        return replies(groups[later], hashes[later], checks[later])
+
+    return run
 
 
 def replies(groups: np.ndarray, hashes: np.ndarray, *more: np.ndarray) -> pa.Table:
@@ -119,13 +131,19 @@ def replies(groups: np.ndarray, hashes: np.ndarray, *more: np.ndarray) -> pa.Tab
     return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["grp", "payload"])
 
 
-def member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
-    """Which values are in ``among``."""
-    if not len(among) or not len(values):
-        return np.zeros(len(values), bool)
-    among = np.sort(among)
-    at = np.minimum(np.searchsorted(among, values), len(among) - 1)
-    return among[at] == values
+def member(values: np.ndarray, checks: np.ndarray, told: pa.Table) -> np.ndarray:
+    """Which hashes with their checks are among those of replies."""
+    _, among, other = gathered(told, np.uint32)
+    found = np.zeros(len(values), bool)
+    if not len(among):
+        return found
+    order = np.argsort(among, kind="stable")
+    among, other = among[order], other[order]
+    at = np.searchsorted(among, values)
+    while len(open_ := np.flatnonzero(~found & (at < len(among)) & (among[np.minimum(at, len(among) - 1)] == values))):
+        found[open_] = other[at[open_]] == checks[open_]
+        at[open_] += 1
+    return found
 
 
 #: UTF-8 bytes of text that a task collects before it packs them by group.

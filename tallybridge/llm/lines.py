@@ -10,8 +10,8 @@ first line by (doc_id, place) stays.
 Missed pairs: a pair of similarity 0.8 shares no band with probability of about 4e-4, less above.
 
 Cases: null and empty texts have no lines that take part. A line that is repeated within its own text goes, too. A
-null doc_id is larger than all others; rows of one doc_id go by their texts. Lines are equal if 80 bits of their
-hashes are. Columns of docs other than text are kept as they are.
+null doc_id is larger than all others; rows of one doc_id go by their texts, those without one by groups of texts' hashes and
+then by texts. Lines are equal if 96 bits of their hashes are. Columns of docs other than text are kept as they are.
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ def lines_of(text: pa.Array) -> tuple[pa.Array, np.ndarray, pa.Array, np.ndarray
 def line_hashes(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     digest = xxhash.xxh3_128_digest
     both = np.frombuffer(b"".join([digest(x) for x in lines.cast(pa.large_binary()).to_pylist()]), ">u8").reshape(-1, 2).astype(np.uint64)
-    return both[:, 1].copy(), (both[:, 0] >> np.uint64(48)).astype(np.uint16)
+    return both[:, 1].copy(), (both[:, 0] >> np.uint64(32)).astype(np.uint32)
 
 
 def characters(lines: pa.Array) -> np.ndarray:
@@ -115,7 +115,7 @@ def send_lines(bits: int):
 
 def firsts(distinct: pa.Array, told: pa.Table) -> np.ndarray:
     """Which distinct lines of a group no smaller group has."""
-    return ~groups.member(line_hashes(distinct)[0], groups.gathered(told)[1])
+    return ~groups.member(*line_hashes(distinct), told)
 
 
 def send_bands(bits: int, bands: int, rows: int):
@@ -162,10 +162,11 @@ def candidates(keys, table, told):
 def line_sets(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles of each line in ascending order, and each line's bounds in them."""
     owner, found = line_shingles(lines.cast(pa.large_string()))
-    order = np.lexsort((found, owner))
-    owner, found = owner[order], found[order]
-    fresh = np.concatenate([[True], (owner[1:] != owner[:-1]) | (found[1:] != found[:-1])]) if len(found) else np.zeros(0, bool)
-    return found[fresh], np.searchsorted(owner[fresh], np.arange(len(lines) + 1))
+    cuts, sets = np.searchsorted(owner, np.arange(len(lines) + 1)).tolist(), [np.zeros(0, np.uint64)]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        one = np.sort(found[a:b])
+        sets.append(one[np.concatenate([[True], one[1:] != one[:-1]])])
+    return np.concatenate(sets), np.cumsum([len(x) for x in sets])
 
 
 def rebuild(keys, table, told):
@@ -194,9 +195,9 @@ def deduplicated(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows
     common.small_batches(docs.sparkSession)
     others = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
     base = docs.select(F.struct(*others).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    base, chars = groups.grouped(base)
+    base, chars, _ = groups.grouped(base)
     by_group = groups.packed_rows(base).groupBy("grp")
-    exact = common.written(by_group.applyInArrow(send_lines(groups.bucket_bits(chars // 300)), groups.MESSAGE).groupBy("bucket").applyInArrow(groups.later_groups, groups.REPLY), "equal-lines")
+    exact = common.written(by_group.applyInArrow(send_lines(groups.bucket_bits(chars // 300)), groups.MESSAGE).groupBy("bucket").applyInArrow(groups.later_groups(), groups.REPLY), "equal-lines")
     banded = by_group.cogroup(exact.groupBy("grp")).applyInArrow(send_bands(groups.bucket_bits(chars // 300 * bands), bands, rows), groups.MESSAGE)
     shared = banded.groupBy("bucket").applyInArrow(shared_bands, groups.REPLY)
     found = by_group.cogroup(shared.groupBy("grp")).applyInArrow(candidates, "node long, line string, size long, keys array<long>")

@@ -5,8 +5,8 @@ send their distinct window hashes to hash buckets; a bucket counts each hash's g
 A group then hashes its windows again: a window goes where a smaller group has it, or a smaller doc_id in the group.
 The words that such windows cover are maximal intervals, and are removed.
 
-Two windows are the same if 80 bits of two independent rolling hashes are: among n windows some pair of different
-ones is taken for equal with probability about n^2 / 2^81.
+Two windows are the same if 96 bits of two independent rolling hashes are: among n windows some pair of different
+ones is taken for equal with probability about n^2 / 2^97.
 
 Cases: null and empty texts have no words. Rows of the same doc_id do not remove each other's windows; a null doc_id
 is larger than all others and not smaller than another null. Windows are judged on the input. Other columns of
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import common, groups
 
 WIDTH = 50
-#: The second rolling hash, of which a window sends 16 bits.
+#: The second rolling hash, of which a window sends 32 bits.
 CHECK_BASE = 0xC2B2AE3D27D4EB4F
 LAST = np.iinfo(np.int64).max
 
@@ -38,7 +38,7 @@ def text_windows(text: pa.Array, width: int):
         values = common.hashes(distinct)[codes] if len(codes) else np.zeros(0, np.uint64)
         starts, found = common.windows(values, bounds, width)
         _, second = common.windows(values, bounds, width, CHECK_BASE)
-        yield at, bounds, starts, found, (second >> np.uint64(48)).astype(np.uint16), distinct, codes
+        yield at, bounds, starts, found, (second >> np.uint64(32)).astype(np.uint32), distinct, codes
         at += part.num_rows
 
 
@@ -59,13 +59,12 @@ def remove(width: int):
         table = groups.rows_of(table)
         ids = table.column("doc_id").combine_chunks().cast(pa.int64())
         doc_ids = ids.fill_null(LAST).to_numpy()
-        earlier = np.sort(groups.gathered(told)[1])
         parts = list(text_windows(table.column("text").combine_chunks(), width))
-        hashes = np.concatenate([p[3] for p in parts])
+        hashes, checks = (np.concatenate([p[k] for p in parts]) for k in (3, 4))
         owner = np.concatenate([doc_ids[p[0] + np.searchsorted(p[1], p[2], side="right") - 1] for p in parts])
-        gone = groups.member(hashes, earlier)
-        order = np.argsort(hashes, kind="stable")
-        starts = np.flatnonzero(np.concatenate([[True], np.diff(hashes[order]) != 0])) if len(hashes) else np.zeros(0, int)
+        gone = groups.member(hashes, checks, told)
+        order = np.lexsort((checks, hashes))
+        starts = np.flatnonzero(np.concatenate([[True], (np.diff(hashes[order]) != 0) | (np.diff(checks[order]) != 0)])) if len(hashes) else np.zeros(0, int)
         if len(hashes):
             least = np.minimum.reduceat(owner[order], starts)
             gone[order] |= owner[order] > np.repeat(least, np.diff([*starts, len(hashes)]))
@@ -94,10 +93,10 @@ def remove(width: int):
 def deduplicated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_words, n_removed, spans (words first to last, last excluded), kept (the words left) and its sha256."""
     common.small_batches(docs.sparkSession)
-    base, chars = groups.grouped(docs.select("doc_id", "text"))
+    base, chars, last = groups.grouped(docs.select("doc_id", "text"))
     by_group = groups.packed_rows(base).groupBy("grp")
     sent = by_group.applyInArrow(send(width, groups.bucket_bits(chars // 6)), groups.MESSAGE)
-    told = sent.groupBy("bucket").applyInArrow(groups.later_groups, groups.REPLY)
+    told = sent.groupBy("bucket").applyInArrow(groups.later_groups(last), groups.REPLY)
     schema = "doc_id long, n_words long, n_removed long, spans array<struct<first: int, last: int>>, kept string, kept_sha256 string"
     return by_group.cogroup(told.groupBy("grp")).applyInArrow(remove(width), schema)
 

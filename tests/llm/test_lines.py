@@ -81,6 +81,18 @@ def test_planted(spark, group_chars, monkeypatch):
     assert got(out) == brute(list(zip(ids, texts)))
 
 
+def test_many_null_ids(spark, monkeypatch):
+    """Rows without an id fill several groups; of each component one line stays."""
+    r = random.Random(8)
+    base = ["".join(r.choices("abcdefgh ", k=60)) for _ in range(20)]
+    texts = ["\n".join(r.choices(base, k=3)) for _ in range(100)]
+    monkeypatch.setattr(groups.grouped, "__defaults__", (500,))
+    docs = frame(spark, texts, ids=[k if k % 3 == 0 else None for k in range(100)])
+    assert groups.grouped(docs)[0].filter("doc_id IS NULL").select("grp").distinct().count() > 5
+    out = [x.text for x in lines.deduplicated(docs).collect()]
+    assert sorted(x for t in out for x in t.split("\n") if x) == sorted(set("\n".join(texts).split("\n")))
+
+
 def test_empty(spark):
     assert lines.deduplicated(frame(spark, ["a"]).limit(0)).count() == 0
 

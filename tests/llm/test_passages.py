@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from tallybridge.llm import groups, passages
@@ -47,6 +48,24 @@ def test_brute_force(spark, group_chars, monkeypatch):
     assert sorted((-1 if x.doc_id is None else x.doc_id, x.n_words, x.n_removed, x.kept_sha256) for x in got) == brute(rows, 6)
 
 
+def test_many_null_ids(spark, monkeypatch):
+    """Rows without an id fill several groups, but do not remove each other's windows."""
+    r = random.Random(8)
+    texts = [" ".join(r.choices("ab", k=r.randint(0, 30))) for _ in range(200)]
+    ids = [k if k % 3 == 0 else None for k in range(200)]
+    monkeypatch.setattr(groups.grouped, "__defaults__", (300,))
+    docs = frame(spark, texts, ids=ids)
+    assert groups.grouped(docs)[0].filter("doc_id IS NULL").select("grp").distinct().count() > 5
+    got = passages.deduplicated(docs, width=6).collect()
+    assert sorted((-1 if x.doc_id is None else x.doc_id, x.n_words, x.n_removed, x.kept_sha256) for x in got) == brute(list(zip(ids, texts)), 6)
+
+
+def test_checks_tell_equal_hashes_apart():
+    replies = groups.replies(np.zeros(4, np.int64), np.array([1, 1, 1, 9], np.uint64), np.array([5, 6, 7, 5], np.uint32))
+    values, checks = np.array([1, 1, 1, 9, 9, 2], np.uint64), np.array([5, 7, 8, 5, 6, 5], np.uint32)
+    assert groups.member(values, checks, replies).tolist() == [True, True, False, True, False, False]
+
+
 def test_empty(spark):
     assert passages.deduplicated(frame(spark, ["a"]).limit(0)).count() == 0
     assert passages.deduplicated(frame(spark, [None, ""])).count() == 2
