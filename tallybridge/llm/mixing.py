@@ -3,12 +3,14 @@
 A source's mean repetition rate is its target share of the output's characters over its own characters. Each
 document draws u in [0, 1) from a hash of (seed, doc_id) and appears as often as the inverse Poisson distribution
 with that mean says; the copies are dealt out and sorted by a hash of (seed, doc_id, copy): a global shuffle that is
-the same in every run. Everything is built-in column expressions; the per-source table is joined by Spark's own
-choice (it broadcasts below its size threshold and splits hot sources with adaptive skew joins above).
+the same in every run. Everything is built-in column expressions. Sources are counted first: the table of up to
+FEW_SOURCES is broadcast, so documents move only once, for the global sort; a larger one is joined with each source dealt
+into SALTS parts, so that a hot source is spread.
 
 Cases: a null source is a source of its own. Without targets, all sources have equal weight; with targets, a source
 that is not named has weight 0 and goes. Null and empty texts count 0 characters; a source without any character has
-rate 1. A null doc_id draws as the text "null". Repeated rows draw alike. An empty table stays empty.
+rate 1. A null doc_id draws as the text "null". Repeated rows draw alike. Copies with equal keys are ordered by their
+texts' hashes. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from pyspark.sql import functions as F
 from . import common
 
 SEED, EPOCHS = "mix-1", 1.0
+#: Sources whose table is broadcast (a few hundred bytes each), and parts of a source beyond that.
+FEW_SOURCES, SALTS = 10_000, 64
 #: Fractions come from this many hex digits of an md5: exact in a double.
 DIGITS = 13
 
@@ -53,11 +57,11 @@ def rates(docs: DataFrame, targets: dict[str, float] | None = None, epochs: floa
     else:
         pairs = [x for k, v in sorted(targets.items()) for x in (F.lit(k), F.lit(float(v)))]
         sizes = sizes.withColumn("weight", F.coalesce(F.create_map(*pairs)[F.col("source")], F.lit(0.0)) if pairs else F.lit(0.0))
-    total = sizes.agg(F.sum("size").alias("all_size"), F.sum("weight").alias("all_weight"))
-    # one row that Spark sums up: every source meets it
-    joined = sizes.withColumn("one", F.lit(1)).join(total.withColumn("one", F.lit(1)), "one")
-    rate = F.when(F.col("size") > 0, F.col("weight") / F.col("all_weight") * F.lit(float(epochs)) * F.col("all_size") / F.col("size")).otherwise(F.when(F.col("weight") > 0, 1.0).otherwise(0.0))
-    return joined.select("source", F.coalesce(rate, F.lit(0.0)).alias("rate"))
+    sizes = common.written(sizes, "source-sizes")
+    total = sizes.agg(F.sum("size").alias("size"), F.sum("weight").alias("weight")).first()
+    all_size, all_weight = F.lit(total["size"] or 0), F.lit(total["weight"] or 0.0)
+    rate = F.when(F.col("size") > 0, F.try_divide("weight", all_weight) * F.lit(float(epochs)) * all_size / F.col("size")).otherwise(F.when(F.col("weight") > 0, 1.0).otherwise(0.0))
+    return sizes.select("source", F.coalesce(rate, F.lit(0.0)).alias("rate"))
 
 
 def mixed(docs: DataFrame, targets: dict[str, float] | None = None, seed: str = SEED, epochs: float = EPOCHS) -> DataFrame:
@@ -65,11 +69,19 @@ def mixed(docs: DataFrame, targets: dict[str, float] | None = None, seed: str =
 
     Columns of docs that are called copy or shuffle_key are replaced.
     """
-    table = rates(docs, targets, epochs).select(F.col("source").alias("of"), cumulative(F.col("rate")).alias("sums"))
+    rate = rates(docs, targets, epochs)
+    table = rate.select(F.col("source").alias("of"), cumulative(F.col("rate")).alias("sums"))
     row = docs.drop("copy", "shuffle_key").select(F.struct("*").alias("row"), fraction(seed, F.col("doc_id")).alias("u"))
-    row = row.join(table, F.col("row.source").eqNullSafe(F.col("of"))).withColumn("times", F.size(F.filter("sums", lambda x: x <= F.col("u"))))
+    met = F.col("row.source").eqNullSafe(F.col("of"))
+    if rate.count() <= FEW_SOURCES:
+        table = F.broadcast(table)
+    else:
+        row = row.withColumn("salt", F.pmod(F.xxhash64("row.doc_id", "row.text"), F.lit(SALTS)))
+        table = table.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        met = met & (F.col("salt") == F.col("part"))
+    row = row.join(table, met).withColumn("times", F.size(F.filter("sums", lambda x: x <= F.col("u"))))
     copies = row.filter("times > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
-    return copies.withColumn("shuffle_key", fraction(seed, F.col("row.doc_id"), F.col("copy"))).orderBy("shuffle_key").select("row.*", "copy", "shuffle_key")
+    return copies.withColumn("shuffle_key", fraction(seed, F.col("row.doc_id"), F.col("copy"))).orderBy("shuffle_key", F.xxhash64("row.text")).select("row.*", "copy", "shuffle_key")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

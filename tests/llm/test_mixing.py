@@ -31,6 +31,19 @@ def test_rates_and_counts(spark):
     assert all(abs(sizes[k] - 1000) < 4 * math.sqrt(1000 * max(1, rates[k])) for k in rates)
 
 
+def test_many_sources_are_salted(spark, monkeypatch):
+    docs = frame(spark, ["some text", "other", None] * 50)
+    want = sorted(map(tuple, mixing.mixed(docs).collect()), key=repr)
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 1)
+    assert sorted(map(tuple, mixing.mixed(docs).collect()), key=repr) == want
+
+
+def test_ties_are_in_one_order(spark):
+    docs = frame(spark, [f"text {k}" for k in range(40)], ids=[7] * 40)
+    got = [[x.text for x in mixing.mixed(d, epochs=3.0).collect()] for d in (docs, docs.repartition(7))]
+    assert got[0] == got[1]
+
+
 def test_large_rate(spark):
     docs = frame(spark, ["a"] + ["b" * 40_000] * 1).withColumn("source", F.col("doc_id").cast("string"))
     assert abs(mixing.mixed(docs).filter("doc_id = 0").count() - 20_000) < 700
@@ -38,4 +51,7 @@ def test_large_rate(spark):
 
 def test_empty(spark):
     assert mixing.mixed(frame(spark, ["a"]).limit(0)).count() == 0
-    assert mixing.mixed(frame(spark, [None])).count() >= 0
+    copies = mixing.mixed(frame(spark, [None])).collect()
+    u = mixing.fraction(mixing.SEED, F.lit(0))
+    want = sum(math.exp(-1) * sum(1 / math.factorial(i) for i in range(j + 1)) <= spark.range(1).select(u).first()[0] for j in range(30))
+    assert len(copies) == want and all(x.text is None for x in copies)  # rate 1
