@@ -1,13 +1,14 @@
 """Exact top-k inner products by branch and bound over a ball tree per shard.
 
-Vectors are dealt into shards by a hash of their id; each shard is one row with its vectors, and a task builds its
-ball tree. Queries are packed into blocks; a block meets each shard once (blocks x shards rows, joined on the shard's
-number). In a shard the tree is walked from the root with the block's queries: a node is left by each query
-whose kth score so far beats the node's bound  q.c + |q| r; the child with the larger bound goes first. The kth score is
-shared: a first round visits one shard per block, and its kth scores bound the search in all others.
+Vectors are dealt into shards by a hash of their id; each shard is one row with its vectors. Queries are packed into
+blocks; a block meets each shard once. A task takes a shard and up to BATCH blocks, builds the shard's ball tree once, and
+walks it from the root with each block's queries: a node is left by each query whose kth score so far beats the
+node's bound  q.c + |q| r; the child with the larger bound goes first. The kth score is shared: a first round visits one
+shard per block, and its kth scores bound the search in all others.
 
 Scores are integer inner products of floor(scale * x), exact in float64 while they stay below 2^53; bounds are
-widened by a relative 1e-9, so rounding never prunes a row that belongs in the result.
+widened by a relative 1e-9, so rounding never prunes a row that belongs in the result. Where a vector's length times
+a query's is 2^53 or more, the job stops with an error rather than give inexact scores.
 
 Cases: null and empty vectors, and vectors with a null or non-finite component, take no part; queries meet vectors
 of their own length only. Ties go to the smaller id. Rows with a null id take no part; equal ids are rows of their own
@@ -27,6 +28,8 @@ from . import common
 K, SCALE, EVERY = 5, 256, 50
 #: Vectors in a shard, queries in a block, vectors in a leaf.
 SHARD, BLOCK, LEAF = 8192, 1024, 128
+#: Blocks that a task takes to a shard at most.
+BATCH = 64
 
 
 class BallTree:
@@ -111,23 +114,33 @@ def packed(vectors: DataFrame, key: str, name: str) -> DataFrame:
     return vectors.groupBy(key, "width").applyInArrow(pack, f"{key} int, width int, {name}_ids binary, {name} binary")
 
 
-def visit(pairs: DataFrame, k: int) -> DataFrame:
-    """Searches each row's shard for each row's block: the k best of each query there, at or above its floor."""
-
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids, query_ids = np.frombuffer(row["shard_ids"], np.int64), np.frombuffer(row["block_ids"], np.int64)
-                x, q = (np.frombuffer(row[name], np.float64).reshape(-1, row["width"]) for name in ("shard", "block"))
+def visit(trees: DataFrame, pairs: DataFrame, k: int, batches: int) -> DataFrame:
+    """Searches the shard of each row of pairs (shard_no, width, a block, floor): the k best of each query there, at or above its floor."""
+
+    def run(keys, shard, blocks):
+        found = {name: [] for name in ("block_no", "query_id", "vec_id", "score")}
+        if shard.num_rows and blocks.num_rows:
+            width = keys[1].as_py()
+            ids = np.frombuffer(shard.column("shard_ids")[0].as_buffer(), np.int64)
+            tree = BallTree(np.frombuffer(shard.column("shard")[0].as_buffer(), np.float64).reshape(-1, width))
+            longest = np.sqrt((tree.x**2).sum(1).max())
+            for row in blocks.to_pylist():
+                query_ids, q = np.frombuffer(row["block_ids"], np.int64), np.frombuffer(row["block"], np.float64).reshape(-1, width)
+                if longest * np.sqrt((q**2).sum(1).max()) >= 2.0**53:
+                    raise ValueError("scores of 2^53 or more: use a smaller scale")
                 floor = np.frombuffer(row["floor"], np.float64) if row["floor"] else np.full(len(q), -np.inf)
                 best = Best(len(q), k, floor)
-                search(BallTree(x), ids, q, query_ids, best)
+                search(tree, ids, q, query_ids, best)
                 at, rank = np.nonzero(np.isfinite(best.scores) & (best.scores >= floor[:, None]))
-                same = lambda name: pa.array(np.full(len(at), row[name]), pa.int32())
-                columns = [same("block_no"), same("width"), pa.array(query_ids[at]), pa.array(best.ids[at, rank]), pa.array(best.scores[at, rank].astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, ["block_no", "width", "query_id", "vec_id", "score"])
+                for name, values in zip(found, (np.full(len(at), row["block_no"]), query_ids[at], best.ids[at, rank], best.scores[at, rank].astype(np.int64))):
+                    found[name].append(values)
+        one = {name: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64), pa.int64()) for name, v in found.items()}
+        return pa.table([one["block_no"].cast(pa.int32()), pa.array(np.full(len(one["score"]), keys[1].as_py()), pa.int32()), one["query_id"], one["vec_id"], one["score"]], ["block_no", "width", "query_id", "vec_id", "score"])
 
-    return pairs.mapInArrow(run, "block_no int, width int, query_id long, vec_id long, score long")
+    pairs = pairs.withColumn("batch", F.floor(F.col("block_no") / BATCH).cast("int"))
+    trees = trees.withColumn("batch", F.explode(F.sequence(F.lit(0), F.lit(batches - 1))))
+    on = ("shard_no", "width", "batch")
+    return trees.groupBy(*on).cogroup(pairs.groupBy(*on)).applyInArrow(run, "block_no int, width int, query_id long, vec_id long, score long")
 
 
 def with_floors(keys, blocks: pa.Table, floors: pa.Table) -> pa.Table:
@@ -157,12 +170,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE
     packs = packed(deal(asked, "block_no", blocks), "block_no", "block")
 
     first = packs.withColumn("shard_no", F.pmod("block_no", F.lit(shards))).withColumn("floor", F.lit(None).cast("binary"))
-    kth = visit(trees.join(first, ["shard_no", "width"]), k).groupBy("block_no", "width", "query_id").agg(F.min("score").alias("kth"), F.count("*").alias("n"))
+    batches = -(-blocks // BATCH)
+    found = common.written(visit(trees, first, k, batches), "first-scores")
+    kth = found.groupBy("block_no", "width", "query_id").agg(F.min("score").alias("kth"), F.count("*").alias("n"))
     kth = kth.filter(F.col("n") >= k).drop("n")
     cogroup = packs.groupBy("block_no", "width").cogroup(kth.groupBy("block_no", "width"))
     bounded = cogroup.applyInArrow(with_floors, "block_no int, width int, block_ids binary, block binary, floor binary")
-    pairs = bounded.withColumn("shard_no", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    found = visit(trees.join(pairs, ["shard_no", "width"]), k)
+    pairs = bounded.withColumn("shard_no", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).filter(F.col("shard_no") != F.pmod("block_no", F.lit(shards)))
+    found = found.unionByName(visit(trees, pairs, k, batches))
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

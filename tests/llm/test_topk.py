@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from tallybridge.llm import topk
 
@@ -29,6 +30,15 @@ def test_equals_brute_force(spark):
         assert sorted(map(tuple, got.collect())) == brute(rows, 5)
 
 
+def test_large_components(spark):
+    rows = [(0, [3000.0, -2.0]), (1, [1e6, 7.0]), (2, [-5e5, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert sorted(map(tuple, topk.top_k(df, df.filter("vec_id = 0")).collect())) == [(0, 1, 1, 768000 * 256000000 - 512 * 1792), (0, 2, 2, -768000 * 128000000 - 512 * 512)]
+    huge = spark.createDataFrame([(0, [1e12]), (1, [1e12])], "vec_id long, embedding array<float>")
+    with pytest.raises(Exception, match="smaller scale"):
+        topk.top_k(huge, huge).collect()
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df, df).count() == 0
