@@ -13,8 +13,10 @@ k-means runs in one Spark task per language over that sample, and the model (lan
 floats) is bounded too. Prediction is a map over all rows.
 
 Cases: a null text or one without a letter is ``und`` with score 0 and is rejected. Without any training row, every
-text is. Ties of cosines go to the language that sorts first. Rows with a null lang or text teach nothing. Repeated
-rows and ids are predicted row by row. Other input columns are carried only on request.
+text is. Ties of cosines go to the language that sorts first. Rows with a null lang or text teach nothing. In
+op4_language rows with a null doc_id teach nothing either, and their held_out is null. Very long texts are taken whole; a text
+with one n-gram more than 65,535 times teaches that count. Repeated rows and ids are predicted row by row. Other input
+columns are carried only on request.
 """
 
 from __future__ import annotations
@@ -132,16 +134,18 @@ def fit(labelled: DataFrame, clusters: int = CLUSTERS, sample: int = SAMPLE) ->
 
     picked = common.written(rows.filter(part < share[F.col("lang")]).mapInArrow(count, "lang string, counts binary, letters long, half int"), "language-sample")
 
-    def frequencies(batches):
-        seen, n = np.zeros(DIMENSIONS, np.int64), 0
+    def frequencies(batches):  # texts in all as slot -1
+        seen = np.zeros(DIMENSIONS + 1, np.int64)
         for batch in batches:
             for row in batch.column("counts"):
-                seen += np.frombuffer(row.as_buffer(), np.uint16) > 0
-                n += 1
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([seen.tolist()], pa.list_(pa.int64()))], ["n", "seen"])
-
-    parts = picked.filter("half < 2").mapInArrow(frequencies, "n long, seen array<long>").collect()
-    n, seen = sum(p["n"] for p in parts), np.sum([p["seen"] for p in parts], axis=0)
+                seen[1:] += np.frombuffer(row.as_buffer(), np.uint16) > 0
+                seen[0] += 1
+        slots = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(slots - 1, pa.int64()), pa.array(seen[slots])], ["slot", "texts"])
+
+    sums = picked.filter("half < 2").mapInArrow(frequencies, "slot long, texts long").groupBy("slot").agg(F.sum("texts").alias("texts"))
+    texts = {r["slot"]: r["texts"] for r in sums.collect()}  # DIMENSIONS + 1 rows at most
+    n, seen = texts.get(-1, 0), np.array([texts.get(k, 0) for k in range(DIMENSIONS)])
     idf = np.log((1 + n) / (1 + seen)) + 0.1
 
     def cluster(key, table):

@@ -35,3 +35,45 @@ def test_unlearned_and_gibberish(spark):
     short = [x.text[:60] for x in docs.select("text").collect() if len(x.text) >= 60]
     rows = language.predicted(frame(spark, short), model).collect()
     assert sum(x.rejected for x in rows) <= 0.02 * len(rows)
+
+
+def brute(texts, idf):
+    """TF-IDF vectors from the definition, gram by gram."""
+    import math
+    import regex
+
+    rows = []
+    for t in texts:
+        plain = " " + regex.sub(r"[^\p{L}]+", " ", (t or "").lower()) + " "
+        x = [0.0] * language.DIMENSIONS
+        for width in (2, 3):
+            for k in range(len(plain) - width + 1):
+                key = 0
+                for c in plain[k : k + width]:
+                    key = key * 0x110000 + ord(c)
+                x[((key + width) * 0x9E3779B97F4A7C15 % 2**64) >> 52] += 1
+        x = [(1 + math.log(v)) * w if v else 0.0 for v, w in zip(x, idf)]
+        size = math.sqrt(sum(v * v for v in x)) or 1.0
+        rows.append([v / size for v in x])
+    return rows
+
+
+def test_cosines_equal_brute_force(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text", "lang").limit(60).collect()
+    texts = [r.text[:400] for r in rows] + ["x" * 5000, "Straße ÉTÉ", "a"]
+    model = language.fit(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    langs, centres, idf, _ = model
+    got = {r.doc_id: r for r in language.predicted(frame(spark, texts), model).collect()}
+    for k, x in enumerate(brute(texts, idf)):
+        cosines = [sum(a * b for a, b in zip(x, c)) for c in centres.tolist()]
+        best = max(range(len(cosines)), key=lambda i: cosines[i])
+        assert got[k].lang_pred == langs[best] and abs(got[k].score - max(0, min(1, cosines[best]))) < 1e-4
+
+
+def test_null_ids_and_repeated_rows(spark, tmp_path):
+    texts = ["the cat and the dog of the house"] * 30 + ["le chat et le chien de la maison"] * 30 + ["the dog"]
+    docs = frame(spark, texts, ids=[*range(58), None, None, None]).selectExpr("doc_id", "text", "IF(text LIKE 'le%', 'fr', 'en') AS lang", "source")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = language.op4_language(spark, str(tmp_path)).collect()
+    assert len(got) == 61 and sum(r.held_out is None for r in got) == 3
+    assert all(r.lang_pred in ("en", "fr") for r in got)
