@@ -30,12 +30,18 @@ GAP_BINS = ((None, 1_000, "< 1K"), (1_000, 5_000, "1K – 5K"), (5_000, 10_000,
 UNKNOWN_BIN, UNKNOWN_RANK = "UNKNOWN", 99
 
 # Month names.
-MONTHS = ("Jan", "Fév", "Mar", "Avr", "Mai", "Juin", "Juil", "Août", "Sep", "Oct", "Nov", "Déc")
+MONTHS = ("Jan", "Fév", "Mar", "Avr", "Mai", "Jun", "Jul", "Aoû", "Sep", "Oct", "Nov", "Déc")
 
 #: Ledger clause prefix of each contract type; an unknown type is an error, never a filter left out.
 TYPE_PREFIXES = {"PB": "CPB_"}
 
 
+def year_of(date: str | None) -> int | None:
+    """The year of a dd/MM/yyyy text; None for "auto", nothing or anything else."""
+    last = str(date).split("/")[-1]
+    return int(last) if last.isdecimal() else None
+
+
 @dataclass(frozen=True)
 class Recon:
     vision: str = "2023"

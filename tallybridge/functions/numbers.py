@@ -20,9 +20,8 @@ def day(text: Column, pattern: str = "dd/MM/yyyy") -> Column:
 
 
 def rounded(x: Column, places: int = 2) -> Column:
-    """Half up, in doubles; null for null."""
-    scale = float(10**places)
-    return F.floor(x.cast("double") * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    """Half away from zero on decimal digits, as a double; null for null."""
+    return F.round(x.cast("double"), places)
 
 
 def percent(part: Column, whole: Column, places: int = 2, empty: float | None = None) -> Column:

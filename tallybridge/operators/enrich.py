@@ -9,16 +9,23 @@ from pyspark.sql import functions as F
 
 from ..config import LEDGER_LATE, LEDGER_LATE_OBS, LEDGER_ONLY, Recon
 from ..functions import text
+from ..plans.cut import cut
 
 
 def recover_late(result: DataFrame, inventories: Sequence[tuple[str, DataFrame]], cfg: Recon = Recon(), key: str = "key_no_date") -> DataFrame:
     """LEDGER_ONLY rows that an inventory of the ordered list has by key become LEDGER_LATE; the first hit wins.
 
     late_source names the inventory, and the row takes its inv_* columns (representative: first by event date and
-    id). cfg.late_days bounds the days between the events, if set. Rows and their number stay as they are.
+    id). cfg.late_days bounds the days between the events, if set. Rows and their number stay as they are. Only
+    orphans are joined: result is written once, and its other rows are not shuffled again.
     """
     if "late_source" not in result.columns:
         result = result.withColumn("late_source", F.lit(None).cast("string"))
+    if not inventories:
+        return result
+    result = cut(result, "result")
+    orphan = F.coalesce((F.col("recon_label") == LEDGER_ONLY) & F.col("late_source").isNull() & F.col(key).isNotNull(), F.lit(False))
+    settled, result = result.filter(~orphan), result.filter(orphan)
     own = [c for c in result.columns if c.startswith("inv_")]
     for name, inventory in inventories:
         order = F.struct(F.col("inv_event_date").isNull().alias("unknown"), "inv_event_date", "inv_id", *[F.col(c) for c in inventory.columns if c.startswith("inv_") and c not in ("inv_event_date", "inv_id")])
@@ -33,7 +40,7 @@ def recover_late(result: DataFrame, inventories: Sequence[tuple[str, DataFrame]]
         changed = {c: F.when(hit, F.col(f"late_row.{c}")).otherwise(F.col(c)) for c in there}
         changed |= {"recon_label": F.when(hit, LEDGER_LATE).otherwise(F.col("recon_label")), "late_source": F.when(hit, F.lit(name)).otherwise(F.col("late_source"))}
         result = joined.withColumns(changed).drop("late_key", "late_row")
-    return result
+    return settled.unionByName(result)
 
 
 def flag_late_observations(result: DataFrame, cfg: Recon) -> DataFrame:

@@ -57,15 +57,23 @@ def candidates(ledger: DataFrame, inventory: DataFrame, key: str, condition: Con
     return pairs.drop("days")
 
 
-def remaining(ledger: DataFrame, inventory: DataFrame, pairs: DataFrame, key: str, consume: str) -> tuple[DataFrame, DataFrame]:
+def matched(ledger: DataFrame, inventory: DataFrame, key: str, condition: Condition | None, cfg: Recon) -> DataFrame:
+    """The ledger's rows, each with the inv_id that a step gives it or null: pairs and what is left, in one pass."""
+    if cfg.pick == "nearest" or cfg.one_to_one:
+        pairs = candidates(ledger, inventory, key, condition, cfg)
+        return ledger.join(pairs.select(F.col("led_id").alias("id"), "inv_id"), "id", "left").select(*ledger.columns, "inv_id")
+    joined = ledger.join(representatives(inventory, key), key, "left")
+    found = F.when(condition(), F.col("inv_id")) if condition else F.col("inv_id")
+    return joined.select(*ledger.columns, found.alias("inv_id"))
+
+
+def remaining(annotated: DataFrame, inventory: DataFrame, key: str, consume: str) -> tuple[DataFrame, DataFrame]:
     """What a step leaves: rows that it did not match, or (consume="key") rows of keys that it did not match."""
+    pairs, ledger = annotated.filter("inv_id IS NOT NULL"), annotated.filter("inv_id IS NULL").drop("inv_id")
     if consume == "key":
-        taken = pairs.select(F.col("key").alias(key)).distinct()
+        taken = pairs.select(key).distinct()
         return ledger.join(taken, key, "left_anti"), inventory.join(taken, key, "left_anti")
-    return (
-        ledger.join(pairs.select(F.col("led_id").alias("id")), "id", "left_anti"),
-        inventory.join(pairs.select(F.col("inv_id").alias("id")).distinct(), "id", "left_anti"),
-    )
+    return ledger, inventory.join(pairs.select(F.col("inv_id").alias("id")).distinct(), "id", "left_anti")
 
 
 def split_deletes(inventory: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -53,6 +53,11 @@ def audited(df: DataFrame) -> DataFrame:
     return df.filter("action IS NOT NULL").withColumn("audit", F.when(followed, "CONFORM").otherwise("NON_CONFORM"))
 
 
+def audit_detail(df: DataFrame) -> DataFrame:
+    """The audited rows themselves."""
+    return audited(df)
+
+
 def audit_summary(df: DataFrame) -> DataFrame:
     dims = ["clause", "type", *optional(df, "inv_status"), "action"]
     out = audited(df).groupBy(*dims, "audit").agg(F.count("*").alias("nb"), total(INV).alias("inv_reserve"))
@@ -179,16 +184,23 @@ def late_obs_breakdown(df: DataFrame) -> DataFrame:
 
 
 def identity() -> Column:
-    """Who an inventory row is, nulls included."""
-    return F.struct("inv_person_id", "inv_full_name", "inv_birth_date", "inv_event_date", "inv_coverage")
+    """Who an inventory row is, nulls included; the spelling of the name does not count."""
+    return F.struct("inv_person_id", "inv_birth_date", "inv_event_date", "inv_coverage")
 
 
-def fanout_detail(df: DataFrame) -> DataFrame:
-    """Inventory identities that several ledger rows match: how often, in which steps, with the largest reserve."""
+def fanout_detail(df: DataFrame, top: int | None = None) -> DataFrame:
+    """Inventory identities that several ledger rows match: how often, in which steps, with the largest reserve and the first name; all or the top ones."""
     out = df.filter(matched()).groupBy(identity().alias("who")).agg(
-        F.count("*").alias("nb_ledger"), money(F.max(INV)).alias("inv_reserve"), F.array_join(F.array_sort(F.collect_set("recon_label")), ",").alias("steps")
+        F.count("*").alias("nb_ledger"), money(F.max(INV)).alias("inv_reserve"), F.array_join(F.array_sort(F.collect_set("recon_label")), ",").alias("steps"), F.min("inv_full_name").alias("full_name")
     )
-    return out.filter("nb_ledger > 1").select("who.*", "nb_ledger", "inv_reserve", "steps").orderBy(F.desc("nb_ledger"), F.desc("inv_reserve"))
+    out = out.filter("nb_ledger > 1").select("who.*", "nb_ledger", "inv_reserve", "steps", "full_name")
+    order = [F.desc("nb_ledger"), F.desc_nulls_last("inv_reserve"), "inv_person_id", "inv_birth_date", "inv_event_date", "inv_coverage"]
+    return top_rows(out, top, *order) if top else out.orderBy(*order)
+
+
+def top_rows(df: DataFrame, n: int, *order) -> DataFrame:
+    """The first n rows of an order, which should be total; Spark keeps n rows per partition, not a sorted whole."""
+    return df.orderBy(*order).limit(n)
 
 
 def fanout_summary(df: DataFrame, inventory: DataFrame) -> DataFrame:

@@ -1,15 +1,30 @@
-"""Cutting lineage between steps of a cascade."""
+"""Cutting lineage: written tables in the folder that driver and executors share."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+#: Stands in for the shared folder where a local session has none, as in tests.
+_OWN: dict[str, str] = {}
 
-def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint: in the shared folder of the session, or one of its own where that is unset, as in tests."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallybridge-"))
-    return df.checkpoint(eager=True)
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path below spark.checkpoint.dir, else below the context's checkpoint folder; only a local session gets one of its own."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        if "path" not in _OWN:
+            _OWN["path"] = tempfile.mkdtemp(prefix="tallybridge-")
+        base = _OWN["path"]
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+    """df as a table: computed once, its size known to the optimiser, and safe when executors go."""
+    path = shared_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

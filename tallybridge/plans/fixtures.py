@@ -30,7 +30,8 @@ SELECT k AS id, person_id, name AS full_name, birth_date,
     WHEN 2 THEN CAST(0.95 AS DECIMAL(3,2)) WHEN 3 THEN CAST(1.80 AS DECIMAL(3,2)) ELSE CAST(0.60 AS DECIMAL(3,2)) END AS DECIMAL(18,2)) END AS reserve,
   CASE WHEN cls = 14 OR m7 = 4 THEN 'PM MRM à supprimer' WHEN m7 < 2 THEN 'PM MRM à conserver' WHEN m7 = 2 THEN 'PM à ajouter'
     WHEN m7 = 3 THEN 'PM MRM à étudier' WHEN m7 = 5 THEN 'Autre' END AS instruction,
-  clause_no AS clause, 'PB' AS type, CASE WHEN k % 3 = 0 THEN 'OUI' ELSE 'NON' END AS status
+  clause_no AS clause, 'PB' AS type, CASE WHEN k % 3 = 0 THEN 'OUI' ELSE 'NON' END AS status,
+  CASE WHEN cls = 15 THEN DATE '2000-12-31' ELSE DATE '1999-12-31' - CAST(k % 31 AS INT) END AS inventory_date
 FROM ({base}) b WHERE cls {which}"""
 
 NOW, NEXT = "NOT IN (11, 15)", "= 15"
@@ -82,3 +83,13 @@ def csv_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("coverage").cast("string").alias("CDGRCA"), F.col("status").alias("Statut_INV"), F.when(F.col("id") % 50 == 2, "n/a").otherwise(reserve).alias("PM_BASE_Revue_INV"),
         F.col("clause").alias("n_clause_ratta1"), F.col("type").alias("TYPE_CLAUSE"),
     )
+
+
+def text_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw ledger with dates and amounts as text; every 50th event and amount is bad."""
+    df, bad = raw_ledger(spark, sf_dir), F.col("led_id") % 50
+    return df.withColumns({
+        "date_de_naissance_de_l_assure": F.col("date_de_naissance_de_l_assure").cast("string"),
+        "date_de_l_arret_de_travail": F.when(bad == 1, "1999-02-31").otherwise(F.col("date_de_l_arret_de_travail").cast("string")),
+        "pm_au_31_12": F.when(bad == 2, "n/a").otherwise(F.col("pm_au_31_12").cast("string")), "terme_de_garantie": F.col("terme_de_garantie").cast("string"),
+    })

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import ACTION_ORDER, INV_DELETE, INV_MISSING, KEPT_ACTIONS, KNOWN, LEDGER_LATE, LEDGER_LATE_OBS, LEDGER_ONLY, MATCHED, PRINCIPAL, RECOVERED, REFINED
 from ..functions.numbers import money, percent, rounded
+from ..operators.enrich import inventory_date
 
 #: Sums that the figures are made of: name, labels, actions (None: all). Each has _nb, _inv and _led.
 SUMS = {
@@ -56,6 +57,12 @@ def kpi_wide(df: DataFrame) -> DataFrame:
     return sums.select(*figures, F.expr("all_nb = known_nb").alias("coherent"), "unknown_labels")
 
 
+def kpi_header(df: DataFrame, fixed: str | None = None) -> DataFrame:
+    """What stands above the figures: the inventory's date (given or found), whether every row has a known label, unknown labels."""
+    sums = kpi_wide(df).select("coherent", "unknown_labels", F.lit(1).alias("one"))
+    return inventory_date(df, fixed).withColumn("one", F.lit(1)).join(sums, "one").drop("one")
+
+
 def kpi_summary(df: DataFrame) -> DataFrame:
     """The figures as rows (metric, value)."""
     wide = kpi_wide(df)

@@ -1,13 +1,21 @@
-"""SQL for every query: the fixture, the cascade as chained CTEs, and a SELECT for each table."""
+"""SQL for every query: the fixture, the cascade as chained CTEs, and a SELECT for each table.
+
+Labels, phrases, bins and formulas are written out here, so that a slip in the code under test shows.
+"""
 
 from __future__ import annotations
 
-from ..config import ACTION_ORDER, GAP_BINS, INSTRUCTIONS, KNOWN, MATCHED, MONTHS, RESERVE_BINS, Recon
-from . import fixtures, kpi
+from . import fixtures
 
 FULL = "regexp_replace(upper(trim(full_name)), '\\s+', '', 'g')"
 CUT = "regexp_replace(substr(upper(trim(full_name)), 1, 20), '\\s+', '', 'g')"
-MATCH = ", ".join(f"'{x}'" for x in MATCHED)
+# Labels, months, bins (low, high, label), order of actions.
+MATCH = "'MATCH_EXACT', 'MATCH_WINDOW', 'MATCH_TRUNC', 'MATCH_TRUNC_WINDOW', 'MATCH_TRANSITION', 'MATCH_RELAPSE', 'MATCH_RELAPSE_TRUNC'"
+KNOWN = f"{MATCH}, 'INV_DELETE', 'INV_MISSING', 'LEDGER_ONLY', 'LEDGER_LATE', 'LEDGER_LATE_OBS'"
+MONTHS = "['Jan', 'Fév', 'Mar', 'Avr', 'Mai', 'Jun', 'Jul', 'Aoû', 'Sep', 'Oct', 'Nov', 'Déc']"
+RESERVE_BINS = [(None, 5000, "< 5K"), (5000, 20000, "5K – 20K"), (20000, 50000, "20K – 50K"), (50000, 100000, "50K – 100K"), (100000, None, "> 100K")]
+GAP_BINS = [(None, 1000, "< 1K"), (1000, 5000, "1K – 5K"), (5000, 10000, "5K – 10K"), (10000, 50000, "10K – 50K"), (50000, 100000, "50K – 100K"), (100000, None, "> 100K")]
+ACTIONS = "['KEEP', 'STUDY', 'ADD', 'DELETE']"
 KAS = "action IN ('KEEP', 'ADD', 'STUDY')"
 
 
@@ -19,7 +27,9 @@ def _key(event: bool, cov: bool, cut: bool) -> str:
 
 KEYS = {"key_strict": (True, True, False), "key_no_date": (False, True, False), "key_strict_trunc": (True, True, True), "key_no_date_trunc": (False, True, True), "key_no_coverage": (True, False, False)}
 KEY_COLUMNS = ", ".join(f"{_key(*parts)} AS {name}" for name, parts in KEYS.items())
-ACTION = "CASE " + " ".join(f"WHEN contains(lower(trim(instruction)), '{p.replace(chr(39), chr(39) * 2)}') THEN '{a}'" for p, a in INSTRUCTIONS) + " END"
+ACTION = """CASE WHEN contains(lower(trim(instruction)), 'pm mrm à conserver') THEN 'KEEP' WHEN contains(lower(trim(instruction)), 'pm à ajouter') THEN 'ADD'
+  WHEN contains(lower(trim(instruction)), 'pm dont l''ajout est à étudier') THEN 'ADD' WHEN contains(lower(trim(instruction)), 'pm mrm à étudier') THEN 'STUDY'
+  WHEN contains(lower(trim(instruction)), 'psap à conserver et pm mrm à supprimer') THEN 'DELETE' WHEN contains(lower(trim(instruction)), 'pm mrm à supprimer') THEN 'DELETE' END"""
 
 
 def base(sql: str, which: str = fixtures.NOW) -> str:
@@ -43,20 +53,27 @@ STEPS = [
 ]
 
 
-def cascade(consume: str = "row", steps: int = len(STEPS)) -> str:
+def cascade(consume: str = "row", steps: int = len(STEPS), pick: str = "first", one_to_one: bool = False, leave_out: str = "") -> str:
     """CTEs up to ``labels`` (led_id, inv_id, recon_label)."""
     out = [SOURCES, "led0 AS (SELECT * FROM ledger)", "inv0 AS (SELECT * FROM inventory)", "inv_delete AS (SELECT * FROM inventory WHERE false)"]
+    done = []
     for n, (label, key, condition) in enumerate(STEPS[:steps], 1):
         before = f"inv{n - 1}"
         if label == "MATCH_TRANSITION":
             out[3] = ""
             out += [f"inv_delete AS MATERIALIZED (SELECT * FROM {before} WHERE coalesce(action = 'DELETE', false))", f"inv{n - 1}k AS MATERIALIZED (SELECT * FROM {before} WHERE NOT coalesce(action = 'DELETE', false))"]
             before = f"inv{n - 1}k"
-        out.append(f"rep{n} AS MATERIALIZED (SELECT * FROM {before} QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY event_date, id) = 1)")
-        out.append(f"pairs{n} AS MATERIALIZED (SELECT l.id AS led_id, r.id AS inv_id, '{label}' AS recon_label, l.{key} AS key FROM led{n - 1} l JOIN rep{n} r ON l.{key} = r.{key} WHERE {condition})")
+        if label == leave_out:
+            out += [f"led{n} AS (SELECT * FROM led{n - 1})", f"inv{n} AS (SELECT * FROM {before})"]
+            continue
+        done.append(n)
+        reps = f"(SELECT * FROM {before} QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY event_date, id) = 1)" if pick == "first" else before
+        best = "" if pick == "first" else f"QUALIFY row_number() OVER (PARTITION BY l.id ORDER BY {NEAR}, r.id) = 1"
+        best = f"QUALIFY row_number() OVER (PARTITION BY r.id ORDER BY {NEAR}, l.id) = 1" if one_to_one else best
+        out.append(f"pairs{n} AS MATERIALIZED (SELECT l.id AS led_id, r.id AS inv_id, '{label}' AS recon_label, l.{key} AS key FROM led{n - 1} l JOIN {reps} r ON l.{key} = r.{key} WHERE {condition} {best})")
         gone = (lambda col: f"{key} NOT IN (SELECT key FROM pairs{n})") if consume == "key" else (lambda col: f"id NOT IN (SELECT {col} FROM pairs{n})")  # noqa: B023
         out += [f"led{n} AS MATERIALIZED (SELECT * FROM led{n - 1} WHERE {gone('led_id')})", f"inv{n} AS MATERIALIZED (SELECT * FROM {before} WHERE {gone('inv_id')})"]
-    parts = [f"SELECT led_id, inv_id, recon_label FROM pairs{n}" for n in range(1, steps + 1)]
+    parts = [f"SELECT led_id, inv_id, recon_label FROM pairs{n}" for n in done]
     parts += ["SELECT NULL::BIGINT, id, 'INV_DELETE' FROM inv_delete", f"SELECT id, NULL::BIGINT, 'LEDGER_ONLY' FROM led{steps}", f"SELECT NULL::BIGINT, id, 'INV_MISSING' FROM inv{steps}"]
     out.append(f"labels AS MATERIALIZED ({' UNION ALL '.join(parts)})")
     return "WITH " + ",\n".join(x for x in out if x)
@@ -66,7 +83,7 @@ def _side(prefix: str, alias: str, names: str) -> str:
     return ", ".join(f"{alias}.{c} AS {prefix}_{c}" for c in names.split())
 
 
-LED, INV = "person_id full_name birth_date event_date coverage reserve clause", "person_id full_name birth_date event_date coverage reserve instruction clause type status"
+LED, INV = "person_id full_name birth_date event_date coverage reserve clause", "person_id full_name birth_date event_date coverage reserve instruction clause type status inventory_date"
 LATE_ROW = "late_reps AS MATERIALIZED (SELECT * FROM later QUALIFY row_number() OVER (PARTITION BY key_no_date ORDER BY event_date, id) = 1)"
 RESULT = f"""{cascade()},
 {LATE_ROW},
@@ -95,7 +112,7 @@ def d(x: str) -> str:
 
 
 def r(x: str, places: int = 2) -> str:
-    return f"floor(CAST({x} AS DOUBLE) * {10**places}.0::DOUBLE + 0.5::DOUBLE) / {10**places}.0::DOUBLE"
+    return f"CAST(round(CAST(CAST({x} AS DOUBLE) AS DECIMAL(38, 12)), {places}) AS DOUBLE)"
 
 
 def pct(a: str, b: str, places: int = 2, empty: str = "NULL") -> str:
@@ -141,8 +158,7 @@ def _shortfall(inv: str, led: str, category: str) -> str:
 
 
 def _by_month(date: str, reserve: str, extra: str, where: str) -> str:
-    months = "[" + ", ".join(f"'{x}'" for x in MONTHS) + "]"
-    return f"""{RESULT} SELECT clause, type, {extra} CAST(year({date}) AS INT) AS year, CAST(month({date}) AS INT) AS month, {months}[month({date})] AS month_label, month({date}) IN (10, 11, 12) AS year_end,
+    return f"""{RESULT} SELECT clause, type, {extra} CAST(year({date}) AS INT) AS year, CAST(month({date}) AS INT) AS month, {MONTHS}[month({date})] AS month_label, month({date}) IN (10, 11, 12) AS year_end,
     {both_bins(reserve)}, count(*) AS nb, {d(f'sum({reserve})')} AS reserve, {mean(reserve)} AS reserve_mean FROM result WHERE {where} GROUP BY ALL"""
 
 
@@ -156,17 +172,50 @@ def _breakdown(label: str, days: bool) -> str:
     SELECT g.*, modal_day FROM g JOIN days USING (year, month, coverage)"""
 
 
-def _kpi_base() -> str:
-    out = ["CAST(count(*) AS DOUBLE) AS all_nb"]
-    for name, (labels, actions) in kpi.SUMS.items():
-        where = "recon_label IN (" + ", ".join(f"'{x}'" for x in labels) + ")" + ("" if actions is None else " AND action IN (" + ", ".join(f"'{x}'" for x in actions) + ")")
-        out += [f"{total_if('1', where)} AS {name}_nb", f"{total_if('inv_reserve', where)} AS {name}_inv", f"{total_if('led_reserve', where)} AS {name}_led"]
-    return ", ".join(out)
-
-
-KPI = f"{RESULT}, sums AS (SELECT {_kpi_base()} FROM result)\n" + " UNION ALL ".join(
-    [f"SELECT '{n}' AS metric, {r(e)} AS value FROM sums" for n, e in kpi.FIGURES.items()] + [f"SELECT '{n}' AS metric, {pct(a, b, 1, '0.0')} AS value FROM sums" for n, (a, b) in kpi.RATES.items()]
-)
+METRICS = f"{MATCH}, 'LEDGER_LATE'"
+MISSING_KEEP, MISSING_STUDY, MISSING_ADD = ("recon_label = 'INV_MISSING' AND action = '" + a + "'" for a in ("KEEP", "STUDY", "ADD"))
+
+
+def _figures() -> list[tuple[str, str]]:
+    """Each figure as SQL over result."""
+    one = lambda *labels: "recon_label IN (" + ", ".join(f"'{x}'" for x in labels) + ")"
+    nb = lambda where: f"CAST(count(*) FILTER ({where}) AS DOUBLE)"
+    inv, led = (lambda where, c=c: total_if(c, where) for c in ("inv_reserve", "led_reserve"))
+    matched, metrics = f"recon_label IN ({MATCH})", f"recon_label IN ({METRICS})"
+    principal, refined, recovered = one("MATCH_EXACT", "MATCH_WINDOW"), one("MATCH_TRUNC", "MATCH_TRUNC_WINDOW", "MATCH_TRANSITION"), one("MATCH_RELAPSE", "MATCH_RELAPSE_TRUNC")
+    out = []
+    for name, where in [
+        ("to_delete", one("INV_DELETE")), ("principal", principal), ("refined", refined), ("recovered", recovered), ("missing", one("INV_MISSING")),
+        ("missing_keep", MISSING_KEEP), ("missing_study", MISSING_STUDY), ("missing_add", MISSING_ADD),
+    ]:
+        out += [(f"{name}_nb", nb(where)), (f"{name}_reserve", inv(where))]
+    whole, compared = f"({matched} OR recon_label IN ('INV_DELETE', 'INV_MISSING'))", f"({matched} OR recon_label = 'INV_MISSING')"
+    books = f"({matched} OR recon_label IN ('LEDGER_ONLY', 'LEDGER_LATE', 'LEDGER_LATE_OBS'))"
+    out += [("inv_nb", nb(whole)), ("inv_reserve", inv(whole)), ("to_compare_nb", nb(compared)), ("to_compare_reserve", inv(compared)), ("led_nb", nb(books)), ("led_reserve", led(books))]
+    out += [("matched_nb", nb(matched)), ("matched_inv", inv(matched)), ("matched_led", led(matched)), ("matched_gap", f"{inv(matched)} - {led(matched)}"), ("found_nb", nb(metrics))]
+    late, obs, only = one("LEDGER_LATE"), one("LEDGER_LATE_OBS"), one("LEDGER_ONLY")
+    out += [("late_nb", nb(late)), ("late_led", led(late)), ("late_inv", inv(late)), ("late_obs_nb", nb(obs)), ("late_obs_led", led(obs)), ("only_nb", nb(only)), ("only_led", led(only))]
+    out += [("metrics_nb", nb(metrics)), ("metrics_inv", inv(metrics)), ("metrics_led", led(metrics)), ("metrics_gap", f"{inv(metrics)} - {led(metrics)}")]
+    return [*out, ("total_rows", "CAST(count(*) AS DOUBLE)"), ("classified_rows", nb(f"recon_label IN ({KNOWN})"))]
+
+
+def _rates() -> list[tuple[str, str, str]]:
+    """Each rate as numerator and denominator over result."""
+    n = lambda where: f"count(*) FILTER ({where})"
+    s_if = lambda c, where: f"CAST(coalesce(sum({c}) FILTER ({where}), 0) AS DOUBLE)"
+    reconcilable, kept = f"recon_label IN ({METRICS}, 'LEDGER_ONLY')", f"recon_label IN ({METRICS}) AND {KAS}"
+    return [
+        ("coverage_inv", n("m"), n("m OR recon_label = 'INV_MISSING'")), ("coverage_led", n("m"), n(reconcilable)),
+        ("recovery_late", n("recon_label = 'LEDGER_LATE'"), n("recon_label IN ('LEDGER_LATE', 'LEDGER_ONLY')")), ("recovery_all", n(f"recon_label IN ({METRICS})"), n(reconcilable)),
+        ("shortfall", f"({s_if('inv_reserve', kept)} - {s_if('led_reserve', kept)})", s_if("inv_reserve", kept)),
+        ("conformity", n(f"m AND {KAS}"), n(f"(m OR recon_label = 'INV_MISSING') AND {KAS}")),
+        ("metrics_gap_pct", f"({s_if('inv_reserve', U)} - {s_if('led_reserve', U)})", s_if("inv_reserve", U)),
+    ]
+
+
+KPI = f"{RESULT}\n" + " UNION ALL ".join([f"SELECT '{n}' AS metric, {r(e)} AS value FROM result" for n, e in _figures()] + [f"SELECT '{n}' AS metric, {pct(a, b, 1, '0.0')} AS value FROM result" for n, a, b in _rates()])
+KPI_HEADER = f"""{RESULT} SELECT strftime(max(inv_inventory_date) FILTER (recon_label <> 'LEDGER_LATE'), '%d/%m/%Y') AS inventory_date,
+  count(*) = count(*) FILTER (recon_label IN ({KNOWN})) AS coherent, coalesce(string_agg(DISTINCT recon_label, ',' ORDER BY recon_label) FILTER (recon_label NOT IN ({KNOWN})), '') AS unknown_labels FROM result"""
 RESIDUAL = "recon_label = CASE WHEN action = 'DELETE' THEN 'INV_DELETE' ELSE 'INV_MISSING' END"
 KPI_BY_ACTION = f"""{RESULT}, a AS (
   SELECT action, count(*) AS nb, {n_if('m')} AS nb_matched, {n_if('m AND inv0 <> 0')} AS nb_nonzero, {total_if('inv_reserve', 'm')} AS inv_reserve, {total_if('led_reserve', 'm')} AS led_reserve
@@ -178,14 +227,14 @@ SELECT *, {r('inv_reserve - led_reserve')} AS gap, action <> 'DELETE' AS relevan
 GLOBAL = f"""{RESULT}, a AS (
   SELECT action, count(*) AS nb_total, {n_if('m')} AS nb_matched, {n_if('m AND inv0 <> 0')} AS nb_nonzero, {total_if('inv_reserve', 'm')} AS inv_reserve, {total_if('led_reserve', 'm')} AS led_reserve
   FROM result WHERE action IS NOT NULL AND (m OR recon_label IN ('INV_MISSING', 'INV_DELETE')) GROUP BY action),
-b AS (SELECT *, CAST(list_position([{', '.join(f"'{x}'" for x in ACTION_ORDER)}], action) AS INT) AS rank, nb_total - nb_matched AS nb_orphan, nb_matched - nb_nonzero AS nb_zero, {r('inv_reserve - led_reserve')} AS gap FROM a),
+b AS (SELECT *, CAST(list_position({ACTIONS}, action) AS INT) AS rank, nb_total - nb_matched AS nb_orphan, nb_matched - nb_nonzero AS nb_zero, {r('inv_reserve - led_reserve')} AS gap FROM a),
 c AS (SELECT *, CASE WHEN action = 'DELETE' THEN nb_orphan ELSE nb_matched END AS nb_conform FROM b)
 SELECT *, {pct('nb_conform', 'nb_total')} AS pct_conform, CASE WHEN action <> 'DELETE' THEN {pct('inv_reserve - led_reserve', 'inv_reserve')} END AS shortfall_rate FROM c"""
 
-WHO = "inv_person_id, inv_full_name, inv_birth_date, inv_event_date, inv_coverage"
+WHO = "inv_person_id, inv_birth_date, inv_event_date, inv_coverage"
 FANOUT_SUMMARY = f"""{RESULT}
 SELECT count(*) AS matched_rows, count(DISTINCT row({WHO})) AS matched_identities, count(*) - count(DISTINCT row({WHO})) AS overcount,
-  (SELECT count(*) FROM inventory) AS input_rows, (SELECT count(DISTINCT row(person_id, full_name, birth_date, event_date, coverage)) FROM inventory) AS input_identities
+  (SELECT count(*) FROM inventory) AS input_rows, (SELECT count(DISTINCT row(person_id, birth_date, event_date, coverage)) FROM inventory) AS input_identities
 FROM result WHERE m"""
 
 AUDIT = "CASE WHEN m = (action <> 'DELETE') THEN 'CONFORM' ELSE 'NON_CONFORM' END"
@@ -205,11 +254,19 @@ RAW = f"({base(fixtures.RAW_LEDGER)})"
 LATEST = "row_number() OVER (PARTITION BY n_rpp, exercice_de_survenance, nom_prenom, date_de_naissance_de_l_assure, date_de_l_arret_de_travail, terme_de_garantie ORDER BY tech_day DESC, led_id) = 1"
 PARSED_RESERVE, PARSED_EVENT = "CASE WHEN id % 50 = 2 THEN NULL ELSE reserve END", "CASE WHEN id % 50 = 1 THEN NULL ELSE event_date END"
 
+FANOUT = f"""{RESULT} SELECT {WHO}, count(*) AS nb_ledger, {d('max(inv_reserve)')} AS inv_reserve, array_to_string(list_sort(list(DISTINCT recon_label)), ',') AS steps, min(inv_full_name) AS full_name
+  FROM result WHERE m GROUP BY {WHO} HAVING count(*) > 1"""
+CLEAN_LEDGER = f"""WITH l AS (SELECT led_id, n_rpp AS person_id, nom_prenom AS full_name, date_de_naissance_de_l_assure AS birth_date, CASE WHEN led_id % 50 <> 1 THEN date_de_l_arret_de_travail END AS event_date,
+    CAST(terme_de_garantie AS INT) AS coverage, {d('CASE WHEN led_id % 50 <> 2 THEN pm_au_31_12 END')} AS reserve FROM {RAW} x WHERE vision = '2023' AND starts_with(clause, 'CPB_')
+    QUALIFY row_number() OVER (PARTITION BY n_rpp, exercice_de_survenance, nom_prenom, date_de_naissance_de_l_assure, CASE WHEN led_id % 50 <> 1 THEN date_de_l_arret_de_travail END, terme_de_garantie ORDER BY tech_day DESC, led_id) = 1)
+  SELECT *, person_id || strftime(birth_date, '%Y%m%d') || coalesce(strftime(event_date, '%Y%m%d'), '') || CAST(coverage AS VARCHAR) || {FULL} AS key_strict,
+    person_id || strftime(birth_date, '%Y%m%d') || CAST(coverage AS VARCHAR) || {CUT} AS key_no_date_trunc FROM l"""
+
 ORACLES = {
-    "load_filter_ledger": f"SELECT led_id, clause, n_rpp, {d('pm_au_31_12')} AS reserve FROM {RAW} x WHERE vision = '{Recon.vision}' AND clause IN ('CPB_1000', 'CPB_1002')",
+    "load_filter_ledger": f"SELECT led_id, clause, n_rpp, {d('pm_au_31_12')} AS reserve FROM {RAW} x WHERE vision = '2023' AND clause IN ('CPB_1000', 'CPB_1002')",
     "load_inventory_csv": f"WITH {SOURCES} SELECT id AS inv_id, person_id, full_name, birth_date, {PARSED_EVENT} AS event_date, coverage, {d(PARSED_RESERVE)} AS reserve, {ACTION} AS action FROM inventory WHERE status = 'OUI'",
     "rename_prefix": f"SELECT led_id, n_rpp AS led_person_id, nom_prenom AS led_full_name, terme_de_garantie AS led_coverage FROM {RAW} x",
-    "keep_latest": f"SELECT led_id, {d('pm_au_31_12')} AS reserve, tech_day FROM {RAW} x WHERE vision = '{Recon.vision}' QUALIFY {LATEST}",
+    "keep_latest": f"SELECT led_id, {d('pm_au_31_12')} AS reserve, tech_day FROM {RAW} x WHERE vision = '2023' QUALIFY {LATEST}",
     "parse_amounts_dates": f"WITH {SOURCES} SELECT id AS inv_id, {d(PARSED_RESERVE)} AS reserve, {PARSED_EVENT} AS event_date FROM inventory",
     "parse_rejects": f"WITH {SOURCES} SELECT {n_if('id % 50 = 2')} AS reserve, {n_if('id % 50 = 1')} AS event_date FROM inventory",
     "normalize_names": f"WITH {SOURCES} SELECT id, {FULL} AS full_name, {CUT} AS cut_name FROM ledger",
@@ -251,9 +308,33 @@ ORACLES = {
     "inv_missing_by_month": _by_month("inv_event_date", "inv_reserve", "inv_status, action,", "recon_label = 'INV_MISSING' AND action <> 'DELETE'"),
     "ledger_only_breakdown": _breakdown("LEDGER_ONLY", True),
     "late_obs_breakdown": _breakdown("LEDGER_LATE_OBS", False),
-    "fanout_detail": f"{RESULT} SELECT {WHO}, count(*) AS nb_ledger, {d('max(inv_reserve)')} AS inv_reserve, array_to_string(list_sort(list(DISTINCT recon_label)), ',') AS steps FROM result WHERE m GROUP BY {WHO} HAVING count(*) > 1",
+    "fanout_detail": FANOUT, "fanout_top": f"{FANOUT} ORDER BY nb_ledger DESC, inv_reserve DESC NULLS LAST, {WHO} LIMIT 30",
+    "audit_detail": f"{RESULT} SELECT led_id, inv_id, clause, type, action, recon_label, {AUDIT} AS audit FROM result WHERE action IS NOT NULL",
+    "load_prefix_ledger": f"SELECT clause, vision, count(*) AS nb FROM {RAW} x WHERE vision = '2023' AND (starts_with(clause, 'CPB_1000') OR starts_with(clause, 'CPB_1002')) GROUP BY ALL",
+    "load_inventory_clauses": f"WITH {SOURCES} SELECT clause AS n_clause_ratta1, status AS Statut_INV, count(*) AS nb FROM inventory WHERE status = 'NON' AND clause IN ('1000', '1001') GROUP BY ALL",
+    "perimeter_counts": f"""WITH {SOURCES} SELECT count(*) AS rows_in, {n_if("status = 'OUI'")} AS kept_statut_inv, {n_if("status = 'OUI' AND type = 'PB'")} AS kept_type_clause,
+      {n_if("status = 'OUI' AND type = 'PB' AND clause = '1002'")} AS kept_n_clause_ratta1 FROM inventory""",
+    "clean_ledger": CLEAN_LEDGER,
+    "waterfall_nearest": f"{cascade(pick='nearest')} SELECT * FROM labels", "waterfall_one_to_one": f"{cascade(one_to_one=True)} SELECT * FROM labels", "waterfall_no_transition": f"{cascade(leave_out='MATCH_TRANSITION')} SELECT * FROM labels",
+    "late_recovery_days": f"""{cascade()}, {LATE_ROW} SELECT s.led_id, n.id AS inv_id, CASE WHEN n.id IS NULL THEN 'LEDGER_ONLY' ELSE 'LEDGER_LATE' END AS recon_label, CASE WHEN n.id IS NOT NULL THEN 'N1' END AS late_source
+      FROM labels s JOIN ledger l ON s.led_id = l.id LEFT JOIN late_reps n ON l.key_no_date = n.key_no_date AND abs(date_diff('day', l.event_date, n.event_date)) <= 30 WHERE s.recon_label = 'LEDGER_ONLY'""",
+    "inventory_date": f"{RESULT} SELECT strftime(max(inv_inventory_date) FILTER (recon_label <> 'LEDGER_LATE'), '%d/%m/%Y') AS inventory_date FROM result", "kpi_header": KPI_HEADER,
+    "catalog_tables": f"{RESULT}, c AS (SELECT recon_label, late_source, count(*) AS nb FROM result GROUP BY ALL) SELECT c.*, run_id, 'other' AS unknown FROM c CROSS JOIN (VALUES ('current'), ('run1'), ('run2')) v(run_id)",
     "fanout_summary": FANOUT_SUMMARY,
     "kpi_summary": KPI,
     "kpi_by_action": KPI_BY_ACTION,
-    "label_coherence": f"{RESULT} SELECT count(*) AS total_rows, {n_if('recon_label IN (' + ', '.join(repr(x) for x in KNOWN) + ')')} AS classified_rows FROM result",
+    "label_coherence": f"{RESULT} SELECT count(*) AS total_rows, {n_if(f'recon_label IN ({KNOWN})')} AS classified_rows FROM result",
 }
+
+
+def _sizes(of: str, *keys: str) -> str:
+    count = "nb_total" if of == "instruction_global" else "nb"
+    return f"SELECT {''.join(f'{k}, ' for k in keys)}count(*) AS rows, CAST(sum({count}) AS BIGINT) AS nb FROM ({ORACLES[of]}) t"
+
+
+BY_CLAUSE = ["audit_summary", "instruction_ratios", "shortfall_by_clause", "provision_by_clause", "gap_bins", "ledger_only_by_month", "inv_missing_by_month"]
+COLLECTED = ["instruction_global", "shortfall_by_action", "instruction_reserve", "delete_not_followed", "provision_study", "ledger_only_breakdown", "late_obs_breakdown"]
+ORACLES["full_analysis"] = " UNION ALL ".join(_sizes(name, f"'{name}' AS \"table\"") for name in BY_CLAUSE)
+ORACLES["export_roundtrip"] = (
+    "SELECT * FROM (" + " UNION ALL ".join(_sizes(name, f"'{name}' AS \"table\"") for name in COLLECTED) + ") CROSS JOIN (SELECT unnest(['csv', 'parquet']) AS format, 'written' AS status, '' AS detail) f"
+)

@@ -7,37 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import LEDGER_LATE, LEDGER_ONLY, Recon
+from ..config import LEDGER_LATE, LEDGER_ONLY, Recon, year_of
 from ..functions import numbers, text
 from ..operators import columns, enrich
 from ..sources import sinks, tables
 from . import analyses, fixtures, kpi, waterfall
-from .cut import cut
+from .cut import cut, shared_path
 
-CFG = Recon(inventory_year=fixtures.YEAR)
-_results: dict[tuple[str, str], DataFrame] = {}
+CFG = Recon(inventory_year=year_of(f"31/12/{fixtures.YEAR}"))
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    import tempfile
-    import uuid
+def recovered(spark: SparkSession, sf_dir: str, cfg: Recon = CFG) -> DataFrame:
+    wide = waterfall.reconcile(fixtures.ledger(spark, sf_dir), fixtures.inventory(spark, sf_dir), cfg)
+    return enrich.recover_late(wide, [("N1", fixtures.inventory(spark, sf_dir, fixtures.NEXT))], cfg)
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallybridge-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
-
-def recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = waterfall.reconcile(fixtures.ledger(spark, sf_dir), fixtures.inventory(spark, sf_dir), CFG)
-    return enrich.recover_late(wide, [("N1", fixtures.inventory(spark, sf_dir, fixtures.NEXT))], CFG)
-
-
-def result(spark: SparkSession, sf_dir: str, reuse: bool = True) -> DataFrame:
-    """The labelled, tagged result; a session computes it once per input and all analyses share its checkpoint."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if not reuse or key not in _results:
-        flagged = enrich.flag_late_observations(recovered(spark, sf_dir), CFG)
-        _results[key] = cut(columns.derive_clause(enrich.with_tags(flagged, CFG)))
-    return _results[key]
+def result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled, tagged result, lazy; who reads it several times cuts it first."""
+    return columns.derive_clause(enrich.with_tags(enrich.flag_late_observations(recovered(spark, sf_dir), CFG), CFG))
 
 
 def load_filter_ledger(spark, sf_dir):
@@ -46,7 +33,7 @@ def load_filter_ledger(spark, sf_dir):
 
 
 def _csv(spark, sf_dir, cfg=Recon()):
-    path = folder(spark, "inventory-csv")
+    path = shared_path(spark, "inventory-csv")
     sinks.to_path(fixtures.csv_inventory(spark, sf_dir), path, "csv")
     return tables.load_inventory(spark, path, cfg)
 
@@ -57,6 +44,28 @@ def load_inventory_csv(spark, sf_dir):
     return out.select("inv_id", *[F.col(f"inv_{c}").alias(c) for c in plain], numbers.money(F.col("inv_reserve")).alias("reserve"), "action")
 
 
+def load_prefix_ledger(spark, sf_dir):
+    """Two types, told by their prefixes."""
+    cfg = Recon(types=("A", "B"), type_prefixes={"A": "CPB_1000", "B": "CPB_1002"})
+    return tables.load_ledger(fixtures.raw_ledger(spark, sf_dir), cfg).groupBy("clause", "vision").agg(F.count("*").alias("nb"))
+
+
+def load_inventory_clauses(spark, sf_dir):
+    return _csv(spark, sf_dir, Recon(statuses=("NON",), clauses=("1000", "1001"))).groupBy("n_clause_ratta1", "Statut_INV").agg(F.count("*").alias("nb"))
+
+
+def perimeter_counts(spark, sf_dir):
+    out = tables.count_perimeter(fixtures.csv_inventory(spark, sf_dir), Recon(statuses=("OUI",), clauses=("1002",)))
+    return out.withColumnsRenamed({c: c.lower() for c in out.columns})
+
+
+def clean_ledger(spark, sf_dir):
+    """Perimeter, latest versions, texts to dates and amounts, keys."""
+    out = tables.clean_ledger(tables.load_ledger(fixtures.text_ledger(spark, sf_dir), CFG), CFG)
+    plain = ["person_id", "full_name", "birth_date", "event_date", "coverage"]
+    return out.select("led_id", *[F.col(f"led_{c}").alias(c) for c in plain], numbers.money(F.col("led_reserve")).alias("reserve"), "key_strict", "key_no_date_trunc")
+
+
 def rename_prefix(spark, sf_dir):
     mapping = {"led_id": "led_id", "n_rpp": "person_id", "nom_prenom": "full_name", "terme_de_garantie": "coverage", "not_there": "other"}
     return columns.prefixed(columns.select_and_rename(fixtures.raw_ledger(spark, sf_dir), mapping), "led_", ["led_id"])
@@ -115,6 +124,13 @@ def waterfall_labels(consume: str):
     return query
 
 
+def waterfall_with(cfg: Recon):
+    def query(spark, sf_dir):
+        return waterfall.labels(_cascade(spark, sf_dir, cfg))
+
+    return query
+
+
 def waterfall_pairs(spark, sf_dir):
     return waterfall.labels(_cascade(spark, sf_dir))
 
@@ -125,6 +141,12 @@ def conservation_audit(spark, sf_dir):
     return both[0].unionByName(both[1])
 
 
+def late_recovery_days(spark, sf_dir):
+    """Only where the later event is at most 30 days away."""
+    df = recovered(spark, sf_dir, Recon(late_days=30)).filter(F.col("recon_label").isin(LEDGER_ONLY, LEDGER_LATE))
+    return df.select("led_id", "inv_id", "recon_label", "late_source")
+
+
 def late_recovery(spark, sf_dir):
     df = recovered(spark, sf_dir).filter(F.col("recon_label").isin(LEDGER_ONLY, LEDGER_LATE))
     return df.select("led_id", "inv_id", "recon_label", "late_source", numbers.money(F.col("inv_reserve")).alias("inv_reserve"))
@@ -148,12 +170,53 @@ def fanout_summary(spark, sf_dir):
 
 
 def export_roundtrip(spark, sf_dir):
-    """Every collected analysis, written as CSV and Parquet; the status rows with the number of rows read again."""
-    found = analyses.collected_analyses(result(spark, sf_dir), CFG, client="C1", scope="ALL")
-    base = folder(spark, "export")
+    """Every collected analysis, written as CSV and Parquet and read again: rows, and the sum of their counts."""
+    found = analyses.collected_analyses(cut(result(spark, sf_dir)), CFG, client="C1", scope="ALL")
+    base = shared_path(spark, "export")
     status = sinks.export(spark, found, base)
-    back = [(name, fmt, spark.read.option("header", True).option("sep", ";").format(fmt).load(sinks.folder(base, fmt, name)).count()) for name in found for fmt in ("csv", "parquet")]
-    return status.join(spark.createDataFrame(back, "table string, format string, rows long"), ["table", "format"])
+    read = lambda fmt, name: spark.read.option("header", True).option("sep", ";").format(fmt).load(sinks.folder(base, fmt, name))
+    return status.join(_sizes({(name, fmt): read(fmt, name) for name in found for fmt in ("csv", "parquet")}, ["table", "format"]), ["table", "format"])
+
+
+def _sizes(found: dict[tuple[str, ...], DataFrame], names: list[str]) -> DataFrame:
+    """Rows of each table and the sum of its counts."""
+    out = None
+    for keys, df in found.items():
+        count = "nb_total" if "nb_total" in df.columns else "nb"
+        one = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col(count).cast("long")).alias("nb")).select(*[F.lit(k).alias(n) for n, k in zip(names, keys)], "rows", "nb")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def full_analysis(spark, sf_dir):
+    return _sizes({(name,): df for name, df in analyses.full_analysis(cut(result(spark, sf_dir)), CFG).items()}, ["table"])
+
+
+def catalog_tables(spark, sf_dir):
+    """Counts by label in catalog tables: written over, and appended by two runs to a history; then read again."""
+    counts, base = cut(flag_late_obs(spark, sf_dir)), shared_path(spark, "catalog")
+    names = {"labels": f"labels_{base[-32:]}", "history": f"history_{base[-32:]}"}
+    sinks.to_table(counts.limit(0), names["labels"], path=sinks.folder(base, names["labels"]))
+    for run in ("run1", "run2"):
+        unknown = sinks.export_mapped({"labels": counts, "history": counts, "other": counts}, names, ("history",), run, base=base)
+    out = spark.table(names["labels"]).withColumn("run_id", F.lit("current")).unionByName(spark.table(names["history"]).drop("run_ts"))
+    out = cut(out.withColumn("unknown", F.lit(",".join(unknown))))
+    for name in names.values():
+        spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+def inventory_date(spark, sf_dir):
+    return enrich.inventory_date(result(spark, sf_dir))
+
+
+def kpi_header(spark, sf_dir):
+    return kpi.kpi_header(cut(result(spark, sf_dir)))
+
+
+def audit_detail(spark, sf_dir):
+    df = analyses.audit_detail(result(spark, sf_dir))
+    return df.select("led_id", "inv_id", "clause", "type", "action", "recon_label", "audit")
 
 
 def table(of: Callable[[DataFrame], DataFrame]):
@@ -163,16 +226,19 @@ def table(of: Callable[[DataFrame], DataFrame]):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_filter_ledger": load_filter_ledger, "load_inventory_csv": load_inventory_csv, "rename_prefix": rename_prefix, "keep_latest": keep_latest,
     "parse_amounts_dates": parse_amounts_dates, "parse_rejects": parse_rejects, "normalize_names": normalize_names, "matching_keys": matching_keys,
+    "load_prefix_ledger": load_prefix_ledger, "load_inventory_clauses": load_inventory_clauses, "perimeter_counts": perimeter_counts, "clean_ledger": clean_ledger,
     "classify_instruction": classify_instruction, "bin_reserve": bin_reserve,
     "step_exact": step("MATCH_EXACT"), "step_window": step("MATCH_WINDOW"), "step_truncated": step("MATCH_TRUNC"), "step_truncated_window": step("MATCH_TRUNC_WINDOW"),
     "step_transition": step("MATCH_TRANSITION"), "step_relapse": step("MATCH_RELAPSE"), "step_relapse_truncated": step("MATCH_RELAPSE_TRUNC"),
     "waterfall_labels_row": waterfall_labels("row"), "waterfall_labels_key": waterfall_labels("key"), "waterfall_pairs": waterfall_pairs, "conservation_audit": conservation_audit,
-    "late_recovery": late_recovery, "flag_late_obs": flag_late_obs, "orphan_tags": orphan_tags, "orphan_tag_distribution": table(analyses.orphan_tag_distribution),
+    "waterfall_nearest": waterfall_with(Recon(pick="nearest")), "waterfall_one_to_one": waterfall_with(Recon(one_to_one=True)), "waterfall_no_transition": waterfall_with(Recon(transition_offset=None)),
+    "late_recovery": late_recovery, "late_recovery_days": late_recovery_days, "flag_late_obs": flag_late_obs, "orphan_tags": orphan_tags, "orphan_tag_distribution": table(analyses.orphan_tag_distribution),
     "audit_summary": table(analyses.audit_summary), "instruction_ratios": table(analyses.instruction_ratios), "instruction_reserve": table(analyses.instruction_reserve),
     "instruction_global": table(analyses.instruction_global), "delete_not_followed": table(analyses.delete_not_followed),
     "shortfall_by_clause": table(analyses.shortfall_by_clause), "shortfall_by_action": table(analyses.shortfall_by_action), "provision_by_clause": table(analyses.provision_by_clause),
     "gap_bins": table(analyses.gap_bins), "provision_study": table(analyses.provision_study), "ledger_only_by_month": table(analyses.ledger_only_by_month),
     "inv_missing_by_month": table(analyses.inv_missing_by_month), "ledger_only_breakdown": table(analyses.ledger_only_breakdown), "late_obs_breakdown": table(analyses.late_obs_breakdown),
-    "fanout_detail": table(analyses.fanout_detail), "fanout_summary": fanout_summary, "kpi_summary": table(kpi.kpi_summary), "kpi_by_action": table(kpi.kpi_by_action),
-    "label_coherence": label_coherence, "export_roundtrip": export_roundtrip,
+    "audit_detail": audit_detail, "fanout_detail": table(analyses.fanout_detail), "fanout_top": table(lambda df: analyses.fanout_detail(df, 30)), "fanout_summary": fanout_summary, "kpi_summary": table(kpi.kpi_summary), "kpi_by_action": table(kpi.kpi_by_action),
+    "label_coherence": label_coherence, "inventory_date": inventory_date, "kpi_header": kpi_header, "full_analysis": full_analysis, "export_roundtrip": export_roundtrip,
+    "catalog_tables": catalog_tables,
 }

@@ -1,8 +1,9 @@
 """The cascade of key joins, strict to loose.
 
-The cascade runs on slim rows (id, keys, date, coverage); only pairs of ids are kept per step, and each step's pairs
-are checkpointed, so plans grow by one small anti join a step. Wide rows are joined back once, at the end. Joins are
-left to Spark's adaptive execution: no side is broadcast by hint, and hot keys are split by its skew handling.
+The cascade runs on slim rows (id, keys, date, coverage), read once. Each step joins the ledger's rest with one
+representative per key and writes it with the ids found, so that pairs and rest come from one table, and plans do not
+grow; the inventory's rest is written after every second step. Wide rows are joined back once, at the end. Joins are left to
+Spark's adaptive execution: no side is broadcast by hint, and hot keys are split by its skew handling.
 """
 
 from __future__ import annotations
@@ -52,15 +53,17 @@ def slim(df: DataFrame, prefix: str) -> DataFrame:
 
 def cascade(ledger: DataFrame, inventory: DataFrame, cfg: Recon = Recon(), last: str | None = None) -> Cascade:
     """Runs the steps (up to the label ``last``) over cleaned sources with led_id and inv_id."""
-    led, inv = slim(ledger, "led_"), slim(inventory, "inv_")
+    led, inv = slim(ledger, "led_"), cut(slim(inventory, "inv_"), "inventory")
     found, deletes = [], inv.limit(0)
     for label, key, condition in steps(cfg):
         if label is None:
             deletes, inv = matching.split_deletes(inv)
             continue
-        pairs = cut(matching.candidates(led, inv, key, condition, cfg))
-        led, inv = matching.remaining(led, inv, pairs, key, cfg.consume)
-        found.append(pairs.select("led_id", "inv_id", F.lit(label).alias("recon_label")))
+        step = cut(matching.matched(led, inv, key, condition, cfg), label)
+        led, inv = matching.remaining(step, inv, key, cfg.consume)
+        found.append(step.filter("inv_id IS NOT NULL").select(F.col("id").alias("led_id"), "inv_id", F.lit(label).alias("recon_label")))
+        if len(found) % 2 == 0:
+            inv = cut(inv, "inventory")
         if label == last:
             break
     pairs = found[0]

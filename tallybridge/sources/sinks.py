@@ -14,9 +14,11 @@ def to_path(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwri
     (writer.option("header", True).option("sep", delimiter) if fmt == "csv" else writer).save(path)
 
 
-def to_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet", merge_schema: bool = False) -> None:
-    """overwrite also replaces the schema; append changes it only on request."""
+def to_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet", merge_schema: bool = False, path: str | None = None) -> None:
+    """overwrite also replaces the schema; append changes it only on request. With a path the table's files lie there."""
     writer = df.write.mode(mode).format(fmt)
+    if path:
+        writer = writer.option("path", path)
     if mode == "overwrite":
         writer = writer.option("overwriteSchema", "true")
     elif merge_schema:
@@ -50,10 +52,10 @@ def export(spark: SparkSession, tables: dict[str, DataFrame], base: str, formats
     return spark.createDataFrame(done, "table string, format string, status string, detail string")
 
 
-def export_mapped(tables: dict[str, DataFrame], names: dict[str, str], history=(), run_id: str | None = None, fmt: str = "parquet") -> list[str]:
-    """Writes each table under its mapped name; those in ``history`` are appended with run_id and run_ts. Returns unknown keys."""
+def export_mapped(tables: dict[str, DataFrame], names: dict[str, str], history=(), run_id: str | None = None, fmt: str = "parquet", base: str | None = None) -> list[str]:
+    """Writes each table under its mapped name (files below base, if given); those in ``history`` are appended with run_id and run_ts. Returns unknown keys."""
     for key, df in tables.items():
         if key in names:
             past = key in history
-            to_table(df.withColumns({"run_id": F.lit(run_id), "run_ts": F.current_timestamp()}) if past else df, names[key], "append" if past else "overwrite", fmt)
+            to_table(df.withColumns({"run_id": F.lit(run_id), "run_ts": F.current_timestamp()}) if past else df, names[key], "append" if past else "overwrite", fmt, path=folder(base, names[key]) if base else None)
     return [k for k in tables if k not in names]

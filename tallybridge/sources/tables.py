@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,12 +61,34 @@ def load_inventory(spark: SparkSession, path: str | None, cfg: Recon, delimiter:
     return inventory_perimeter(df, cfg)
 
 
-def inventory_perimeter(df: DataFrame, cfg: Recon) -> DataFrame:
-    if cfg.statuses and "Statut_INV" in df.columns:
-        df = df.filter(F.col("Statut_INV").isin(list(cfg.statuses)))
-    if cfg.types and "TYPE_CLAUSE" in df.columns:
-        df = df.filter(F.col("TYPE_CLAUSE").isin(list(cfg.types)))
-    return df.filter(F.col("n_clause_ratta1").isin(list(cfg.clauses))) if cfg.clauses else df
+def _inventory_conditions(df: DataFrame, cfg: Recon) -> dict[str, Column]:
+    wanted = {"Statut_INV": cfg.statuses, "TYPE_CLAUSE": cfg.types, "n_clause_ratta1": cfg.clauses}
+    there = {c: values for c, values in wanted.items() if values and (c in df.columns or c == "n_clause_ratta1")}
+    return {c: F.col(c).isin(list(values)) for c, values in there.items()}
+
+
+def inventory_perimeter(df: DataFrame, cfg: Recon, counts: Observation | None = None) -> DataFrame:
+    """Status, type and clause. counts, if given, gets rows_in and the rows that each condition lets through, by the way."""
+    conditions = _inventory_conditions(df, cfg)
+    if counts is not None:
+        df = df.observe(counts, *perimeter_counts(conditions))
+    for condition in conditions.values():
+        df = df.filter(condition)
+    return df
+
+
+def perimeter_counts(conditions: dict[str, Column]) -> list[Column]:
+    """Aggregates: rows_in, then kept_<column>, the rows left after that and the conditions before it."""
+    out, so_far = [F.count(F.lit(1)).alias("rows_in")], F.lit(True)
+    for name, condition in conditions.items():
+        so_far = so_far & condition
+        out.append(F.count_if(so_far).alias(f"kept_{name}"))
+    return out
+
+
+def count_perimeter(df: DataFrame, cfg: Recon) -> DataFrame:
+    """The same counts as a row."""
+    return df.agg(*perimeter_counts(_inventory_conditions(df, cfg)))
 
 
 def clean_ledger(df: DataFrame, cfg: Recon) -> DataFrame:

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tallybridge.config import LEDGER_ONLY, Recon
+from tallybridge.config import LEDGER_ONLY, Recon, year_of
 from tallybridge.functions import numbers, text
 from tallybridge.operators import columns, enrich, matching
 from tallybridge.plans import analyses, fixtures, kpi, waterfall
@@ -166,3 +166,36 @@ def test_full_analysis_is_lazy_and_complete(spark):
     led, inv = fixtures.ledger(spark, "/root/testdata/sf0.001"), fixtures.inventory(spark, "/root/testdata/sf0.001")
     found = analyses.full_analysis(waterfall.reconcile(led, inv).withColumn("late_source", F.lit(None).cast("string")))
     assert len(found) == 7 and all(t.count() > 0 for t in found.values())
+
+
+def test_rounding(spark):
+    assert [one(spark, numbers.rounded(F.lit(x), p)) for x, p in ((-2.5, 0), (2.5, 0), (1.005, 2), (-1.005, 2), (0.125, 2))] == [-3.0, 3.0, 1.01, -1.01, 0.13]
+    assert one(spark, numbers.rounded(F.lit(None).cast("double"))) is None
+
+
+def test_year_of_a_date():
+    assert [year_of(x) for x in ("31/12/2023", "2022", "auto", "", None)] == [2023, 2022, None, None, None]
+
+
+def test_two_spellings_are_one_identity(spark):
+    rows = [("MATCH_EXACT", "1", name, DAY, DAY, 60, reserve) for name, reserve in (("A B", 5.0), ("A  B", 7.0))] + [("MATCH_TRUNC", "2", "C", DAY, DAY, 60, 1.0)]
+    df = spark.createDataFrame(rows, "recon_label string, inv_person_id string, inv_full_name string, inv_birth_date date, inv_event_date date, inv_coverage int, inv_reserve double")
+    df = df.withColumn("inv_reserve", F.col("inv_reserve").cast("decimal(18,2)"))
+    found = analyses.fanout_detail(df, 1).collect()
+    assert [(r.inv_person_id, r.nb_ledger, r.inv_reserve, r.full_name) for r in found] == [("1", 2, 7.0, "A  B")]
+
+
+def test_counts_are_observed_by_the_way(spark):
+    from pyspark.sql import Observation
+
+    df = spark.createDataFrame([("OUI", "PB", "1"), ("NON", "PB", "1"), (None, "PB", "1"), ("OUI", "X", "1")], "Statut_INV string, TYPE_CLAUSE string, n_clause_ratta1 string")
+    counts = Observation("perimeter")
+    assert tables.inventory_perimeter(df, Recon(statuses=("OUI",)), counts).count() == 1
+    assert counts.get == {"rows_in": 4, "kept_Statut_INV": 2, "kept_TYPE_CLAUSE": 1}
+
+
+def test_prefixes_clauses_and_types(spark):
+    raw = spark.createDataFrame([("2023", "CPB_1"), ("2023", "X_1"), ("2022", "CPB_1"), ("2023", None)], "vision string, clause string")
+    assert tables.load_ledger(raw, Recon()).collect() == [("2023", "CPB_1")]
+    with pytest.raises(ValueError):
+        tables.load_ledger(raw, Recon(types=("HPB",)))
