@@ -6,21 +6,17 @@ Every helper for tasks works on one Arrow batch at a time, so a worker's memory
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
+from ..plans.cut import cut
+
 #: UTF-8 bytes of text that a task turns into arrays at once (one longer text is taken alone).
 SLICE_BYTES = 4 << 20
 
-#: Stands in for spark.checkpoint.dir where that is unset, as in tests.
-OWN_FOLDER: dict[str, str] = {}
-
 #: Rows that Spark hands to a Python worker at once.
 ARROW_ROWS = 2000
 
@@ -34,20 +30,9 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below the folder that driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = OWN_FOLDER.setdefault("path", None) or tempfile.mkdtemp(prefix="tallybridge-")
-        OWN_FOLDER["path"] = base
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """Writes df below the shared folder and reads it again: this cuts lineage and survives executors."""
-    path = shared_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return cut(df, name)
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES):
