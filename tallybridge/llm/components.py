@@ -35,6 +35,8 @@ from .common import mix, slices, written
 
 #: Nodes of a bucket whose pairs are proposed at once.
 SMALL = 16
+#: Nodes of a family beside one copy of its centre, about.
+PART = 64
 #: The next class of sizes begins at so many times the size of the one before.
 SIZE_CLASS = 1.12
 
@@ -73,8 +75,8 @@ def linked(members: DataFrame, sets: DataFrame, decode: Decode, least: float) ->
     centre = centre.select("key", F.col("c.node").alias("centre"), F.col("c.size").alias("centre_size"))
     placed = written(counted.drop("fullness").join(centre, "key"), "bucket-centres")
     first = placed.filter((F.col("node") != F.col("centre")) & _sizes_allow("size", "centre_size", least))
-    first = first.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-    labels = components(written(similar(first, sets, decode, least), "links"))
+    first = beside_centres(first.select("node", "centre").distinct(), sets)
+    labels = components(written(similar(first, decode, least).toDF("a", "b"), "links"))
 
     rooted = written(placed.drop("centre_size").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node")), "bucket-roots")
     mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
@@ -85,7 +87,7 @@ def linked(members: DataFrame, sets: DataFrame, decode: Decode, least: float) ->
     few = few.select(F.col("node").alias("a"), F.col("other").alias("b"), F.col("root").alias("root_a"), F.col("other_root").alias("root_b"))
     families = rooted.filter((F.col("n") > SMALL) & (F.col("node") != F.col("centre"))).select("node", "root", "centre").distinct()
     second = written(few.unionByName(indexed_pairs(families, sets, decode, least)).distinct(), "pairs")
-    more = components(written(similar(second, sets, decode, least).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), "links"))
+    more = components(written(similar(with_sets(second, sets), decode, least).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), "links"))
     merged = labels.join(more.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
     return written(merged.unionByName(more.join(labels, "node", "left_anti").select("node", "root")), "labels")
 
@@ -94,10 +96,23 @@ def _sizes_allow(a: str, b: str, least: float):
     return F.least(a, b) >= least * F.greatest(a, b) - 1e-9
 
 
-def with_sets(pairs: DataFrame, sets: DataFrame, a: str, b: str) -> DataFrame:
+def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs with the things x and y of their nodes a and b."""
-    one = pairs.join(sets.select(F.col("node").alias(a), F.col("thing").alias("x")), a)
-    return one.join(sets.select(F.col("node").alias(b), F.col("thing").alias("y")), b).select(*pairs.columns, "x", "y")
+    one = pairs.join(sets.select(F.col("node").alias("a"), F.col("thing").alias("x")), "a")
+    return one.join(sets.select(F.col("node").alias("b"), F.col("thing").alias("y")), "b").select(*pairs.columns, "x", "y")
+
+
+def beside_centres(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs (node, centre, and further columns) with the things x and y of both.
+
+    A family of many nodes is dealt into parts of about PART nodes, and its centre is repeated for each, so that no
+    task has it alone.
+    """
+    parts = pairs.groupBy("centre").agg(F.floor(F.count("*") / PART).cast("int").alias("last"))
+    centres = parts.join(sets.select(F.col("node").alias("centre"), F.col("thing").alias("y")), "centre").withColumn("part", F.explode(F.sequence(F.lit(0), "last"))).drop("last")
+    dealt = pairs.join(parts, "centre").withColumn("part", F.pmod(F.xxhash64("node"), F.col("last") + 1).cast("int")).drop("last")
+    dealt = dealt.join(sets.select("node", F.col("thing").alias("x")), "node")
+    return dealt.join(centres, ["centre", "part"]).select(*pairs.columns, "x", "y")
 
 
 def _decoded(column: pa.Array, decode: Decode) -> list[np.ndarray]:
@@ -108,8 +123,8 @@ def _decoded(column: pa.Array, decode: Decode) -> list[np.ndarray]:
     return [each[k] for k in coded.indices.to_pylist()]
 
 
-def similar(pairs: DataFrame, sets: DataFrame, decode: Decode, least: float) -> DataFrame:
-    """The pairs (a, b, and further columns) whose sets have a Jaccard similarity of ``least`` or more."""
+def similar(pairs: DataFrame, decode: Decode, least: float) -> DataFrame:
+    """The rows of pairs whose sets x and y have a Jaccard similarity of ``least`` or more, without x and y."""
 
     def run(batches):
         for batch in batches:
@@ -123,7 +138,7 @@ def similar(pairs: DataFrame, sets: DataFrame, decode: Decode, least: float) ->
                         good[k] = shared >= least * (len(both) - shared) - 1e-9
                 yield part.drop_columns(["x", "y"]).filter(pa.array(good))
 
-    return with_sets(pairs, sets, "a", "b").mapInArrow(run, pairs.schema)
+    return pairs.mapInArrow(run, pairs.drop("x", "y").schema)
 
 
 def size_class(sizes: np.ndarray) -> np.ndarray:
@@ -169,7 +184,7 @@ def lacking_elements(families: DataFrame, sets: DataFrame, decode: Decode) -> Da
                 of = pa.array(np.repeat(np.arange(part.num_rows), [len(x) for x in keys[1:]]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), part.column("node").take(of), part.column("centre").take(of)], ["key", "node", "centre"])
 
-    lacking = written(with_sets(families.select("node", "centre"), sets, "node", "centre").mapInArrow(run, f"key long, node {kind}, centre {kind}"), "lacking")
+    lacking = written(beside_centres(families.select("node", "centre"), sets).mapInArrow(run, f"key long, node {kind}, centre {kind}"), "lacking")
     often = lacking.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     listed = lacking.join(often, "key").groupBy("node", "centre").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("shared"))
     return listed.select("node", "centre", F.col("shared.key").alias("shared"))
@@ -196,7 +211,7 @@ def indexed_pairs(families: DataFrame, sets: DataFrame, decode: Decode, least: f
 
     families = written(families, "families")
     ordered = families.join(lacking_elements(families, sets, decode), ["node", "centre"], "left").select("node", "root", "centre", "shared")
-    listed = with_sets(ordered, sets, "node", "centre").mapInArrow(run, f"key long, node {kind}, root {kind}, size int, left int, after int, smaller boolean, larger boolean")
+    listed = beside_centres(ordered, sets).mapInArrow(run, f"key long, node {kind}, root {kind}, size int, left int, after int, smaller boolean, larger boolean")
     listed = written(listed, "listings")
     # lists with sets of one component only propose nothing
     mixed = listed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")

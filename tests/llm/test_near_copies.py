@@ -92,7 +92,7 @@ def test_units_that_agree_in_32_bits(spark):
     texts = ["a b c d e155185", "a b c d e173593", "a b c d e155185"]  # one shingle each
     sets = near_copies.packed_bags(spark.createDataFrame(list(enumerate(texts)), "node long, text string").withColumn("node", F.col("node").cast(near_copies.NODE)))
     pairs = spark.createDataFrame([(0, 1), (0, 2)], "a long, b long").selectExpr(f"CAST(a AS {near_copies.NODE}) AS a", f"CAST(b AS {near_copies.NODE}) AS b")
-    assert [(r.a, r.b) for r in components.similar(pairs, sets, near_copies.bag_units, 0.8).collect()] == [(0, 2)]
+    assert [(r.a, r.b) for r in components.similar(components.with_sets(pairs, sets), near_copies.bag_units, 0.8).collect()] == [(0, 2)]
 
 
 def sets_of(rows):
