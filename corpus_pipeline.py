@@ -19,10 +19,25 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.kept(docs, model)
 
 
+def wrapped(docs: DataFrame, *own: str) -> DataFrame:
+    """The columns that an operator uses, and all others as a struct ``row``, so that no name clashes with what it adds."""
+    return docs.select(*own, F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c not in own]).alias("row"))
+
+
+def unwrapped(out: DataFrame, docs: DataFrame, **changed) -> DataFrame:
+    """The columns of docs again, in their order; changed: expressions that replace some."""
+    own = [c for c in OWN if c in out.columns]
+    return out.select(*[(changed[c] if c in changed else F.col(c) if c in own else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
+#: Columns of documents that operators work on.
+OWN = ("doc_id", "text", "source")
+
+
 def thin_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that are copies; those that lose all their words go. n_chars follows the text."""
-    out = lines.deduplicated(docs).filter("n_removed = 0 OR text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'")
-    return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    out = lines.deduplicated(wrapped(docs, "doc_id", "text")).filter("n_removed = 0 OR text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'")
+    return unwrapped(out, docs, n_chars=F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("row.n_chars")))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +47,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents replicated so that all sources have equal weight."""
-    return mixing.mixed(docs).select(*docs.columns)
+    return unwrapped(mixing.mixed(wrapped(docs, *OWN)), docs)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
