@@ -17,8 +17,8 @@ from ..plans.cut import cut
 #: UTF-8 bytes of text that a task turns into arrays at once (one longer text is taken alone).
 SLICE_BYTES = 4 << 20
 
-#: Rows that Spark hands to a Python worker at once.
-ARROW_ROWS = 2000
+#: Rows and bytes that Spark hands to a Python worker at once.
+ARROW_ROWS, ARROW_BYTES = 2000, 8 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def small_batches(spark: SparkSession) -> None:
     """Bounds what one Arrow batch holds when texts are long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
