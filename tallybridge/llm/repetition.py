@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import common
 
@@ -140,7 +141,8 @@ def repetition(docs: DataFrame, min_repeat: int = MIN_REPEAT, max_covered: float
 
 
 def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition(common.documents(spark, sf_dir)).drop("spans", "longest_repeat")
+    out = repetition(common.documents(spark, sf_dir))
+    return out.withColumn("too_long", F.col("longest_repeat") > MAX_LONGEST).drop("spans", "longest_repeat")
 
 
 def _windows(width: str, name: str) -> str:
@@ -175,6 +177,6 @@ base AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_covered <= {MAX_COVERED}::DOUBLE * n_words AND NOT too_long AS kept,
-  n_covered
+  n_covered, too_long
 FROM base
 """

@@ -7,7 +7,7 @@ tokens is the encoding of its text just when every two neighbours are what mergi
 of the spliced sequence stands side by side in one of the two chunks. Where an overlap has no common token, the
 text goes on to the next pass with overlap and chunks twice as long; a chunk as long as the text ends this.
 
-Cases: a null or empty text has 0 bytes and 0 tokens. Repeated rows and ids are counted row by row; equal long texts
+Cases: a null or empty text has 0 bytes and 0 tokens. A null doc_id is kept. Repeated rows and ids are counted row by row; equal long texts
 are encoded once. Other input columns are not touched.
 """
 

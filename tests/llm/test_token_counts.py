@@ -25,3 +25,18 @@ def test_counts_equal_the_library(spark, chunk, overlap):
 
 def test_empty_table(spark):
     assert token_counts.counted(frame(spark, ["a"]).limit(0)).count() == 0
+
+
+def test_query_with_its_own_parameters(spark, tmp_path):
+    r = random.Random(6)
+    words = ["".join(r.choices("abcdefghijklmnop", k=r.randint(1, 9))) for _ in range(500)]
+    long = " ".join(r.choices(words, k=12_000))
+    assert len(long) > 2 * token_counts.LONG
+    edge = "word " * 4096
+    texts = [long, long, "z" * (token_counts.LONG + 5), edge, edge[:-6], "short", "", None, "null id"]
+    frame(spark, texts, ids=[*range(8), None]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((-1 if x.doc_id is None else x.doc_id, x.n_bytes, x.n_tokens, x.over_limit) for x in token_counts.op8_token_counts(spark, str(tmp_path)).collect())
+    model = sentencepiece.SentencePieceProcessor(model_file=model_path())
+    want = [(i, len((t or "").encode()), len(model.encode(t or ""))) for i, t in zip([*range(8), -1], texts)]
+    assert got == sorted((*x, x[2] > 4096) for x in want)
+    assert {x[3] for x in got} == {True, False}
