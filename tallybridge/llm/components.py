@@ -29,6 +29,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import mix, slices, written
@@ -214,8 +215,8 @@ def indexed_pairs(families: DataFrame, sets: DataFrame, decode: Decode, least: f
     listed = beside_centres(ordered, sets).mapInArrow(run, f"key long, node {kind}, root {kind}, size int, left int, after int, smaller boolean, larger boolean")
     listed = written(listed, "listings")
     # lists with sets of one component only propose nothing
-    mixed = listed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
-    listed = listed.join(mixed, "key", "left_semi")
+    low, high = (of("root").over(W.partitionBy("key")) for of in (F.min, F.max))
+    listed = listed.withColumns({"low": low, "high": high}).filter("low <> high").drop("low", "high")
     left = listed.filter("smaller")
     right = listed.filter("larger").select("key", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("size").alias("other_size"), F.col("left").alias("other_left"), F.col("after").alias("other_after"), F.col("smaller").alias("level"))
     enough = F.least("left", "other_left") + F.least("after", "other_after") >= least / (1 + least) * (F.col("size") + F.col("other_size")) - 1e-6
