@@ -12,7 +12,7 @@ built and read once, and no task holds more than one shard. A word that is very
 hashes of the words after it, so no shard has it alone.
 
 A shard's trie has three levels in one memory-mapped file: first words (hashes), pairs (the place of the first word,
-then 40 bits of the second word's hash) and triples (the place of the pair, then 32 bits of the third word's hash); all are
+then 40 bits of the second word's hash) and triples (the place of the pair, then 24 bits of the third word's hash); all are
 monotone and kept as Elias-Fano sequences, as are the pointers from each level to where its successors start in the
 next. Beside pairs and triples lie 16-bit codes of their shares, and beside pairs the weight that is left to shorter
 contexts. A lookup goes down by first word, pair and triple, each time among the successors of the context it has found.
@@ -20,7 +20,8 @@ Opened, a sequence takes its file's size and two 32-bit counts for each 64 bits
 
 ``scored`` can keep the shards as a table (one row each), which ``scored_by`` reads to score other documents later.
 
-Words of one context that agree in 40 (pairs) or 32 (triples) hash bits are taken for one; first words are told by 63 bits.
+Words of one context that agree in 40 (pairs) or 24 (triples) hash bits are taken for one: a word that was never seen after a
+pair with F followers is taken for one of them with probability F / 2^24. First words are told by 63 bits.
 
 Cases: a null text is empty: one end token after the start. Rows with a null doc_id are scored, and train. Without
 training tokens only the unknown-word share is left (N = 0, V = 0). Repeated rows count and score one by one.
@@ -47,7 +48,7 @@ MASS, ADDED, DISCOUNT = 60.0, 0.1, 0.75
 PART_TOKENS = 1 << 20
 #: Code of a share p: STEP * -log10 p. NONE: no such successor. WHOLE: code of the weight 1.
 STEP, NONE, WHOLE = 4096, 65535, 65535
-WORD_BITS, THIRD_BITS = 40, 32
+WORD_BITS, THIRD_BITS = 40, 24
 END, START = xxhash.xxh3_64_intdigest(b""), xxhash.xxh3_64_intdigest(b"\n")
 
 
@@ -259,6 +260,30 @@ def of_planes(data: np.ndarray, n: int, *kinds) -> list[np.ndarray]:
     return out
 
 
+def squeezed(data: bytes) -> bytes:
+    return np.int64(len(data)).tobytes() + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unsqueezed(data) -> np.ndarray:
+    """The bytes that squeezed took."""
+    size = int(np.frombuffer(data, np.int64, 1)[0])
+    return np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True), np.uint8)
+
+
+def steps(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Differences of values that ascend within runs; a run's first value stays."""
+    out = np.diff(values, prepend=np.uint64(0))
+    out[starts] = values[starts]
+    return out
+
+
+def summed(out: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The values that steps took."""
+    sums = np.cumsum(out, dtype=np.uint64)
+    starts = starts.astype(np.int64)
+    return sums - np.repeat(sums[starts] - out[starts], np.diff(np.append(starts, len(out))))
+
+
 def send_words(bits: int):
     def run(keys, table):
         group = Group(table)
@@ -313,7 +338,7 @@ def send_grams(bits: int, counting: bool = True):
             some = a + np.flatnonzero(np.concatenate([[True], g.part[a + 1 : b] != g.part[a : b - 1]]))
             head = groups.pack(g.part[some], n_of[g.first[some]], np.diff([*some, b]).astype(np.uint32))
             lo, hi = below[a], below[b]
-            rows.append(np.array([b - a, len(head), hi - lo], np.int64).tobytes() + head + planes(word[a:b], counts[a:b], followers[a:b]) + planes(third[lo:hi], counts3[lo:hi]))
+            rows.append(squeezed(np.array([b - a, len(head), hi - lo], np.int64).tobytes() + head + planes(steps(word[a:b], some - a), counts[a:b], followers[a:b]) + planes(third[lo:hi], counts3[lo:hi])))
         return pa.table([pa.array(bucket[cuts[:-1]], pa.int32()), pa.array([keys[0].as_py()] * len(rows), pa.int32()), pa.array(rows, pa.binary())], ["bucket", "grp", "payload"])
 
     return run
@@ -336,10 +361,11 @@ class Sent:
     def of(payloads: pa.ChunkedArray) -> Sent:
         sizes, parts, pairs = [], [], 0
         for payload in payloads:
-            data = np.frombuffer(payload.as_buffer(), np.uint8)
+            data = unsqueezed(payload.as_buffer())
             n, size, n3 = (int(x) for x in data[:24].view(np.int64))
             first, n_first, successors = groups.unpack(data[24 : 24 + size], np.uint64, np.uint32)
             word, count, followers = of_planes(data[24 + size :], n, np.uint64, np.uint32, np.uint32)
+            word = summed(word, np.cumsum(successors) - successors)
             third, count3 = of_planes(data[24 + size + 16 * n :], n3, np.uint32, np.uint32)
             parts.append((np.repeat(first, successors), np.repeat(n_first, successors), word, count, np.repeat(np.arange(pairs, pairs + n), followers), third, count3))
             sizes.append((n, n3))
@@ -385,7 +411,7 @@ def answers(sent: Sent, trie: Trie) -> list[bytes]:
     code3 = trie.lookup3(place[sent.pair], sent.third.astype(np.uint64))
     rows, at, at3 = [], 0, 0
     for n, n3 in sent.sizes:
-        rows.append(np.array([n, n3], np.int64).tobytes() + planes(code[at : at + n], weight[at : at + n]) + planes(code3[at3 : at3 + n3]))
+        rows.append(squeezed(np.array([n, n3], np.int64).tobytes() + planes(code[at : at + n], weight[at : at + n]) + planes(code3[at3 : at3 + n3])))
         at, at3 = at + n, at3 + n3
     return rows
 
@@ -421,7 +447,7 @@ def score_group(mass: float, tokens: int, types: int):
         g = group.grams(n_of)
         got = []
         for payload in told.filter(pa.array(kind == 1)).sort_by("bucket").column("payload"):
-            data = np.frombuffer(payload.as_buffer(), np.uint8)
+            data = unsqueezed(payload.as_buffer())
             n, n3 = (int(x) for x in data[:16].view(np.int64))
             got.append((*of_planes(data[16:], n, np.uint16, np.uint16), *of_planes(data[16 + 4 * n :], n3, np.uint16)))
         code, weight, code3 = (np.concatenate(c) for c in zip(*got))

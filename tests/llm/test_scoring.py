@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +118,13 @@ def test_trie():
         assert all(m == scoring.NONE for m, (a, b) in zip(trie.lookup(first, word ^ np.uint64(1))[1], keys) if (a, b ^ 1) not in held)
         assert all(m == scoring.NONE for m, (a, b) in zip(trie.lookup3(pair, third ^ np.uint64(1)), under) if (a, b ^ 1) not in held3)
         assert (trie.lookup(first ^ np.uint64(2), word)[0] == -1).all() and (trie.lookup3(pair * 0 - 1, third) == scoring.NONE).all()
+
+
+def test_steps():
+    r = np.random.default_rng(5)
+    starts = np.array([0, 3, 4, 50])
+    values = np.concatenate([np.sort(r.integers(0, 2**63, n)) for n in (3, 1, 46, 10)]).astype(np.uint64)
+    assert (scoring.summed(scoring.steps(values, starts), starts) == values).all()
+    assert len(scoring.summed(np.zeros(0, np.uint64), np.zeros(0, np.int64))) == 0
+    data = bytes(range(256)) * 9
+    assert scoring.unsqueezed(pa.py_buffer(scoring.squeezed(data))).tobytes() == data
