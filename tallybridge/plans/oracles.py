@@ -112,7 +112,7 @@ def d(x: str) -> str:
 
 
 def r(x: str, places: int = 2) -> str:
-    return f"CAST(round(CAST(CAST({x} AS DOUBLE) AS DECIMAL(38, 12)), {places}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({x} AS DOUBLE) AS DECIMAL(38, 8)), {places}) AS DOUBLE)"
 
 
 def pct(a: str, b: str, places: int = 2, empty: str = "NULL") -> str:
