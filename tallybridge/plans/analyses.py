@@ -31,7 +31,8 @@ def total(column: Column | str) -> Column:
 
 
 def mean(column: str) -> Column:
-    return rounded(F.try_divide(money(F.sum(column)), F.count(column).cast("double")))
+    """Of decimals, divided and rounded as decimals."""
+    return money(F.round(F.try_divide(F.sum(column).cast("decimal(26,2)"), F.count(column).cast("decimal(10,0)")), 2))
 
 
 def share(df: DataFrame, of: str, name: str, *within: str, places: int = 2) -> DataFrame:

@@ -125,7 +125,8 @@ def share(col: str, *within: str, places: int = 2) -> str:
 
 
 def mean(x: str) -> str:
-    return f"CASE WHEN count({x}) = 0 THEN NULL ELSE {r(f'CAST(sum({x}) AS DOUBLE) / CAST(count({x}) AS DOUBLE)')} END"
+    """Of amounts that are not negative, by whole numbers: cents, half up."""
+    return f"CASE WHEN count({x}) = 0 THEN NULL ELSE CAST((2 * CAST(sum({x}) * 100 AS HUGEINT) + count({x})) // (2 * count({x})) AS DOUBLE) / 100 END"
 
 
 def bins(x: str, table, rank: bool) -> str:
