@@ -1,6 +1,6 @@
 """The numbered queries and their SQL."""
 
-from . import language, lines, mixing, near_copies, passages, pieces, repetition, scoring, token_counts, topk
+from . import language, lines, mixing, near_copies, negatives, passages, pieces, repetition, scoring, token_counts, topk
 
 QUERIES = {
     "op5_scoring": scoring.op5_scoring,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op1_repetition": repetition.op1_repetition,
+    "op11_negatives": negatives.op11_negatives,
 }
 
 ORACLES = {
@@ -20,4 +21,5 @@ ORACLES = {
     "op2_mixing": mixing.ORACLE,
     "op6_topk": topk.ORACLE,
     "op1_repetition": repetition.ORACLE,
+    "op11_negatives": negatives.ORACLE,
 }
