@@ -90,21 +90,34 @@ def _kth(values: np.ndarray, k: int) -> float:
     return np.partition(values, len(values) - k)[len(values) - k] if len(values) >= k else -np.inf
 
 
-def best_within(anchors: Pyramid, a: int, rows: Pyramid, alive: np.ndarray, lower: np.ndarray, upper: np.ndarray, low: float, high: float, k: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the alive rows the k best of anchor a with scores in [low, high]: places and scores. lower, upper: coarsest bounds of alive."""
+def best_within(anchors: Pyramid, a: int, rows: Pyramid, alive: np.ndarray, lower: np.ndarray, upper: np.ndarray, windows: list[tuple[float, float]], k: int, ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each window (low, high) the k best alive rows of anchor a with a score in it: places and scores.
+
+    lower, upper: coarsest bounds of alive. A row is refined while any window may still need it.
+    """
     for level in range(len(anchors.levels)):
         if level:
-            lower, upper = anchors.bounds(level, a, rows, alive)
-        sure = (lower >= low) & (upper <= high)
-        keep = (upper >= max(low, _kth(lower[sure], k))) & (lower <= high)
+            lower, upper = _of(lambda some: np.stack(anchors.bounds(level, a, rows, some)), alive, len(rows.x))  # noqa: B023
+        keep = np.zeros(len(alive), bool)
+        for low, high in windows:
+            floor = _kth(lower[(lower >= low) & (upper <= high)], k)
+            keep |= (upper >= max(low, floor)) & (lower <= high)
         alive = alive[keep]
         if not len(alive):
-            return alive, np.zeros(0)
-    scores = rows.x[alive] @ anchors.x[a]
-    keep = (scores >= low) & (scores <= high)
-    alive, scores = alive[keep], scores[keep]
-    order = np.lexsort((ids[alive], -scores))[:k]
-    return alive[order], scores[order]
+            break
+    scores = _of(lambda some: rows.x[some] @ anchors.x[a], alive, len(rows.x)) if len(alive) else np.zeros(0)
+    out = []
+    for low, high in windows:
+        inside = np.flatnonzero((scores >= low) & (scores <= high))
+        inside = inside[scores[inside] >= _kth(scores[inside], k)]
+        best = inside[np.lexsort((ids[alive[inside]], -scores[inside]))[:k]]
+        out.append((alive[best], scores[best]))
+    return out
+
+
+def _of(values, alive: np.ndarray, n: int) -> np.ndarray:
+    """values of the alive rows; while most are alive, of all rows without moving them."""
+    return values(alive) if 2 * len(alive) < n else values(slice(None))[..., alive]
 
 
 def packed(rows: DataFrame, key: str) -> DataFrame:
@@ -151,12 +164,13 @@ def visit(pairs: DataFrame, k: int, other_labels: bool) -> DataFrame:
         low, high = np.searchsorted(labels, own_labels, "left"), np.searchsorted(labels, own_labels, "right")
         for begin in range(0, len(own_ids), STRIP):
             strip = np.arange(begin, min(begin + STRIP, len(own_ids)))
-            lower, upper = anchors.bounds(0, strip, rows, np.arange(len(ids)))
+            lower, upper = anchors.bounds(0, strip, rows, slice(None))
             for a in strip[cuts[strip + 1] > cuts[strip]].tolist():
                 part = np.r_[0 : low[a], high[a] : len(ids)] if other_labels else np.arange(low[a], high[a])
                 part = part[ids[part] != own_ids[a]]
-                for _, of, least, most in windows[cuts[a] : cuts[a + 1]]:
-                    place, scores = best_within(anchors, a, rows, part, lower[a - begin, part], upper[a - begin, part], least, most, k, ids)
+                own = windows[cuts[a] : cuts[a + 1]]
+                found = best_within(anchors, a, rows, part, lower[a - begin, part], upper[a - begin, part], own[:, 2:].tolist(), k, ids)
+                for of, (place, scores) in zip(own[:, 1], found):
                     if len(place):
                         yield np.full(len(place), a), np.full(len(place), own_ids[a]), np.full(len(place), of, np.int64), ids[place], scores.astype(np.int64)
 
