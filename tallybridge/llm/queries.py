@@ -1,6 +1,6 @@
 """The numbered queries and their SQL."""
 
-from . import divergence, language, lines, mixing, near_copies, negatives, passages, pieces, repetition, scoring, token_counts, topk
+from . import divergence, identifiers, language, lines, mixing, near_copies, negatives, passages, pieces, repetition, scoring, token_counts, topk
 
 QUERIES = {
     "op5_scoring": scoring.op5_scoring,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op1_repetition": repetition.op1_repetition,
     "op11_negatives": negatives.op11_negatives,
+    "op12_identifiers": identifiers.op12_identifiers,
     "op13_divergence": divergence.op13_divergence,
 }
 
