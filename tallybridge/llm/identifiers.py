@@ -103,8 +103,8 @@ def places(rows: DataFrame) -> DataFrame:
     hit = hit.withColumn("end", F.sum(F.col("gap").cast("long") + F.col("len")).over(upto)).withColumn("start", F.col("end") - F.col("len"))
     hit = hit.filter((F.col("kind") == CANDIDATE) | good(F.col("kind"), F.col("value")))
     base = F.col("kind") < CANDIDATE
-    order = W.partitionBy("row").orderBy("start", "kind")
-    before, after = order.rowsBetween(W.unboundedPreceding, -1), order.rowsBetween(1, W.unboundedFollowing)
+    before = W.partitionBy("row").orderBy("start", "kind").rowsBetween(W.unboundedPreceding, -1)
+    after = W.partitionBy("row").orderBy(F.desc("start"), F.desc("kind")).rowsBetween(W.unboundedPreceding, -1)  # read backwards: one pass
     hit = hit.withColumns({"last_end": F.max(F.when(base, F.col("end"))).over(before), "next_start": F.min(F.when(base, F.col("start"))).over(after)})
     clear = (F.coalesce("last_end", F.lit(0)) <= F.col("start")) & (F.coalesce("next_start", F.col("end")) >= F.col("end"))
     return hit.filter(base | clear).select("row", "kind", "start", "end", "value", "left")
