@@ -39,6 +39,8 @@ SECRET, CANDIDATE = 4, 5
 SUPPORT, KNOWN, TRUST, ACCEPT, ROUNDS = 5, 0.25, 0.8, 0.4, 6
 
 WORD = r"A-Za-z0-9_\x{80}-\x{10FFFF}"
+#: Left patterns that are broadcast to count what follows them.
+FEW_PATTERNS = 100_000
 #: Characters that a left pattern is looked for in, and that it has at most.
 NEAR, LEFT = 64, 40
 LOCAL = "A-Za-z0-9._%+-"
@@ -110,10 +112,17 @@ def places(rows: DataFrame) -> DataFrame:
     return hit.filter(base | clear).select("row", "kind", "start", "end", "value", "left")
 
 
-def fillers(docs: DataFrame) -> DataFrame:
-    """(pattern, total): how often each left pattern stands in the corpus, whatever follows."""
+def fillers(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(pattern, total): how often each of the left patterns stands in the corpus, whatever follows.
+
+    Up to FEW_PATTERNS are broadcast (some 50 bytes each) and other words leave before they are counted; beyond that all are
+    counted in their tasks first, and the counts are joined.
+    """
     units = F.regexp_extract_all(spaced(F.col("text")), F.lit(rf"[{WORD}]++[^{WORD}]++"), F.lit(0))
-    return docs.select(F.explode(units).alias("unit")).groupBy(shortened(F.col("unit")).alias("pattern")).agg(F.count("*").alias("total"))
+    stands = docs.select(F.explode(units).alias("unit")).select(shortened(F.col("unit")).alias("pattern"))
+    if patterns.count() <= FEW_PATTERNS:
+        return stands.join(F.broadcast(patterns), "pattern", "left_semi").groupBy("pattern").agg(F.count("*").alias("total"))
+    return stands.groupBy("pattern").agg(F.count("*").alias("total")).join(patterns, "pattern", "left_semi")
 
 
 def edges(found: DataFrame) -> DataFrame:
@@ -149,9 +158,11 @@ def accepted(graph: DataFrame, patterns: DataFrame) -> DataFrame:
     return out.filter(F.col("likely") >= ACCEPT).select("value", "kind")
 
 
-def bootstrapped(found: DataFrame, totals: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def bootstrapped(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(value, kind) of all known values: seeds, and what rounds of patterns find from them."""
     graph = common.written(edges(found), "value-patterns")
+    frequent = graph.filter("is_left AND pattern <> ''").groupBy("pattern").agg(F.count("*").alias("values")).filter(F.col("values") >= SUPPORT)  # others are never trusted
+    totals = common.written(fillers(docs, common.written(frequent.select("pattern"), "frequent-patterns")), "fillers")
     seed = F.when(F.col("kind") < CANDIDATE, F.col("kind")).when(F.col("value").rlike(LOOKS_RANDOM), F.lit(SECRET))
     seeds = common.written(found.withColumn("kind", seed).filter("kind IS NOT NULL").groupBy("value").agg(F.min("kind").alias("kind")), "seeds")
     known = seeds
@@ -168,9 +179,7 @@ def spans(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, spans) of every row of docs; spans: structs (start, kind, end, value, base), by start and kind. kind: a place in KINDS."""
     rows = common.written(matches(docs), "matches")
     found = common.written(places(rows), "places")
-    left = found.filter("left <> ''").select(F.col("left").alias("pattern")).distinct()
-    totals = common.written(fillers(docs).join(left, "pattern", "left_semi"), "fillers")
-    known = bootstrapped(found, totals, rounds)
+    known = bootstrapped(docs, found, rounds)
     own = found.filter(F.col("kind") < CANDIDATE).withColumn("base", F.lit(True))
     more = found.filter(F.col("kind") == CANDIDATE).drop("kind").join(known, "value").withColumn("base", F.lit(False))
     each = own.unionByName(more.select(*own.columns)).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "value", "base"))).alias("spans"))

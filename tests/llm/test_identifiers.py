@@ -85,8 +85,10 @@ def secret(k, n=18):
     return hashlib.sha256(str(k).encode()).hexdigest()[:n]
 
 
-def test_patterns_find_unseen_identifiers(spark):
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_patterns_find_unseen_identifiers(spark, monkeypatch, few):
     """From seeds that look random, contexts and affixes lead to values that do not; a value found leads on to another context."""
+    monkeypatch.setattr(identifiers, "FEW_PATTERNS", few)
     texts = [f"some words here key: {secret(k, 40)} and more" for k in range(12)]  # seeds: 'key: ' is trusted
     texts += ["we set key: hunter2x today", "the key: aaaaaaa1 is old", "key: correcthorse"]  # unseen, by their context
     texts += [f"key: pass{k:03d} then" for k in range(8)] + [f"login code pass{k:03d} now" for k in range(8)]  # values of both contexts
