@@ -2,34 +2,55 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Recon
 
-Condition = Callable[[], Column]
-
 
 def days_apart() -> Column:
     return F.abs(F.datediff("event_date", "inv_event_date"))
 
 
-def within_window(days: int) -> Condition:
+@dataclass(frozen=True)
+class Rule:
+    """What a pair has to fulfil besides the key; called, a condition on a ledger row and its inventory row.
+
+    days: at most so many days apart; strict: not on the same day, and of the same coverage. offset: coverages differ by it,
+    signed: ledger minus inventory.
+    """
+
+    days: int | None = None
+    strict: bool = False
+    offset: int | None = None
+    signed: bool = False
+
+    def __call__(self) -> Column:
+        if self.offset is not None:
+            gap = F.col("coverage") - F.col("inv_coverage")
+            return (gap if self.signed else F.abs(gap)) == self.offset
+        near = days_apart() <= self.days
+        return near & (days_apart() > 0) & (F.col("coverage") == F.col("inv_coverage")) if self.strict else near
+
+
+Condition = Rule
+
+
+def within_window(days: int) -> Rule:
     """Both dates known and at most so many days apart."""
-    return lambda: days_apart() <= days
+    return Rule(days=days)
 
 
-def relapse(days: int) -> Condition:
+def relapse(days: int) -> Rule:
     """The same coverage, another day, at most so many days apart."""
-    return lambda: (F.col("coverage") == F.col("inv_coverage")) & (days_apart() > 0) & (days_apart() <= days)
+    return Rule(days=days, strict=True)
 
 
-def transition(offset: int, signed: bool = False) -> Condition:
+def transition(offset: int, signed: bool = False) -> Rule:
     """Coverages that differ by the offset."""
-    gap = F.col("coverage") - F.col("inv_coverage")
-    return lambda: (gap if signed else F.abs(gap)) == offset
+    return Rule(offset=offset, signed=signed)
 
 
 def representatives(inventory: DataFrame, key: str) -> DataFrame:
@@ -39,29 +60,8 @@ def representatives(inventory: DataFrame, key: str) -> DataFrame:
     return chosen.select(key, F.col("rep.id").alias("inv_id"), F.col("rep.event_date").alias("inv_event_date"), F.col("rep.coverage").alias("inv_coverage"))
 
 
-def candidates(ledger: DataFrame, inventory: DataFrame, key: str, condition: Condition | None, cfg: Recon) -> DataFrame:
-    """(led_id, inv_id, key value): pairs of one step. The build side has one row per key, so a hot key does not multiply."""
-    if cfg.pick == "nearest":
-        others = inventory.filter(F.col(key).isNotNull()).select(key, F.col("id").alias("inv_id"), F.col("event_date").alias("inv_event_date"), F.col("coverage").alias("inv_coverage"))
-        joined = ledger.join(others, key)
-        joined = joined.filter(condition()) if condition else joined
-        best = joined.groupBy(F.col("id").alias("led_id"), F.col(key).alias("key")).agg(F.min(F.struct(F.coalesce(days_apart(), F.lit(1 << 30)).alias("days"), "inv_id")).alias("best"))
-        pairs = best.select("led_id", F.col("best.inv_id").alias("inv_id"), "key", F.col("best.days").alias("days"))
-    else:
-        joined = ledger.join(representatives(inventory, key), key)
-        joined = joined.filter(condition()) if condition else joined
-        pairs = joined.select(F.col("id").alias("led_id"), "inv_id", F.col(key).alias("key"), F.coalesce(days_apart(), F.lit(1 << 30)).alias("days"))
-    if cfg.one_to_one:
-        first = pairs.groupBy("inv_id").agg(F.min(F.struct("days", "led_id", "key")).alias("first"))
-        pairs = first.select("first.led_id", "inv_id", "first.key", "first.days")
-    return pairs.drop("days")
-
-
-def matched(ledger: DataFrame, inventory: DataFrame, key: str, condition: Condition | None, cfg: Recon) -> DataFrame:
+def matched(ledger: DataFrame, inventory: DataFrame, key: str, condition: Rule | None) -> DataFrame:
     """The ledger's rows, each with the inv_id that a step gives it or null: pairs and what is left, in one pass."""
-    if cfg.pick == "nearest" or cfg.one_to_one:
-        pairs = candidates(ledger, inventory, key, condition, cfg)
-        return ledger.join(pairs.select(F.col("led_id").alias("id"), "inv_id"), "id", "left").select(*ledger.columns, "inv_id")
     joined = ledger.join(representatives(inventory, key), key, "left")
     found = F.when(condition(), F.col("inv_id")) if condition else F.col("inv_id")
     return joined.select(*ledger.columns, found.alias("inv_id"))

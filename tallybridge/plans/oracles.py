@@ -53,9 +53,9 @@ STEPS = [
 ]
 
 
-def cascade(consume: str = "row", steps: int = len(STEPS), pick: str = "first", one_to_one: bool = False, leave_out: str = "") -> str:
+def cascade(consume: str = "row", steps: int = len(STEPS), pick: str = "first", one_to_one: bool = False, leave_out: str = "", sources: str = "") -> str:
     """CTEs up to ``labels`` (led_id, inv_id, recon_label)."""
-    out = [SOURCES, "led0 AS (SELECT * FROM ledger)", "inv0 AS (SELECT * FROM inventory)", "inv_delete AS (SELECT * FROM inventory WHERE false)"]
+    out = [sources or SOURCES, "led0 AS (SELECT * FROM ledger)", "inv0 AS (SELECT * FROM inventory)", "inv_delete AS (SELECT * FROM inventory WHERE false)"]
     done = []
     for n, (label, key, condition) in enumerate(STEPS[:steps], 1):
         before = f"inv{n - 1}"
@@ -69,9 +69,9 @@ def cascade(consume: str = "row", steps: int = len(STEPS), pick: str = "first",
         done.append(n)
         reps = f"(SELECT * FROM {before} QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY event_date, id) = 1)" if pick == "first" else before
         best = "" if pick == "first" else f"QUALIFY row_number() OVER (PARTITION BY l.id ORDER BY {NEAR}, r.id) = 1"
-        best = f"QUALIFY row_number() OVER (PARTITION BY r.id ORDER BY {NEAR}, l.id) = 1" if one_to_one else best
-        out.append(f"pairs{n} AS MATERIALIZED (SELECT l.id AS led_id, r.id AS inv_id, '{label}' AS recon_label, l.{key} AS key FROM led{n - 1} l JOIN {reps} r ON l.{key} = r.{key} WHERE {condition} {best})")
-        gone = (lambda col: f"{key} NOT IN (SELECT key FROM pairs{n})") if consume == "key" else (lambda col: f"id NOT IN (SELECT {col} FROM pairs{n})")  # noqa: B023
+        pairs = f"SELECT l.id AS led_id, r.id AS inv_id, '{label}' AS recon_label, l.{key} AS key FROM led{n - 1} l JOIN {reps} r ON l.{key} = r.{key} WHERE {condition} {best}"
+        out.append(f"pairs{n} AS MATERIALIZED ({assignment(label, key, condition, f'led{n - 1}', before) if one_to_one else pairs})")
+        gone = (lambda col: f"({key} IS NULL OR {key} NOT IN (SELECT key FROM pairs{n}))") if consume == "key" else (lambda col: f"id NOT IN (SELECT {col} FROM pairs{n})")  # noqa: B023
         out += [f"led{n} AS MATERIALIZED (SELECT * FROM led{n - 1} WHERE {gone('led_id')})", f"inv{n} AS MATERIALIZED (SELECT * FROM {before} WHERE {gone('inv_id')})"]
     parts = [f"SELECT led_id, inv_id, recon_label FROM pairs{n}" for n in done]
     parts += ["SELECT NULL::BIGINT, id, 'INV_DELETE' FROM inv_delete", f"SELECT id, NULL::BIGINT, 'LEDGER_ONLY' FROM led{steps}", f"SELECT NULL::BIGINT, id, 'INV_MISSING' FROM inv{steps}"]
@@ -79,6 +79,14 @@ def cascade(consume: str = "row", steps: int = len(STEPS), pick: str = "first",
     return "WITH " + ",\n".join(x for x in out if x)
 
 
+def assignment(label: str, key: str, condition: str, ledger: str, inventory: str) -> str:
+    """One to one: of a key's fitting pairs, by days apart and ids, each whose rows no earlier pair has taken."""
+    free = "list_contains(list_transform(taken, lambda p: p.l), x[1].l) OR list_contains(list_transform(taken, lambda p: p.i), x[1].i)"
+    listed = f"list([{{'l': l.id, 'i': r.id}}] ORDER BY coalesce({NEAR}, 0), r.id, l.id)"
+    return f"""SELECT p.l AS led_id, p.i AS inv_id, '{label}' AS recon_label, key FROM (SELECT key, unnest(list_reduce(pairs, lambda taken, x: CASE WHEN {free} THEN taken ELSE taken || x END)) AS p
+      FROM (SELECT l.{key} AS key, {listed} AS pairs FROM {ledger} l JOIN {inventory} r ON l.{key} = r.{key} WHERE {condition} GROUP BY l.{key}))"""
+
+
 def _side(prefix: str, alias: str, names: str) -> str:
     return ", ".join(f"{alias}.{c} AS {prefix}_{c}" for c in names.split())
 

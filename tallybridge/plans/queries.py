@@ -137,7 +137,7 @@ def waterfall_pairs(spark, sf_dir):
 
 def conservation_audit(spark, sf_dir):
     ledger, inventory = fixtures.ledger(spark, sf_dir), fixtures.inventory(spark, sf_dir)
-    both = [waterfall.audit(ledger, inventory, waterfall.labels(waterfall.cascade(ledger, inventory, Recon(consume=c)))).withColumn("consume", F.lit(c)) for c in ("row", "key")]
+    both = [waterfall.cascade(ledger, inventory, Recon(consume=c)).audit().withColumn("consume", F.lit(c)) for c in ("row", "key")]
     return both[0].unionByName(both[1])
 
 
