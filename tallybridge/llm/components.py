@@ -29,7 +29,6 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import mix, slices, written
@@ -208,19 +207,20 @@ def indexed_pairs(families: DataFrame, sets: DataFrame, decode: Decode, least: f
                         column.append(values)
                 at, key, left, after, size, smaller, larger = (np.concatenate(c) for c in columns)
                 at, counts = pa.array(at), [pa.array(c.astype(np.int32)) for c in (size, left, after)]
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), part.column("node").take(at), part.column("root").take(at), *counts, pa.array(smaller), pa.array(larger)], ["key", "node", "root", "size", "left", "after", "smaller", "larger"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), part.column("node").take(at), part.column("root").take(at), part.column("minor").take(at), *counts, pa.array(smaller), pa.array(larger)], ["key", "node", "root", "minor", "size", "left", "after", "smaller", "larger"])
 
-    families = written(families, "families")
-    ordered = families.join(lacking_elements(families, sets, decode), ["node", "centre"], "left").select("node", "root", "centre", "shared")
-    listed = beside_centres(ordered, sets).mapInArrow(run, f"key long, node {kind}, root {kind}, size int, left int, after int, smaller boolean, larger boolean")
+    kinds = families.groupBy("centre", "root").agg(F.count("*").alias("n")).groupBy("centre").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"))
+    # a family of one component proposes nothing; in the others only pairs with a node outside its main component are open
+    families = written(families.join(kinds.filter("roots > 1"), "centre").select("node", "root", "centre", (F.col("root") != F.col("main")).alias("minor")), "families")
+    ordered = families.join(lacking_elements(families, sets, decode), ["node", "centre"], "left").select("node", "root", "centre", "minor", "shared")
+    listed = beside_centres(ordered, sets).mapInArrow(run, f"key long, node {kind}, root {kind}, minor boolean, size int, left int, after int, smaller boolean, larger boolean")
     listed = written(listed, "listings")
-    # lists with sets of one component only propose nothing
-    low, high = (of("root").over(W.partitionBy("key")) for of in (F.min, F.max))
-    listed = listed.withColumns({"low": low, "high": high}).filter("low <> high").drop("low", "high")
     left = listed.filter("smaller")
-    right = listed.filter("larger").select("key", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("size").alias("other_size"), F.col("left").alias("other_left"), F.col("after").alias("other_after"), F.col("smaller").alias("level"))
+    right = listed.filter("larger").select(F.col("minor").alias("other_minor"), "key", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("size").alias("other_size"), F.col("left").alias("other_left"), F.col("after").alias("other_after"), F.col("smaller").alias("level"))
     enough = F.least("left", "other_left") + F.least("after", "other_after") >= least / (1 + least) * (F.col("size") + F.col("other_size")) - 1e-6
-    pairs = left.join(right, "key").filter((F.col("root") != F.col("other_root")) & enough & (~(F.col("larger") & F.col("level")) | (F.col("node") < F.col("other"))))
+    open_ = (F.col("root") != F.col("other_root")) & enough & (~(F.col("larger") & F.col("level")) | (F.col("node") < F.col("other")))
+    # lists without a minor node are met by nothing, however long they are
+    pairs = left.filter("minor").join(right, "key").filter(open_).unionByName(left.filter("NOT minor").join(right.filter("other_minor"), "key").filter(open_))
     flip = F.col("node") > F.col("other")
     a, b = (F.struct(F.col(n).alias("node"), F.col(r).alias("root")) for n, r in (("node", "root"), ("other", "other_root")))
     pairs = pairs.select(F.when(flip, b).otherwise(a).alias("a"), F.when(flip, a).otherwise(b).alias("b"))
