@@ -10,9 +10,11 @@ Scores are integer inner products of floor(scale * x), exact in float64 while th
 widened by a relative 1e-9, so rounding never prunes a row that belongs in the result. Where a vector's length times
 a query's is 2^53 or more, the job stops with an error rather than give inexact scores.
 
+A query is a row, told by its block and place; its id only says which rows are not its candidates.
+
 Cases: null and empty vectors, and vectors with a null or non-finite component, take no part; queries meet vectors
-of their own length only. Ties go to the smaller id. Rows with a null id take no part; equal ids are rows of their own
-(a query's own id is never its candidate). A query with fewer than k candidates gets all. An empty table gives no rows.
+of their own length only. Ties go to the smaller id. Rows with a null id take no part; equal ids are rows of their own:
+each is a candidate, and each that is asked gets rows of its own (a query's own id is never its candidate). A query with fewer than k candidates gets all. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -118,7 +120,7 @@ def visit(trees: DataFrame, pairs: DataFrame, k: int, batches: int) -> DataFrame
     """Searches the shard of each row of pairs (shard_no, width, a block, floor): the k best of each query there, at or above its floor."""
 
     def run(keys, shard, blocks):
-        found = {name: [] for name in ("block_no", "query_id", "vec_id", "score")}
+        found = {name: [] for name in ("block_no", "place", "query_id", "vec_id", "score")}
         if shard.num_rows and blocks.num_rows:
             width = keys[1].as_py()
             ids = np.frombuffer(shard.column("shard_ids")[0].as_buffer(), np.int64)
@@ -132,22 +134,21 @@ def visit(trees: DataFrame, pairs: DataFrame, k: int, batches: int) -> DataFrame
                 best = Best(len(q), k, floor)
                 search(tree, ids, q, query_ids, best)
                 at, rank = np.nonzero(np.isfinite(best.scores) & (best.scores >= floor[:, None]))
-                for name, values in zip(found, (np.full(len(at), row["block_no"]), query_ids[at], best.ids[at, rank], best.scores[at, rank].astype(np.int64))):
+                for name, values in zip(found, (np.full(len(at), row["block_no"]), at, query_ids[at], best.ids[at, rank], best.scores[at, rank].astype(np.int64))):
                     found[name].append(values)
         one = {name: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64), pa.int64()) for name, v in found.items()}
-        return pa.table([one["block_no"].cast(pa.int32()), pa.array(np.full(len(one["score"]), keys[1].as_py()), pa.int32()), one["query_id"], one["vec_id"], one["score"]], ["block_no", "width", "query_id", "vec_id", "score"])
+        return pa.table([one["block_no"].cast(pa.int32()), pa.array(np.full(len(one["score"]), keys[1].as_py()), pa.int32()), one["place"].cast(pa.int32()), one["query_id"], one["vec_id"], one["score"]], ["block_no", "width", "place", "query_id", "vec_id", "score"])
 
     pairs = pairs.withColumn("batch", F.floor(F.col("block_no") / BATCH).cast("int"))
     trees = trees.withColumn("batch", F.explode(F.sequence(F.lit(0), F.lit(batches - 1))))
     on = ("shard_no", "width", "batch")
-    return trees.groupBy(*on).cogroup(pairs.groupBy(*on)).applyInArrow(run, "block_no int, width int, query_id long, vec_id long, score long")
+    return trees.groupBy(*on).cogroup(pairs.groupBy(*on)).applyInArrow(run, "block_no int, width int, place int, query_id long, vec_id long, score long")
 
 
 def with_floors(keys, blocks: pa.Table, floors: pa.Table) -> pa.Table:
     """A block with the kth score known so far of each of its queries."""
-    known = dict(zip(floors.column("query_id").to_pylist(), floors.column("kth").to_pylist()))
-    ids = np.frombuffer(blocks.column("block_ids")[0].as_buffer(), np.int64)
-    floor = np.array([known.get(i, -np.inf) for i in ids.tolist()], np.float64)
+    floor = np.full(len(blocks.column("block_ids")[0].as_buffer()) // 8, -np.inf)
+    floor[floors.column("place").to_numpy()] = floors.column("kth").to_numpy()
     return blocks.append_column("floor", pa.array([floor.tobytes()], pa.binary()))
 
 
@@ -172,13 +173,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE
     first = packs.withColumn("shard_no", F.pmod("block_no", F.lit(shards))).withColumn("floor", F.lit(None).cast("binary"))
     batches = -(-blocks // BATCH)
     found = common.written(visit(trees, first, k, batches), "first-scores")
-    kth = found.groupBy("block_no", "width", "query_id").agg(F.min("score").alias("kth"), F.count("*").alias("n"))
+    kth = found.groupBy("block_no", "width", "place").agg(F.min("score").alias("kth"), F.count("*").alias("n"))
     kth = kth.filter(F.col("n") >= k).drop("n")
     cogroup = packs.groupBy("block_no", "width").cogroup(kth.groupBy("block_no", "width"))
     bounded = cogroup.applyInArrow(with_floors, "block_no int, width int, block_ids binary, block binary, floor binary")
     pairs = bounded.withColumn("shard_no", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).filter(F.col("shard_no") != F.pmod("block_no", F.lit(shards)))
     found = found.unionByName(visit(trees, pairs, k, batches))
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = W.partitionBy("block_no", "width", "place").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
@@ -189,11 +190,11 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = f"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS x FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id % {EVERY} = 0 AND q.vec_id <> c.vec_id)
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+  SELECT q.row, q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % {EVERY} = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x))
+SELECT query_id, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
 FROM s QUALIFY rank <= {K}
 """

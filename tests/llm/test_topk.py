@@ -46,3 +46,21 @@ def test_empty(spark):
 
 def test_sql(spark):
     same(topk.op6_topk(spark, SF).toPandas(), sql(SF, topk.ORACLE))
+
+
+@pytest.mark.parametrize(("shard", "block"), [(4096, 1024), (7, 2)])
+def test_repeated_ids_equal_sql(spark, tmp_path, shard, block):
+    """Rows that share an id, with equal vectors and with others, as queries and as candidates."""
+    r = random.Random(8)
+    rows = [(i % 130, [float(r.randint(-2, 2)) for _ in range(5)]) for i in range(200)]
+    rows += [(0, rows[0][1]), (50, rows[50][1]), (50, [2.0] * 5), (100, [1.0, 2.0]), (7, rows[7][1]), (None, [1.0] * 5), (100, None), (100, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    df.write.parquet(f"{tmp_path}/embeddings.parquet")
+    same(topk.top_k(df, df.filter("vec_id % 50 = 0"), shard=shard, block=block).toPandas(), sql(str(tmp_path), topk.ORACLE))
+
+
+def test_two_equal_queries(spark):
+    rows = [(0, [2.0, 1.0])] * 2 + [(k, [2.0, 1.0 - k]) for k in range(1, 7)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.top_k(df, df.filter("vec_id = 0")).collect()
+    assert sorted((x.rank, x.vec_id) for x in got) == [(k, k) for k in range(1, 6) for _ in range(2)]
