@@ -3,9 +3,12 @@
 A source's mean repetition rate is its target share of the output's characters over its own characters. Each
 document draws u in [0, 1) from a hash of (seed, doc_id) and appears as often as the inverse Poisson distribution
 with that mean says; the copies are dealt out and sorted by a hash of (seed, doc_id, copy): a global shuffle that is
-the same in every run. Everything is built-in column expressions. Sources are counted first: the table of up to
-FEW_SOURCES is broadcast, so documents move only once, for the global sort; a larger one is joined with each source dealt
-into SALTS parts, so that a hot source is spread.
+the same in every run. Everything is built-in column expressions.
+
+The inverse is a table of intervals of u, one for each count that a source's documents may have: its rows grow with the root
+of the rate, and a window sums them up. [0, 1) is cut into PARTS, and an interval stands under each part that it meets, so
+documents find theirs by source and part. The table is broadcast while it takes up to MOST_BYTES (some 1,500 sources of
+small rates), so documents move only once, for the global sort; a larger one is joined, a hot source being dealt into its parts.
 
 Cases: a null source is a source of its own. Without targets, all sources have equal weight; with targets, a source
 that is not named has weight 0 and goes. Null and empty texts count 0 characters; a source without any character has
@@ -16,13 +19,16 @@ texts' hashes. An empty table stays empty.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import common
 
 SEED, EPOCHS = "mix-1", 1.0
-#: Sources whose table is broadcast (a few hundred bytes each), and parts of a source beyond that.
-FEW_SOURCES, SALTS = 10_000, 64
+#: The table of intervals is broadcast up to MOST_BYTES, at ROW_BYTES each. Parts of [0, 1) that a source is dealt into.
+MOST_BYTES, ROW_BYTES, PARTS = 8 << 20, 64, 64
+#: Deviations from the mean that the table covers: beyond them lies less than 2^-52, the resolution of a fraction. Rates from DENSE on start there.
+SIGMAS, DENSE = 12.0, 1000.0
 #: Fractions come from this many hex digits of an md5: exact in a double.
 DIGITS = 13
 
@@ -33,20 +39,28 @@ def fraction(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, DIGITS), 16, 10).cast("long") / F.lit(float(16**DIGITS))
 
 
-def cumulative(rate: Column) -> Column:
-    """Poisson probabilities P(X <= j) for j from 0 to where the rest is below any fraction drawn; terms in logarithms."""
-    last = F.ceil(rate + 12 * F.sqrt(rate) + 30).cast("int")
-    logs = F.aggregate(
-        F.sequence(F.lit(1), last),
-        F.struct(F.array(-rate).alias("terms"), (-rate).alias("now")),
-        lambda a, j: F.struct(F.array_append(a["terms"], a["now"] + F.log(rate) - F.log(j.cast("double"))).alias("terms"), (a["now"] + F.log(rate) - F.log(j.cast("double"))).alias("now")),
-    )["terms"]
-    sums = F.aggregate(
-        logs,
-        F.struct(F.array().cast("array<double>").alias("sums"), F.lit(0.0).alias("now")),
-        lambda a, x: F.struct(F.array_append(a["sums"], a["now"] + F.exp(x)).alias("sums"), (a["now"] + F.exp(x)).alias("now")),
-    )["sums"]
-    return F.when(rate > 0, sums).otherwise(F.array(F.lit(2.0)))
+def cumulative(rate: DataFrame) -> DataFrame:
+    """(of, count, low, high): a document of source ``of`` that draws u in [low, high) appears count times.
+
+    Poisson probabilities P(X <= j), summed up by a window: from 0 on for rates below DENSE, else from SIGMAS deviations
+    below the mean; up to where the rest is below any fraction drawn. Rows per source grow with the root of its rate. Terms
+    are differences of logarithms; a large rate's first one is the saddle-point form, and its sums are divided by their last.
+    """
+    large = F.col("rate") >= DENSE
+    wide = SIGMAS * F.sqrt("rate")
+    rows = rate.filter("rate > 0").select(F.col("source").alias("of"), "rate", F.when(large, F.floor(F.col("rate") - wide)).otherwise(0).cast("long").alias("first"), F.ceil(F.col("rate") + wide + 30).cast("long").alias("last"))
+    rows = rows.withColumn("count", F.explode(F.sequence("first", "last")))
+    n = F.col("count").cast("double")
+    away = (n - F.col("rate")) / F.col("rate")
+    start = F.when(large, (n - F.col("rate")) - n * F.log1p(away) - 0.5 * F.log(2 * F.pi() * n) - 1 / (12 * n)).otherwise(-F.col("rate"))
+    step = F.when(F.col("count") == F.col("first"), start).when(large, F.log1p((F.col("rate") - n) / n)).otherwise(F.log("rate") - F.log(n))
+    source = W.partitionBy("of", "rate").orderBy("count")
+    upto = source.rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = rows.withColumn("log", F.sum(step).over(upto)).withColumn("high", F.sum(F.exp("log")).over(upto))
+    total = F.when(large, F.max("high").over(W.partitionBy("of", "rate"))).otherwise(1.0)
+    rows = rows.withColumn("high", F.col("high") / total).withColumn("low", F.coalesce(F.lag("high").over(source), F.lit(0.0)))
+    rows = rows.withColumn("high", F.when(F.col("count") == F.col("last"), 2.0).otherwise(F.col("high")))
+    return rows.filter("count > 0 AND low < high AND low < 1").select("of", "count", "low", "high")
 
 
 def rates(docs: DataFrame, targets: dict[str, float] | None = None, epochs: float = EPOCHS) -> DataFrame:
@@ -69,18 +83,16 @@ def mixed(docs: DataFrame, targets: dict[str, float] | None = None, seed: str =
 
     Columns of docs that are called copy or shuffle_key are replaced.
     """
-    rate = rates(docs, targets, epochs)
-    table = rate.select(F.col("source").alias("of"), cumulative(F.col("rate")).alias("sums"))
+    table = common.written(cumulative(rates(docs, targets, epochs)), "repetitions")
     row = docs.drop("copy", "shuffle_key").select(F.struct("*").alias("row"), fraction(seed, F.col("doc_id")).alias("u"))
-    met = F.col("row.source").eqNullSafe(F.col("of"))
-    if rate.count() <= FEW_SOURCES:
+    row = row.withColumn("part", F.floor(F.col("u") * PARTS).cast("int"))
+    # each interval stands under every part of [0, 1) that it meets: a document finds its count among a few rows of its part
+    table = table.withColumn("part", F.explode(F.sequence(F.floor(F.col("low") * PARTS).cast("int"), F.floor(F.least("high", F.lit(1.0 - 2.0**-53)) * PARTS).cast("int"))))
+    if table.count() * ROW_BYTES <= MOST_BYTES:
         table = F.broadcast(table)
-    else:
-        row = row.withColumn("salt", F.pmod(F.xxhash64("row.doc_id", "row.text"), F.lit(SALTS)))
-        table = table.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-        met = met & (F.col("salt") == F.col("part"))
-    row = row.join(table, met).withColumn("times", F.size(F.filter("sums", lambda x: x <= F.col("u"))))
-    copies = row.filter("times > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
+    met = F.col("row.source").eqNullSafe(F.col("of")) & (row["part"] == table["part"]) & (F.col("low") <= F.col("u")) & (F.col("u") < F.col("high"))
+    row = row.join(table, met).withColumn("times", F.col("count"))
+    copies = row.filter("times > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("copy"))
     return copies.withColumn("shuffle_key", fraction(seed, F.col("row.doc_id"), F.col("copy"))).orderBy("shuffle_key", F.xxhash64("row.text")).select("row.*", "copy", "shuffle_key")
 
 

@@ -1,4 +1,7 @@
 import math
+import time
+
+import numpy as np
 
 from pyspark.sql import functions as F
 
@@ -34,7 +37,7 @@ def test_rates_and_counts(spark):
 def test_many_sources_are_salted(spark, monkeypatch):
     docs = frame(spark, ["some text", "other", None] * 50)
     want = sorted(map(tuple, mixing.mixed(docs).collect()), key=repr)
-    monkeypatch.setattr(mixing, "FEW_SOURCES", 1)
+    monkeypatch.setattr(mixing, "MOST_BYTES", 0)
     assert sorted(map(tuple, mixing.mixed(docs).collect()), key=repr) == want
 
 
@@ -55,3 +58,23 @@ def test_empty(spark):
     u = mixing.fraction(mixing.SEED, F.lit(0))
     want = sum(math.exp(-1) * sum(1 / math.factorial(i) for i in range(j + 1)) <= spark.range(1).select(u).first()[0] for j in range(30))
     assert len(copies) == want and all(x.text is None for x in copies)  # rate 1
+
+
+def test_any_rate_against_exact_quantiles(spark):
+    """Rates from 10^-6 to 10^9, in time and rows that grow with their roots."""
+    rates = [1e-6, 1.0, 999.0, 1001.0, 1e5, 1e9]
+    began = time.time()
+    table = mixing.cumulative(spark.createDataFrame([(str(r), r) for r in rates], "source string, rate double")).toPandas()
+    assert time.time() - began < 60 and len(table) < 26 * sum(math.sqrt(r) + 2 for r in rates)
+    for r in rates:
+        own = table[table.of == str(r)].sort_values("count")
+        low, high = int(r - 13 * math.sqrt(r) - 40) if r > 1e4 else 0, int(r + 13 * math.sqrt(r) + 40)
+        mode = int(r)
+        up = np.cumprod(np.longdouble(r) / np.arange(mode + 1, high + 1, dtype=np.longdouble))
+        down = np.cumprod(np.arange(mode, low, -1, dtype=np.longdouble) / np.longdouble(r))
+        weights = np.concatenate([down[::-1], [np.longdouble(1)], up])
+        exact = np.cumsum(weights / weights.sum())
+        at = own["count"].to_numpy() - low
+        inner = own.high.to_numpy() < 2
+        np.testing.assert_allclose(own.high.to_numpy()[inner], exact[at[inner]].astype(float), atol=2e-9 if r > 1e6 else 1e-12)
+        np.testing.assert_allclose(own.low.to_numpy(), np.concatenate([[0.0], exact]).astype(float)[at], atol=2e-9 if r > 1e6 else 1e-12)
