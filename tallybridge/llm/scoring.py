@@ -12,7 +12,7 @@ built and read once, and no task holds more than one shard. A word that is very
 hashes of the words after it, so no shard has it alone.
 
 A shard's trie has three levels in one memory-mapped file: first words (hashes), pairs (the place of the first word,
-then 40 bits of the second word's hash) and triples (the place of the pair, then 24 bits of the third word's hash); all are
+then 40 bits of the second word's hash) and triples (the place of the pair, then 32 bits of the third word's hash); all are
 monotone and kept as Elias-Fano sequences, as are the pointers from each level to where its successors start in the
 next. Beside pairs and triples lie 16-bit codes of their shares, and beside pairs the weight that is left to shorter
 contexts. A lookup goes down by first word, pair and triple, each time among the successors of the context it has found.
@@ -20,8 +20,8 @@ Opened, a sequence takes its file's size and two 32-bit counts for each 64 bits
 
 ``scored`` can keep the shards as a table (one row each), which ``scored_by`` reads to score other documents later.
 
-Words of one context that agree in 40 (pairs) or 24 (triples) hash bits are taken for one: a word that was never seen after a
-pair with F followers is taken for one of them with probability F / 2^24. First words are told by 63 bits.
+Words of one context that agree in 40 (pairs) or 32 (triples) hash bits are taken for one: a word that was never seen after a
+pair with F followers is taken for one of them with probability F / 2^32. First words are told by 63 bits.
 
 Cases: a null text is empty: one end token after the start. Rows with a null doc_id are scored, and train. Without
 training tokens only the unknown-word share is left (N = 0, V = 0). Repeated rows count and score one by one.
@@ -48,7 +48,7 @@ MASS, ADDED, DISCOUNT = 60.0, 0.1, 0.75
 PART_TOKENS = 1 << 20
 #: Code of a share p: STEP * -log10 p. NONE: no such successor. WHOLE: code of the weight 1.
 STEP, NONE, WHOLE = 4096, 65535, 65535
-WORD_BITS, THIRD_BITS = 40, 24
+WORD_BITS, THIRD_BITS = 40, 32
 END, START = xxhash.xxh3_64_intdigest(b""), xxhash.xxh3_64_intdigest(b"\n")
 
 

@@ -71,6 +71,14 @@ def test_planted(spark, part_tokens, monkeypatch):
     compare(got.collect(), list(zip(ids, texts)))
 
 
+def test_a_pair_with_very_many_followers(spark):
+    """10^5 words after one pair: each is told from the others, and unseen ones from all."""
+    n = 100_000
+    texts = [" ".join(f"a b w{k}" for k in range(first, first + n // 20)) for first in range(0, n, n // 20)] + [" ".join(f"a b {x}{k}" for k in range(5000) for x in "wu")]
+    ids = [k for k in range(200) if zlib.crc32(str(k).encode()) % 10][:20] + [next(k for k in range(200) if not zlib.crc32(str(k).encode()) % 10)]
+    compare(scoring.scored(frame(spark, texts, ids=ids), ~scoring.held_out(10)).collect(), list(zip(ids, texts)))
+
+
 def test_empty(spark):
     assert scoring.scored(frame(spark, ["a"]).limit(0), ~scoring.held_out(10)).count() == 0
 
