@@ -9,38 +9,46 @@ from pyspark.sql import functions as F
 
 from ..config import LEDGER_LATE, LEDGER_LATE_OBS, LEDGER_ONLY, Recon
 from ..functions import text
-from ..plans.cut import cut
 
 
 def recover_late(result: DataFrame, inventories: Sequence[tuple[str, DataFrame]], cfg: Recon = Recon(), key: str = "key_no_date") -> DataFrame:
     """LEDGER_ONLY rows that an inventory of the ordered list has by key become LEDGER_LATE; the first hit wins.
 
     late_source names the inventory, and the row takes its inv_* columns (representative: first by event date and
-    id). cfg.late_days bounds the days between the events, if set. Rows and their number stay as they are. Only
-    orphans are joined: result is written once, and its other rows are not shuffled again.
+    id). cfg.late_days bounds the days between the events, if set. Rows and their number stay as they are. However
+    many inventories there are, they are stacked with their places in the list and reduced to one row a key, so that
+    orphans are joined once; other rows are not shuffled.
     """
     if "late_source" not in result.columns:
         result = result.withColumn("late_source", F.lit(None).cast("string"))
     if not inventories:
         return result
-    result = cut(result, "result")
     orphan = F.coalesce((F.col("recon_label") == LEDGER_ONLY) & F.col("late_source").isNull() & F.col(key).isNotNull(), F.lit(False))
-    settled, result = result.filter(~orphan), result.filter(orphan)
-    own = [c for c in result.columns if c.startswith("inv_")]
-    for name, inventory in inventories:
-        order = F.struct(F.col("inv_event_date").isNull().alias("unknown"), "inv_event_date", "inv_id", *[F.col(c) for c in inventory.columns if c.startswith("inv_") and c not in ("inv_event_date", "inv_id")])
-        found = inventory.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("late_key")).agg(F.min(order).alias("late_row"))
-        open_key = F.when((F.col("recon_label") == LEDGER_ONLY) & F.col("late_source").isNull(), F.col(key))
-        joined = result.join(found, open_key == F.col("late_key"), "left")
-        hit = F.col("late_key").isNotNull()
-        if cfg.late_days is not None:
-            hit = hit & (F.abs(F.datediff("led_event_date", F.col("late_row.inv_event_date"))) <= cfg.late_days)
-        hit = F.coalesce(hit, F.lit(False))
-        there = [c for c in own if c in inventory.columns]
-        changed = {c: F.when(hit, F.col(f"late_row.{c}")).otherwise(F.col(c)) for c in there}
-        changed |= {"recon_label": F.when(hit, LEDGER_LATE).otherwise(F.col("recon_label")), "late_source": F.when(hit, F.lit(name)).otherwise(F.col("late_source"))}
-        result = joined.withColumns(changed).drop("late_key", "late_row")
-    return settled.unionByName(result)
+    settled, orphans = result.filter(~orphan), result.filter(orphan)
+    later = stacked(inventories, key, [c for c in result.columns if c.startswith("inv_")])
+    own = [c for c in later.columns if c.startswith("inv_")]
+    order = F.struct("place", F.col("inv_event_date").isNull().alias("unknown"), "inv_event_date", "inv_id", *[c for c in own if c not in ("inv_event_date", "inv_id")], "late_name")
+    if cfg.late_days is None:
+        found = later.groupBy("late_key").agg(F.min(order).alias("late_row"))
+    else:  # which inventory wins depends on the ledger row: one representative of each, as many as the list is long
+        found = later.groupBy("late_key", "place").agg(F.min(order).alias("late_row")).groupBy("late_key").agg(F.array_sort(F.collect_list("late_row")).alias("late_rows"))
+    joined = orphans.join(found, F.col(key) == F.col("late_key"), "left")
+    if cfg.late_days is not None:
+        near = F.filter("late_rows", lambda x: F.abs(F.datediff(F.col("led_event_date"), x["inv_event_date"])) <= cfg.late_days)
+        joined = joined.withColumn("late_row", F.get(near, 0))
+    hit = F.col("late_row").isNotNull()
+    changed = {c: F.when(hit, F.col(f"late_row.{c}")).otherwise(F.col(c)) for c in own}
+    changed |= {"recon_label": F.when(hit, LEDGER_LATE).otherwise(F.col("recon_label")), "late_source": F.when(hit, F.col("late_row.late_name")).otherwise(F.col("late_source"))}
+    return settled.unionByName(joined.withColumns(changed).select(*result.columns))
+
+
+def stacked(inventories: Sequence[tuple[str, DataFrame]], key: str, columns: Sequence[str]) -> DataFrame:
+    """The inventories' rows with a key, one under the other: late_key, place in the list, late_name and the inv_* columns among ``columns`` that any has."""
+    out = None
+    for place, (name, inventory) in enumerate(inventories):
+        one = inventory.filter(F.col(key).isNotNull()).select(F.col(key).alias("late_key"), F.lit(place).alias("place"), F.lit(name).alias("late_name"), *[c for c in inventory.columns if c in columns])
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out
 
 
 def flag_late_observations(result: DataFrame, cfg: Recon) -> DataFrame:

@@ -327,6 +327,13 @@ ORACLES = {
     "waterfall_nearest": f"{cascade(pick='nearest')} SELECT * FROM labels", "waterfall_one_to_one": f"{cascade(one_to_one=True)} SELECT * FROM labels", "waterfall_no_transition": f"{cascade(leave_out='MATCH_TRANSITION')} SELECT * FROM labels",
     "late_recovery_days": f"""{cascade()}, {LATE_ROW} SELECT s.led_id, n.id AS inv_id, CASE WHEN n.id IS NULL THEN 'LEDGER_ONLY' ELSE 'LEDGER_LATE' END AS recon_label, CASE WHEN n.id IS NOT NULL THEN 'N1' END AS late_source
       FROM labels s JOIN ledger l ON s.led_id = l.id LEFT JOIN late_reps n ON l.key_no_date = n.key_no_date AND abs(date_diff('day', l.event_date, n.event_date)) <= 30 WHERE s.recon_label = 'LEDGER_ONLY'""",
+    "late_recovery_list": f"""{cascade()}, lists AS (
+      SELECT 1 AS place, id, key_no_date, event_date + 100 AS event_date, reserve FROM later WHERE id % 2 = 0 UNION ALL
+      SELECT 2, id, key_no_date, event_date - 20, NULL FROM later WHERE id % 3 = 0 UNION ALL SELECT 3, id, key_no_date, event_date, reserve FROM later),
+    reps AS (SELECT * FROM lists QUALIFY row_number() OVER (PARTITION BY place, key_no_date ORDER BY event_date, id) = 1),
+    hits AS (SELECT l.id AS led_id, n.* FROM ledger l JOIN reps n ON l.key_no_date = n.key_no_date AND abs(date_diff('day', l.event_date, n.event_date)) <= 60 QUALIFY row_number() OVER (PARTITION BY l.id ORDER BY place) = 1)
+    SELECT s.led_id, n.id AS inv_id, CASE WHEN n.id IS NULL THEN 'LEDGER_ONLY' ELSE 'LEDGER_LATE' END AS recon_label, 'N' || n.place AS late_source, CAST(n.event_date AS DATE) AS inv_event_date, {d('n.reserve')} AS inv_reserve
+    FROM labels s LEFT JOIN hits n ON s.led_id = n.led_id WHERE s.recon_label = 'LEDGER_ONLY'""",
     "inventory_date": f"{RESULT} SELECT strftime(max(inv_inventory_date) FILTER (recon_label <> 'LEDGER_LATE'), '%d/%m/%Y') AS inventory_date FROM result", "kpi_header": KPI_HEADER,
     "catalog_tables": f"{RESULT}, c AS (SELECT recon_label, late_source, count(*) AS nb FROM result GROUP BY ALL) SELECT c.*, run_id, 'other' AS unknown FROM c CROSS JOIN (VALUES ('current'), ('run1'), ('run2')) v(run_id)",
     "fanout_summary": FANOUT_SUMMARY,

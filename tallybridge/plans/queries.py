@@ -18,7 +18,7 @@ CFG = Recon(inventory_year=year_of(f"31/12/{fixtures.YEAR}"))
 
 
 def recovered(spark: SparkSession, sf_dir: str, cfg: Recon = CFG) -> DataFrame:
-    wide = waterfall.reconcile(fixtures.ledger(spark, sf_dir), fixtures.inventory(spark, sf_dir), cfg)
+    wide = cut(waterfall.reconcile(fixtures.ledger(spark, sf_dir), fixtures.inventory(spark, sf_dir), cfg), "reconciled")
     return enrich.recover_late(wide, [("N1", fixtures.inventory(spark, sf_dir, fixtures.NEXT))], cfg)
 
 
@@ -152,6 +152,16 @@ def late_recovery(spark, sf_dir):
     return df.select("led_id", "inv_id", "recon_label", "late_source", numbers.money(F.col("inv_reserve")).alias("inv_reserve"))
 
 
+def late_recovery_list(spark, sf_dir):
+    """Three later inventories: rows of the third appear in the first two, too, by parts; the first that fits within 60 days wins."""
+    later = fixtures.inventory(spark, sf_dir, fixtures.NEXT)
+    moved = lambda days: later.withColumn("inv_event_date", F.date_add("inv_event_date", days))
+    lists = [("N1", moved(100).filter("inv_id % 2 = 0")), ("N2", moved(-20).filter("inv_id % 3 = 0").drop("inv_reserve")), ("N3", later)]
+    df = enrich.recover_late(cut(waterfall.reconcile(fixtures.ledger(spark, sf_dir), fixtures.inventory(spark, sf_dir))), lists, Recon(late_days=60))
+    df = df.filter(F.col("recon_label").isin(LEDGER_ONLY, LEDGER_LATE))
+    return df.select("led_id", "inv_id", "recon_label", "late_source", "inv_event_date", numbers.money(F.col("inv_reserve")).alias("inv_reserve"))
+
+
 def flag_late_obs(spark, sf_dir):
     return result(spark, sf_dir).groupBy("recon_label", "late_source").agg(F.count("*").alias("nb"))
 
@@ -232,7 +242,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "step_transition": step("MATCH_TRANSITION"), "step_relapse": step("MATCH_RELAPSE"), "step_relapse_truncated": step("MATCH_RELAPSE_TRUNC"),
     "waterfall_labels_row": waterfall_labels("row"), "waterfall_labels_key": waterfall_labels("key"), "waterfall_pairs": waterfall_pairs, "conservation_audit": conservation_audit,
     "waterfall_nearest": waterfall_with(Recon(pick="nearest")), "waterfall_one_to_one": waterfall_with(Recon(one_to_one=True)), "waterfall_no_transition": waterfall_with(Recon(transition_offset=None)),
-    "late_recovery": late_recovery, "late_recovery_days": late_recovery_days, "flag_late_obs": flag_late_obs, "orphan_tags": orphan_tags, "orphan_tag_distribution": table(analyses.orphan_tag_distribution),
+    "late_recovery": late_recovery, "late_recovery_days": late_recovery_days, "late_recovery_list": late_recovery_list, "flag_late_obs": flag_late_obs, "orphan_tags": orphan_tags, "orphan_tag_distribution": table(analyses.orphan_tag_distribution),
     "audit_summary": table(analyses.audit_summary), "instruction_ratios": table(analyses.instruction_ratios), "instruction_reserve": table(analyses.instruction_reserve),
     "instruction_global": table(analyses.instruction_global), "delete_not_followed": table(analyses.delete_not_followed),
     "shortfall_by_clause": table(analyses.shortfall_by_clause), "shortfall_by_action": table(analyses.shortfall_by_action), "provision_by_clause": table(analyses.provision_by_clause),

@@ -139,6 +139,14 @@ def test_late_recovery_takes_the_first_inventory(spark):
     assert got[1] == "B"
 
 
+def test_late_recovery_is_one_join_of_any_list(spark):
+    led, inv = sources(spark, [(1, 0, 60, "n")], [(9, 0, 99, "x")])
+    wide, later = waterfall.reconcile(led, inv), sources(spark, [], [(20, 5, 60, "n")])[1]
+    joins = lambda n, cfg: enrich.recover_late(wide, [(f"N{k}", later) for k in range(n)], cfg)._jdf.queryExecution().optimizedPlan().toString().count("Join")
+    for cfg in (Recon(), Recon(late_days=9)):
+        assert joins(1, cfg) == joins(10, cfg)
+
+
 def test_expected_counts(spark):
     expected = {
         "MATCH_EXACT": 5628, "MATCH_WINDOW": 826, "MATCH_TRUNC": 937, "MATCH_TRUNC_WINDOW": 887, "INV_DELETE": 1493,
