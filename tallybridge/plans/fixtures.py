@@ -93,3 +93,15 @@ def text_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         "date_de_l_arret_de_travail": F.when(bad == 1, "1999-02-31").otherwise(F.col("date_de_l_arret_de_travail").cast("string")),
         "pm_au_31_12": F.when(bad == 2, "n/a").otherwise(F.col("pm_au_31_12").cast("string")), "terme_de_garantie": F.col("terme_de_garantie").cast("string"),
     })
+
+
+def broken_files(spark: SparkSession, sf_dir: str, base: str) -> None:
+    """The inventory as files of three kinds below base: ``a`` as it is, ``b`` with its columns in reverse order, a name with a
+    delimiter in every 40th row and no status, ``c`` without a header."""
+    df = csv_inventory(spark, sf_dir)
+    number = F.col("inv_id").cast("long")
+    torn = df.withColumn("NOM_PRENOM", F.when(number % 40 == 7, F.concat_ws(";", "NOM_PRENOM", F.lit("x"))).otherwise(F.col("NOM_PRENOM"))).drop("Statut_INV")
+    plain = lambda x, name, header=True: x.write.option("header", header).option("sep", ";").option("quote", "\u0000").csv(f"{base}/{name}")
+    plain(df.filter(number % 3 == 0), "a")
+    plain(torn.filter(number % 3 == 1).select(*torn.columns[::-1]), "b")
+    plain(df.filter(number % 300 == 2), "c", False)

@@ -343,6 +343,20 @@ ORACLES = {
 }
 
 
+ORDER = "ORDER BY nb_ledger DESC, inv_reserve DESC NULLS LAST, inv_person_id, inv_birth_date, inv_event_date, inv_coverage"
+ORACLES |= {
+    "fanout_first": f"{FANOUT} {ORDER} LIMIT 3",
+    "fanout_sketch": f"{RESULT} SELECT count(DISTINCT row({WHO})) AS exact, true AS merged_is_whole, true AS is_near FROM result WHERE m",
+    "catalog_evolution": f"""WITH {SOURCES}, c AS (SELECT clause, count(*) AS nb, {d('sum(reserve)')} AS reserve FROM inventory GROUP BY ALL)
+      SELECT clause, nb, NULL::DOUBLE AS reserve FROM c UNION ALL SELECT * FROM c UNION ALL SELECT clause, NULL, NULL FROM c""",
+    "export_tables": f"SELECT 'C1' AS client, 'ALL' AS scope, g.*, 'instruction_global_1000,late_obs_breakdown_1000' AS tables, 'client,scope' AS first_columns FROM ({GLOBAL}) g",
+    "inventory_quarantine": f"""WITH {SOURCES}, f AS (
+        SELECT CASE id % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS folder, *, CASE id % 3 WHEN 0 THEN false WHEN 1 THEN id % 40 = 7 ELSE true END AS broken FROM inventory WHERE id % 3 < 2 OR id % 300 = 2)
+      SELECT folder, count(*) AS rows_read, {n_if('broken')} AS rows_broken, CAST(sum(person_id::BIGINT) FILTER (NOT broken) AS BIGINT) AS persons, min(full_name) FILTER (NOT broken) AS first_name,
+        CASE WHEN folder <> 'c' THEN {n_if("NOT broken AND folder = 'a'")} END AS statuses FROM f GROUP BY folder""",
+}
+
+
 def _sizes(of: str, *keys: str) -> str:
     count = "nb_total" if of == "instruction_global" else "nb"
     return f"SELECT {''.join(f'{k}, ' for k in keys)}count(*) AS rows, CAST(sum({count}) AS BIGINT) AS nb FROM ({ORACLES[of]}) t"

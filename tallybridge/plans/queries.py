@@ -207,7 +207,7 @@ def catalog_tables(spark, sf_dir):
     counts, base = cut(flag_late_obs(spark, sf_dir)), shared_path(spark, "catalog")
     names = {"labels": f"labels_{base[-32:]}", "history": f"history_{base[-32:]}"}
     sinks.to_table(counts.limit(0), names["labels"], path=sinks.folder(base, names["labels"]))
-    for run in ("run1", "run2"):
+    for run in ("run1", "run2", "run1"):  # a run that is repeated replaces its own rows
         unknown = sinks.export_mapped({"labels": counts, "history": counts, "other": counts}, names, ("history",), run, base=base)
     out = spark.table(names["labels"]).withColumn("run_id", F.lit("current")).unionByName(spark.table(names["history"]).drop("run_ts"))
     out = cut(out.withColumn("unknown", F.lit(",".join(unknown))))
@@ -216,6 +216,56 @@ def catalog_tables(spark, sf_dir):
     return out
 
 
+def catalog_evolution(spark, sf_dir):
+    """A catalog table by label that is widened by the second append and lacks a column in the third."""
+    df, base = fixtures.plain_inventory(spark, sf_dir), shared_path(spark, "evolution")
+    name = f"evolution_{base[-32:]}"
+    by = lambda *more: df.groupBy("clause").agg(F.count("*").alias("nb"), *more)
+    sinks.to_table(by(), name, "append", path=sinks.folder(base, name))
+    sinks.to_table(by(numbers.money(F.sum("reserve")).alias("reserve")), name, "append", merge_schema=True)
+    sinks.to_table(by().select("clause"), name, "append", merge_schema=True)
+    out = cut(spark.table(name))
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+def export_tables(spark, sf_dir):
+    """Collected analyses as catalog tables <schema>.<name>_<clause>, with the constant columns first; one is read again by value."""
+    base = shared_path(spark, "schema")
+    schema = f"recon_{base[-32:]}"
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{base}'")
+    found = analyses.collected_analyses(cut(result(spark, sf_dir)), CFG, client="C1", scope="ALL")
+    status = sinks.export(spark, {k: found[k] for k in ("instruction_global", "late_obs_breakdown")}, base, ("table",), schema, "1000")
+    assert {tuple(r) for r in status.select("status", "detail").collect()} == {("written", "")}, status.collect()
+    names = sorted(t.name for t in spark.catalog.listTables(schema))
+    table_ = spark.table(f"{schema}.instruction_global_1000")
+    out = cut(table_.withColumns({"tables": F.lit(",".join(names)), "first_columns": F.lit(",".join(table_.columns[:2]))}))
+    spark.sql(f"DROP DATABASE {schema} CASCADE")
+    return out
+
+
+def inventory_quarantine(spark, sf_dir):
+    """Files with columns in other orders, torn rows and no header: rows read, in quarantine, and names under the right column, by folder."""
+    base = shared_path(spark, "inventory-files")
+    fixtures.broken_files(spark, sf_dir, base)
+    rows = cut(tables.read_inventory(spark, base), "inventory-rows")
+    folder = F.regexp_extract(F.col(tables.FILE), "/([^/]+)/[^/]+$", 1).alias("folder")
+    counts = tables.file_counts(rows).groupBy(folder).agg(F.sum("rows_read").alias("rows_read"), F.sum("rows_broken").alias("rows_broken"))
+    good = rows.filter(F.col(tables.BROKEN).isNull())
+    sums = good.groupBy(folder).agg(F.sum(F.col("IDCORP").cast("long")).alias("persons"), F.min("NOM_PRENOM").alias("first_name"), F.count("Statut_INV").alias("statuses"))
+    return counts.join(sums, "folder", "left")
+
+
+def fanout_sketch(spark, sf_dir):
+    """Sketches of matched identities, stored by label and merged: as the sketch of all rows, and near the exact number."""
+    df = cut(result(spark, sf_dir))
+    stored = cut(analyses.identity_sketches(df, "recon_label"), "sketches")
+    whole = analyses.merged_identities(analyses.identity_sketches(df)).withColumnRenamed("identities", "whole")
+    exact = analyses.fanout_summary(df, fixtures.inventory(spark, sf_dir)).select(F.col("matched_identities").alias("exact"))
+    both = analyses.merged_identities(stored).crossJoin(whole).crossJoin(exact)  # three rows of one
+    return both.select("exact", (F.col("identities") == F.col("whole")).alias("merged_is_whole"), (F.abs(F.col("identities") - F.col("exact")) <= 0.03 * F.col("exact")).alias("is_near"))
+
+
 def inventory_date(spark, sf_dir):
     return enrich.inventory_date(result(spark, sf_dir))
 
@@ -250,5 +300,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "inv_missing_by_month": table(analyses.inv_missing_by_month), "ledger_only_breakdown": table(analyses.ledger_only_breakdown), "late_obs_breakdown": table(analyses.late_obs_breakdown),
     "audit_detail": audit_detail, "fanout_detail": table(analyses.fanout_detail), "fanout_top": table(lambda df: analyses.fanout_detail(df, 30)), "fanout_summary": fanout_summary, "kpi_summary": table(kpi.kpi_summary), "kpi_by_action": table(kpi.kpi_by_action),
     "label_coherence": label_coherence, "inventory_date": inventory_date, "kpi_header": kpi_header, "full_analysis": full_analysis, "export_roundtrip": export_roundtrip,
-    "catalog_tables": catalog_tables,
+    "catalog_tables": catalog_tables, "catalog_evolution": catalog_evolution, "export_tables": export_tables, "inventory_quarantine": inventory_quarantine,
+    "fanout_first": table(lambda df: analyses.fanout_detail(df, 3)), "fanout_sketch": fanout_sketch,
 }

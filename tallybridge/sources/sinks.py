@@ -14,16 +14,44 @@ def to_path(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwri
     (writer.option("header", True).option("sep", delimiter) if fmt == "csv" else writer).save(path)
 
 
-def to_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet", merge_schema: bool = False, path: str | None = None) -> None:
-    """overwrite also replaces the schema; append changes it only on request. With a path the table's files lie there."""
+def to_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet", merge_schema: bool = False, path: str | None = None, partition: str | None = None) -> None:
+    """overwrite also replaces the schema. append keeps it: a frame with other columns is an error, unless merge_schema
+    adds those that are new to the table (older rows have nulls) and fills those that the frame lacks with nulls.
+    With a path the table's files lie there."""
+    spark = df.sparkSession
+    if mode == "append" and spark.catalog.tableExists(name):
+        df = aligned(df, name, merge_schema)
+        df.write.mode("append").insertInto(name)
+        return
     writer = df.write.mode(mode).format(fmt)
-    if path:
-        writer = writer.option("path", path)
-    if mode == "overwrite":
-        writer = writer.option("overwriteSchema", "true")
-    elif merge_schema:
-        writer = writer.option("mergeSchema", "true")
-    writer.saveAsTable(name)
+    writer = writer.option("path", path) if path else writer
+    writer = writer.partitionBy(partition) if partition else writer
+    (writer.option("overwriteSchema", "true") if mode == "overwrite" else writer).saveAsTable(name)
+
+
+def aligned(df: DataFrame, name: str, merge_schema: bool) -> DataFrame:
+    """df with the columns of table ``name``, in its order; with merge_schema the table gets df's new ones first."""
+    spark = df.sparkSession
+    have, there = {c.lower(): f for c, f in zip(df.columns, df.schema)}, [c.lower() for c in spark.table(name).columns]
+    new = [f for c, f in have.items() if c not in there]
+    if not merge_schema and (new or set(there) - set(have)):
+        raise ValueError(f"{name} has columns {there}, the rows have {list(have)}; merge_schema widens the table")
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+    table = spark.table(name).schema
+    return df.select(*[(F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in table])
+
+
+def to_history(df: DataFrame, name: str, run_id: str, fmt: str = "parquet", path: str | None = None) -> None:
+    """Rows of one run in a table of all runs, partitioned by run_id, with run_ts. A run that is repeated replaces its own
+    rows and no others; new columns widen the table."""
+    spark = df.sparkSession
+    df = df.withColumns({"run_ts": F.current_timestamp(), "run_id": F.lit(run_id)})
+    if not spark.catalog.tableExists(name):
+        to_table(df, name, "append", fmt, path=path, partition="run_id")
+    else:
+        own = run_id.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (run_id = '{own}') SELECT * FROM {{rows}}", rows=aligned(df, name, True).drop("run_id"))
 
 
 def folder(base: str, *parts: str) -> str:
@@ -53,9 +81,12 @@ def export(spark: SparkSession, tables: dict[str, DataFrame], base: str, formats
 
 
 def export_mapped(tables: dict[str, DataFrame], names: dict[str, str], history=(), run_id: str | None = None, fmt: str = "parquet", base: str | None = None) -> list[str]:
-    """Writes each table under its mapped name (files below base, if given); those in ``history`` are appended with run_id and run_ts. Returns unknown keys."""
+    """Writes each table under its mapped name (files below base, if given); those in ``history`` keep the rows of other runs. Returns unknown keys."""
     for key, df in tables.items():
         if key in names:
-            past = key in history
-            to_table(df.withColumns({"run_id": F.lit(run_id), "run_ts": F.current_timestamp()}) if past else df, names[key], "append" if past else "overwrite", fmt, path=folder(base, names[key]) if base else None)
+            path = folder(base, names[key]) if base else None
+            if key in history:
+                to_history(df, names[key], run_id or "", fmt, path)
+            else:
+                to_table(df, names[key], fmt=fmt, path=path)
     return [k for k in tables if k not in names]

@@ -51,14 +51,62 @@ def load_ledger(source: DataFrame | str, cfg: Recon, spark: SparkSession | None
     return ledger_perimeter(spark.table(source) if isinstance(source, str) else source, cfg)
 
 
-def load_inventory(spark: SparkSession, path: str | None, cfg: Recon, delimiter: str = ";") -> DataFrame:
-    """An inventory file, all columns text, within its perimeter; which inventory (this or a later one) is the path's choice."""
+#: Columns of inventory files that say where a row is from, and the text of a row that does not fit its file's header.
+FILE, BROKEN = "_file", "_corrupt_record"
+
+
+def layouts(spark: SparkSession, path: str, delimiter: str = ";", required: tuple[str, ...] = ("IDCORP", "NOM_PRENOM")) -> DataFrame:
+    """(file, header) of each file below path; header is null where no line names the required columns. One row a file."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "[\\uFEFF\\r]", "").alias("value"))
+    names = F.split("value", f"\\Q{delimiter}\\E")
+    is_header = F.forall(F.array(*[F.lit(c) for c in required]), lambda c: F.array_contains(names, c))
+    return lines.groupBy("file").agg(F.min(F.when(is_header, F.col("value"))).alias("header"))
+
+
+def read_inventory(spark: SparkSession, path: str | None, delimiter: str = ";") -> DataFrame:
+    """Inventory files, all columns text, plus _file and _corrupt_record.
+
+    Every file is read by its own header, so files may have their columns in different orders or lack some (null).
+    A row with more or fewer fields than its header, and every line of a file without a header, has _corrupt_record
+    set and must not be used (see accepted and quarantined). No path is an error; no file with a header, too.
+    """
     if not path:
         raise ValueError("no path for this inventory")
-    header = spark.read.option("header", True).option("sep", delimiter).csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    df = spark.read.schema(schema).option("header", True).option("sep", delimiter).option("encoding", "UTF-8").option("nullValue", "").csv(path)
-    return inventory_perimeter(df, cfg)
+    kinds: dict[str | None, list[str]] = {}
+    for file, header in layouts(spark, path, delimiter).collect():  # one row a file
+        kinds.setdefault(header, []).append(file)
+    lost = kinds.pop(None, [])
+    if not kinds:
+        raise ValueError(f"no inventory with a header below {path}")
+    out = None
+    for header, files in sorted(kinds.items()):
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header.split(delimiter), BROKEN]])
+        one = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("sep", delimiter).option("encoding", "UTF-8").option("nullValue", "").option("mode", "PERMISSIVE")
+        one = one.option("columnNameOfCorruptRecord", BROKEN).option("columnPruning", False).csv(files).withColumn(FILE, F.col("_metadata.file_path"))
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    if lost:
+        out = out.unionByName(spark.read.text(lost).select(F.col("value").alias(BROKEN), F.col("_metadata.file_path").alias(FILE)), allowMissingColumns=True)
+    return out
+
+
+def accepted(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col(BROKEN).isNull()).drop(BROKEN, FILE)
+
+
+def quarantined(rows: DataFrame) -> DataFrame:
+    """(_file, _corrupt_record, IDCORP as far as it was read) of rows that do not fit their file's header."""
+    return rows.filter(F.col(BROKEN).isNotNull()).select(FILE, BROKEN, "IDCORP")
+
+
+def file_counts(rows: DataFrame) -> DataFrame:
+    """For each file: rows read, rows in quarantine, and accepted rows that name a person."""
+    named = F.col(BROKEN).isNull() & F.col("IDCORP").isNotNull()
+    return rows.groupBy(FILE).agg(F.count("*").alias("rows_read"), F.count(BROKEN).alias("rows_broken"), F.count_if(named).alias("rows_named"))
+
+
+def load_inventory(spark: SparkSession, path: str | None, cfg: Recon, delimiter: str = ";") -> DataFrame:
+    """The accepted rows of inventory files within their perimeter; which inventory (this or a later one) is the path's choice."""
+    return inventory_perimeter(accepted(read_inventory(spark, path, delimiter)), cfg)
 
 
 def _inventory_conditions(df: DataFrame, cfg: Recon) -> dict[str, Column]:

@@ -207,3 +207,59 @@ def test_prefixes_clauses_and_types(spark):
     assert tables.load_ledger(raw, Recon()).collect() == [("2023", "CPB_1")]
     with pytest.raises(ValueError):
         tables.load_ledger(raw, Recon(types=("HPB",)))
+
+
+def test_history_keeps_other_runs_and_replaces_its_own(spark, tmp_path):
+    name = "history_of_runs"
+    make = lambda *rows: spark.createDataFrame(list(rows), "label string, nb long")
+    for run, df in (("r'1", make(("a", 1), ("b", 2))), ("r2", make(("a", 3))), ("r'1", make(("c", 9)))):
+        sinks.export_mapped({"h": df}, {"h": name}, ("h",), run, base=str(tmp_path))
+    assert sorted(map(tuple, spark.table(name).select("run_id", "label", "nb").collect())) == [("r'1", "c", 9), ("r2", "a", 3)]
+    sinks.to_history(make(("d", 4)).withColumn("more", F.lit(True)), name, "r3")  # a new column widens the history
+    assert sorted(map(tuple, spark.table(name).select("run_id", "nb", "more").collect())) == [("r'1", 9, None), ("r2", 3, None), ("r3", 4, True)]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_append_of_other_columns(spark, tmp_path):
+    name = "append_target"
+    sinks.to_table(spark.createDataFrame([(1, "x")], "a int, b string"), name, path=f"{tmp_path}/t")
+    wider = spark.createDataFrame([(True, 2)], "c boolean, A int")
+    with pytest.raises(ValueError):
+        sinks.to_table(wider, name, "append")
+    sinks.to_table(wider, name, "append", merge_schema=True)
+    sinks.to_table(spark.createDataFrame([("y", 3, None)], "b string, a int, c boolean"), name, "append")
+    assert sorted(map(tuple, spark.table(name).collect())) == [(1, "x", None), (2, None, True), (3, "y", None)]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_inventory_files_of_other_layouts(spark, tmp_path):
+    """By name whatever the order; torn rows and files without a header go to quarantine, quoted delimiters do not."""
+    for k, text in enumerate(["IDCORP;NOM_PRENOM\n1;ANNA\n2;\"A;B\"\n3;C;D\n", "NOM_PRENOM;IDCORP\r\nBERT;4\r\nX\r\n", "﻿NOM_PRENOM;CDGRCA;IDCORP\nCARL;60;5\n", "6;DORA\n"]):
+        (tmp_path / f"f{k}.csv").write_text(text)
+    rows = tables.read_inventory(spark, str(tmp_path))
+    assert sorted(map(tuple, tables.accepted(rows).select("IDCORP", "NOM_PRENOM", "CDGRCA").collect())) == [("1", "ANNA", None), ("2", "A;B", None), ("4", "BERT", None), ("5", "CARL", "60")]
+    lost = {(r[tables.FILE].rsplit("/", 1)[1], r[tables.BROKEN].strip()) for r in tables.quarantined(rows).collect()}
+    assert lost == {("f0.csv", "3;C;D"), ("f1.csv", "X"), ("f3.csv", "6;DORA")}
+    counts = {r[tables.FILE].rsplit("/", 1)[1]: (r.rows_read, r.rows_broken) for r in tables.file_counts(rows).collect()}
+    assert counts == {"f0.csv": (3, 1), "f1.csv": (2, 1), "f2.csv": (1, 0), "f3.csv": (1, 1)}
+    (tmp_path / "only").mkdir()
+    (tmp_path / "only" / "f.csv").write_text("a;b\n1;2\n")
+    with pytest.raises(ValueError):
+        tables.read_inventory(spark, str(tmp_path / "only"))
+
+
+def test_means_are_exact(spark):
+    """Half away from zero for either sign; more rows than a ten-digit count holds."""
+    rows = [("a", "0.01"), ("a", "0.02"), ("b", "-0.01"), ("b", "-0.02"), ("c", None), ("d", "5.00"), ("d", None)]
+    df = spark.createDataFrame(rows, "k string, x string").withColumn("x", F.col("x").cast(numbers.MONEY))
+    assert {r.k: r.m for r in df.groupBy("k").agg(analyses.mean("x").alias("m")).collect()} == {"a": 0.02, "b": -0.02, "c": None, "d": 5.0}
+    many = analyses.mean("x")._jc.toString()
+    assert "decimal(20,0)" in many.lower()
+
+
+def test_top_rows_cut(spark):
+    rows = [("MATCH_EXACT", str(k), "n", DAY, DAY, 60, float(k)) for k in range(5) for _ in range(2 + k % 2)]
+    df = spark.createDataFrame(rows, "recon_label string, inv_person_id string, inv_full_name string, inv_birth_date date, inv_event_date date, inv_coverage int, inv_reserve double")
+    df = df.withColumn("inv_reserve", F.col("inv_reserve").cast("decimal(18,2)"))
+    assert [r.inv_person_id for r in analyses.fanout_detail(df, 3).collect()] == ["3", "1", "4"]
+    assert len(analyses.fanout_detail(df).collect()) == 5
