@@ -1,7 +1,10 @@
 """Aggregate tables over the labelled result (recon_label, action, clause, type, led_*, inv_*).
 
-Each is one groupBy with map-side aggregation; shares are window totals over the few aggregated rows. Money is summed
-as decimal and shown as double; rates come from unrounded sums.
+All come from one pre-aggregation, ``facts``: counts and sums by every dimension that a table asks for, each dimension
+only for the labels whose tables need it, so that its rows are bounded by clauses, bins and months and not by the result.
+A table takes rows or facts; the collections compute facts once, and the wide result is scanned once for all
+their tables. Shares are window totals over the few aggregated rows. Money is summed as decimal and shown as double; rates come
+from unrounded sums.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from ..config import ACTION_ORDER, INV_DELETE, INV_MISSING, KEPT_ACTIONS, LEDGER
 from ..functions.numbers import bin_label, bin_rank, category, money, month_label, percent, rounded
 from ..operators.columns import derive_clause, optional, tagged
 from ..operators.enrich import with_action
+from .cut import cut
 
 INV, LED = "inv_reserve", "led_reserve"
 
@@ -30,10 +34,19 @@ def total(column: Column | str) -> Column:
     return money(F.sum(column))
 
 
+def _mean(total_: str, n: str) -> Column:
+    total_, n = f"cast({total_} * 100 AS decimal(38,0))", f"cast({n} AS decimal(20,0))"
+    return F.expr(f"CASE WHEN {n} > 0 THEN CASE WHEN {total_} < 0 THEN -1 ELSE 1 END * ((2 * abs({total_}) + {n}) div (2 * {n})) / 100D END")
+
+
 def mean(column: str) -> Column:
     """Of decimals with two digits, in whole cents, half away from zero: exact for any number of rows."""
-    total_, n = f"cast(sum({column}) * 100 AS decimal(32,0))", f"cast(count({column}) AS decimal(20,0))"
-    return F.expr(f"CASE WHEN count({column}) > 0 THEN CASE WHEN {total_} < 0 THEN -1 ELSE 1 END * ((2 * abs({total_}) + {n}) div (2 * {n})) / 100D END")
+    return _mean(f"sum({column})", f"count({column})")
+
+
+def mean_of(total_: str, n: str) -> Column:
+    """The same over facts: of sums and counts."""
+    return _mean(f"sum({total_})", f"sum({n})")
 
 
 def share(df: DataFrame, of: str, name: str, *within: str, places: int = 2) -> DataFrame:
@@ -41,14 +54,60 @@ def share(df: DataFrame, of: str, name: str, *within: str, places: int = 2) -> D
     return df.withColumn(name, percent(F.col(of), F.sum(of).over(W.partitionBy(*within)), places))
 
 
-def zeroed(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.coalesce(c, F.lit(0).cast(df.schema[c].dataType)) for c in (INV, LED)})
-
-
 def gap() -> Column:
     return F.col(INV) - F.col(LED)
 
 
+#: What facts are told by where a table has it; other columns of a row do not matter.
+PLAIN = ("clause", "type", "inv_status", "action", "recon_label")
+#: Dimensions that only some labels have: of reconciled rows, of ledger rows alone, of missing inventory rows.
+OF_MATCHED = ("category", "category0", "gap_bin", "gap_rank")
+OF_LEDGER = ("led_bin", "led_rank", "led_year", "led_month", "led_day", "coverage")
+OF_INVENTORY = ("inv_year", "inv_month")
+
+
+def facts(df: DataFrame, cfg: Recon = Recon()) -> DataFrame:
+    """Counts and sums of rows by all dimensions of the tables below; facts stay as they are.
+
+    nb rows; inv, led: sums of reserves; n_inv, n_led, nonzero: rows with one, and with one of the inventory that is not
+    0; gap, gap_abs, gap_max, n_gap: of rows with both reserves; gap0, gap0_abs, gap0_max: a missing one counted as 0.
+    """
+    if "gap0_abs" in df.columns:
+        return df
+    label, inv, led = F.col("recon_label"), F.coalesce(INV, F.lit(0)), F.coalesce(LED, F.lit(0))
+    year, month = (lambda c: F.year(c)), (lambda c: F.month(c))
+    dims = {
+        "category": category(F.col(INV), F.col(LED), False), "category0": category(F.col(INV), F.col(LED), True), "gap_bin": bin_label(F.abs(gap()), cfg.gap_bins), "gap_rank": bin_rank(F.abs(gap()), cfg.gap_bins),
+        "led_bin": bin_label(F.col(LED), cfg.reserve_bins), "led_rank": bin_rank(F.col(LED), cfg.reserve_bins), "led_year": year("led_event_date"), "led_month": month("led_event_date"),
+        "led_day": F.dayofmonth("led_event_date"), "coverage": F.col("led_coverage"), "inv_year": year("inv_event_date"), "inv_month": month("inv_event_date"),
+    }
+    own = {**dict.fromkeys(OF_MATCHED, label.isin(*MATCHED, LEDGER_LATE)), **dict.fromkeys(OF_LEDGER, label.isin(LEDGER_ONLY, LEDGER_LATE_OBS)), **dict.fromkeys(OF_INVENTORY, label == INV_MISSING)}
+    keys = [c for c in PLAIN if c in df.columns]
+    named = [F.when(own[name], x).alias(name) for name, x in dims.items()]
+    bins = [bin_label(F.col(INV), cfg.reserve_bins).alias("bin"), bin_rank(F.col(INV), cfg.reserve_bins).alias("bin_rank"), bin_label(inv, cfg.reserve_bins).alias("bin0"), bin_rank(inv, cfg.reserve_bins).alias("bin0_rank")]
+    gap0 = inv - led
+    return df.groupBy(*keys, *named, *bins).agg(
+        F.count("*").alias("nb"), F.sum(INV).alias("inv"), F.sum(LED).alias("led"), F.count(INV).alias("n_inv"), F.count(LED).alias("n_led"), F.count_if(inv != 0).alias("nonzero"),
+        F.sum(gap()).alias("gap"), F.sum(F.abs(gap())).alias("gap_abs"), F.max(F.abs(gap())).alias("gap_max"), F.count(gap()).alias("n_gap"),
+        F.sum(gap0).alias("gap0"), F.sum(F.abs(gap0)).alias("gap0_abs"), F.max(F.abs(gap0)).alias("gap0_max"),
+    )
+
+
+def rows(condition: Column | None = None) -> Column:
+    """How many rows facts stand for."""
+    return F.coalesce(F.sum("nb" if condition is None else F.when(condition, F.col("nb"))), F.lit(0))
+
+
+def total_or_0(column: Column | str) -> Column:
+    return F.coalesce(total(column), F.lit(0.0))
+
+
+def sums(null_as_zero: bool = False) -> list[Column]:
+    """nb, inv_reserve and led_reserve."""
+    of = total_or_0 if null_as_zero else total
+    return [rows().alias("nb"), of("inv").alias("inv_reserve"), of("led").alias("led_reserve")]
+
+
 def audited(df: DataFrame) -> DataFrame:
     """Rows with an action and whether it was followed: kept actions want a match, DELETE wants none."""
     followed = matched() == (F.col("action") != "DELETE")
@@ -61,31 +120,31 @@ def audit_detail(df: DataFrame) -> DataFrame:
 
 
 def audit_summary(df: DataFrame) -> DataFrame:
+    df = facts(df)
     dims = ["clause", "type", *optional(df, "inv_status"), "action"]
-    out = audited(df).groupBy(*dims, "audit").agg(F.count("*").alias("nb"), total(INV).alias("inv_reserve"))
+    out = audited(df).groupBy(*dims, "audit").agg(rows().alias("nb"), total("inv").alias("inv_reserve"))
     return share(share(out, "nb", "pct_nb", *dims), "inv_reserve", "pct_reserve", *dims)
 
 
 def instruction_ratios(df: DataFrame) -> DataFrame:
-    out = df.filter("action <> 'DELETE'").groupBy("clause", "type", "action", "recon_label").agg(F.count("*").alias("nb"), total(INV).alias("inv_reserve"))
+    out = facts(df).filter("action <> 'DELETE'").groupBy("clause", "type", "action", "recon_label").agg(rows().alias("nb"), total("inv").alias("inv_reserve"))
     return share(share(out, "nb", "ratio_nb", "clause", "type"), "inv_reserve", "ratio_reserve", "clause", "type")
 
 
 def instruction_reserve(df: DataFrame, cfg: Recon = Recon(), null_as_zero: bool = True) -> DataFrame:
-    df = df.filter(matched(late=True) & kept_action())
-    df = (zeroed(df) if null_as_zero else df).withColumns({"category": category(F.col(INV), F.col(LED), null_as_zero), "bin": bin_label(F.col(INV), cfg.reserve_bins), "bin_rank": bin_rank(F.col(INV), cfg.reserve_bins)})
-    out = df.groupBy("action", "category", "bin", "bin_rank").agg(F.count("*").alias("nb"), total(INV).alias("inv_reserve"), total(LED).alias("led_reserve"), total(gap()).alias("gap"))
+    zero = "0" if null_as_zero else ""
+    df = facts(df, cfg).filter(matched(late=True) & kept_action())
+    out = df.groupBy("action", F.col(f"category{zero}").alias("category"), F.col(f"bin{zero}").alias("bin"), F.col(f"bin{zero}_rank").alias("bin_rank")).agg(*sums(null_as_zero), total(f"gap{zero}").alias("gap"))
     out = out.withColumn("shortfall_rate", percent(F.col("gap"), F.col("inv_reserve")))
     return share(out, "nb", "pct_nb", "action").orderBy("action", "category", "bin_rank")
 
 
 def instruction_global(df: DataFrame) -> DataFrame:
     m = matched()
-    df = df.filter(F.col("action").isNotNull() & (m | F.col("recon_label").isin(INV_MISSING, INV_DELETE)))
-    some = m & (F.coalesce(F.col(INV), F.lit(0)) != 0)
+    df = facts(df).filter(F.col("action").isNotNull() & (m | F.col("recon_label").isin(INV_MISSING, INV_DELETE)))
     out = df.groupBy("action").agg(
-        F.count("*").alias("nb_total"), F.count_if(m).alias("nb_matched"), F.count_if(some).alias("nb_nonzero"),
-        F.coalesce(total(F.when(m, F.col(INV))), F.lit(0.0)).alias("inv_reserve"), F.coalesce(total(F.when(m, F.col(LED))), F.lit(0.0)).alias("led_reserve"),
+        rows().alias("nb_total"), rows(m).alias("nb_matched"), F.coalesce(F.sum(F.when(m, F.col("nonzero"))), F.lit(0)).alias("nb_nonzero"),
+        total_or_0(F.when(m, F.col("inv"))).alias("inv_reserve"), total_or_0(F.when(m, F.col("led"))).alias("led_reserve"),
     )
     rank = F.array_position(F.array(*[F.lit(a) for a in ACTION_ORDER]), F.col("action")).cast("int")
     delete = F.col("action") == "DELETE"
@@ -96,85 +155,81 @@ def instruction_global(df: DataFrame) -> DataFrame:
 
 
 def delete_not_followed(df: DataFrame, cfg: Recon = Recon()) -> DataFrame:
-    df = df.filter(matched() & (F.col("action") == "DELETE")).withColumns({"bin": bin_label(F.col(INV), cfg.reserve_bins), "bin_rank": bin_rank(F.col(INV), cfg.reserve_bins)})
-    out = df.groupBy("bin", "bin_rank").agg(F.count("*").alias("nb"), total(INV).alias("inv_reserve"), total(LED).alias("led_reserve"))
+    out = facts(df, cfg).filter(matched() & (F.col("action") == "DELETE")).groupBy("bin", "bin_rank").agg(*sums())
     return share(out, "nb", "pct_nb").orderBy("bin_rank")
 
 
 def _shortfall(df: DataFrame, dims: list[str], null_as_zero: bool) -> DataFrame:
-    df = (zeroed(df) if null_as_zero else df).withColumn("category", category(F.col(INV), F.col(LED), null_as_zero))
-    of = lambda name: F.col("category") == name
+    zero = "0" if null_as_zero else ""
+    of = lambda name: F.col(f"category{zero}") == name
+    size = f"gap{zero}_abs"
     out = df.groupBy(*dims).agg(
-        F.count("*").alias("nb"), F.count_if(of("UNDER")).alias("nb_under"), F.count_if(of("OVER")).alias("nb_over"), F.count_if(of("CONFORM")).alias("nb_conform"),
-        total(INV).alias("inv_reserve"), total(LED).alias("led_reserve"), total(gap()).alias("gap"), total(F.abs(gap())).alias("gap_abs"),
-        F.coalesce(total(F.when(of("UNDER"), F.abs(gap()))), F.lit(0.0)).alias("gap_under"), F.coalesce(total(F.when(of("OVER"), F.abs(gap()))), F.lit(0.0)).alias("gap_over"),
+        *sums(null_as_zero), *[rows(of(name)).alias(f"nb_{name.lower()}") for name in ("UNDER", "OVER", "CONFORM")],
+        total(f"gap{zero}").alias("gap"), total(size).alias("gap_abs"), total_or_0(F.when(of("UNDER"), F.col(size))).alias("gap_under"), total_or_0(F.when(of("OVER"), F.col(size))).alias("gap_over"),
     )
     return out.withColumn("shortfall_rate", percent(F.col("gap"), F.col("inv_reserve")))
 
 
 def shortfall_by_clause(df: DataFrame, null_as_zero: bool = False) -> DataFrame:
-    out = _shortfall(df.filter(matched() & kept_action()), ["clause", "type", "action"], null_as_zero)
+    out = _shortfall(facts(df).filter(matched() & kept_action()), ["clause", "type", "action"], null_as_zero)
     out = share(share(out, "nb", "weight_nb", "clause", "type"), "inv_reserve", "weight_reserve", "clause", "type")
     return out.withColumns({f"pct_{c}": percent(F.col(f"nb_{c}"), F.col("nb")) for c in ("under", "over", "conform")})
 
 
 def shortfall_by_action(df: DataFrame, null_as_zero: bool = True) -> DataFrame:
-    out = _shortfall(df.filter(matched(late=True) & kept_action()), ["action"], null_as_zero)
+    out = _shortfall(facts(df).filter(matched(late=True) & kept_action()), ["action"], null_as_zero)
     return out.drop("gap_abs", "gap_under", "gap_over").orderBy(F.desc("nb"), "action")
 
 
 def provision_by_clause(df: DataFrame, null_as_zero: bool = False) -> DataFrame:
-    df = df.filter(matched() & kept_action()).withColumn("category", category(F.col(INV), F.col(LED), null_as_zero))
-    dims = ["clause", "type", "action"]
-    out = df.groupBy(*dims, "category").agg(F.count("*").alias("nb"), total(INV).alias("inv_reserve"), total(LED).alias("led_reserve"), total(F.abs(gap())).alias("gap_abs"))
+    zero, dims = "0" if null_as_zero else "", ["clause", "type", "action"]
+    out = facts(df).filter(matched() & kept_action()).groupBy(*dims, F.col(f"category{zero}").alias("category")).agg(*sums(), total("gap_abs").alias("gap_abs"))
     return share(out, "nb", "pct_nb", *dims)
 
 
 def gap_bins(df: DataFrame, cfg: Recon = Recon()) -> DataFrame:
-    df = df.filter(matched() & kept_action()).withColumns({"category": category(F.col(INV), F.col(LED), False), "gap_abs": F.abs(gap())}).filter("category <> 'CONFORM'")
-    df = df.withColumns({"bin": bin_label(F.col("gap_abs"), cfg.gap_bins), "bin_rank": bin_rank(F.col("gap_abs"), cfg.gap_bins)})
     dims = ["clause", "type", "action", "category"]
-    out = df.groupBy(*dims, "bin", "bin_rank").agg(
-        F.count("*").alias("nb"), total(INV).alias("inv_reserve"), total(LED).alias("led_reserve"), total("gap_abs").alias("gap_total"), mean("gap_abs").alias("gap_mean"), money(F.max("gap_abs")).alias("gap_max")
-    )
+    df = facts(df, cfg).filter(matched() & kept_action() & (F.col("category") != "CONFORM"))
+    out = df.groupBy(*dims, F.col("gap_bin").alias("bin"), F.col("gap_rank").alias("bin_rank")).agg(*sums(), total("gap_abs").alias("gap_total"), mean_of("gap_abs", "n_gap").alias("gap_mean"), money(F.max("gap_max")).alias("gap_max"))
     return share(share(out, "nb", "pct_nb", *dims), "gap_total", "pct_gap", *dims).orderBy(*dims, "bin_rank")
 
 
 def provision_study(df: DataFrame, null_as_zero: bool = True) -> DataFrame:
-    df = df.filter(matched(late=True) & (F.col("action").isNull() | (F.col("action") != "DELETE")))
-    df = (zeroed(df) if null_as_zero else df).withColumns({"category": category(F.col(INV), F.col(LED), null_as_zero), "gap_abs": F.abs(gap())})
-    out = df.groupBy("category").agg(
-        F.count("*").alias("nb"), total(INV).alias("inv_reserve"), total(LED).alias("led_reserve"), total(gap()).alias("gap"), total("gap_abs").alias("gap_abs"), mean("gap_abs").alias("gap_mean"), money(F.max("gap_abs")).alias("gap_max")
+    zero = "0" if null_as_zero else ""
+    df = facts(df).filter(matched(late=True) & (F.col("action").isNull() | (F.col("action") != "DELETE")))
+    out = df.groupBy(F.col(f"category{zero}").alias("category")).agg(
+        *sums(null_as_zero), total(f"gap{zero}").alias("gap"), total(f"gap{zero}_abs").alias("gap_abs"), mean_of(f"gap{zero}_abs", "nb" if null_as_zero else "n_gap").alias("gap_mean"), money(F.max(f"gap{zero}_max")).alias("gap_max")
     )
     out = share(share(out, "nb", "pct_nb", places=1), "inv_reserve", "pct_reserve", places=1)
     return out.withColumn("shortfall_rate", percent(F.col("gap"), F.col("inv_reserve"))).orderBy(F.desc("nb"), "category")
 
 
-def _by_month(df: DataFrame, date: str, reserve: str, extra: list[str], cfg: Recon) -> DataFrame:
-    month = F.month(date)
-    df = df.withColumns({
-        "year": F.year(date), "month": month, "month_label": month_label(month), "year_end": month.isin(list(cfg.year_end_months)),
-        "bin": bin_label(F.col(reserve), cfg.reserve_bins), "bin_rank": bin_rank(F.col(reserve), cfg.reserve_bins),
-    })
-    dims = ["clause", "type", *extra, "year", "month", "month_label", "year_end", "bin", "bin_rank"]
-    out = df.groupBy(*dims).agg(F.count("*").alias("nb"), total(reserve).alias("reserve"), mean(reserve).alias("reserve_mean"))
+def _by_month(df: DataFrame, side: str, bins: tuple[str, str], extra: list[str], cfg: Recon) -> DataFrame:
+    month = F.col(f"{side}_month")
+    dims = ["clause", "type", *extra, F.col(f"{side}_year").alias("year"), month.alias("month"), month_label(month).alias("month_label"), month.isin(list(cfg.year_end_months)).alias("year_end"), F.col(bins[0]).alias("bin"), F.col(bins[1]).alias("bin_rank")]
+    out = df.groupBy(*dims).agg(rows().alias("nb"), total(side).alias("reserve"), mean_of(side, f"n_{side}").alias("reserve_mean"))
     return out.orderBy("clause", "type", *extra, "year", "month", "bin_rank")
 
 
 def ledger_only_by_month(df: DataFrame, cfg: Recon = Recon()) -> DataFrame:
-    return _by_month(df.filter(F.col("recon_label") == LEDGER_ONLY), "led_event_date", LED, [], cfg)
+    return _by_month(facts(df, cfg).filter(F.col("recon_label") == LEDGER_ONLY), "led", ("led_bin", "led_rank"), [], cfg)
 
 
 def inv_missing_by_month(df: DataFrame, cfg: Recon = Recon()) -> DataFrame:
-    return _by_month(df.filter((F.col("recon_label") == INV_MISSING) & (F.col("action") != "DELETE")), "inv_event_date", INV, [*optional(df, "inv_status"), "action"], cfg)
+    df = facts(df, cfg).filter((F.col("recon_label") == INV_MISSING) & (F.col("action") != "DELETE"))
+    return _by_month(df, "inv", ("bin", "bin_rank"), [*optional(df, "inv_status"), "action"], cfg)
 
 
 def _breakdown(df: DataFrame, label: str, days: bool) -> DataFrame:
-    df = df.filter(F.col("recon_label") == label)
-    more = [F.mode(F.dayofmonth("led_event_date"), True).alias("modal_day"), F.min(F.dayofmonth("led_event_date")).alias("first_day")] if days else []
-    dims = [F.year("led_event_date").alias("year"), F.month("led_event_date").alias("month"), F.col("led_coverage").alias("coverage")]
-    out = df.groupBy(*dims).agg(F.count("*").alias("nb"), total(LED).alias("reserve"), mean(LED).alias("reserve_mean"), *more)
-    return out.orderBy(F.desc("reserve"), "year", "month", "coverage")
+    dims = ["year", "month", "coverage"]
+    df = facts(df).filter(F.col("recon_label") == label).withColumnsRenamed({"led_year": "year", "led_month": "month"})
+    out = df.groupBy(*dims).agg(rows().alias("nb"), total("led").alias("reserve"), mean_of("led", "n_led").alias("reserve_mean"), *([F.min("led_day").alias("first_day")] if days else []))
+    if days:  # the day of most rows, the first of several
+        by_day = df.groupBy(*dims, "led_day").agg(F.sum("nb").alias("n"))
+        modal = by_day.groupBy(*dims).agg(F.max(F.when(F.col("led_day").isNotNull(), F.struct("n", (-F.col("led_day")).alias("day")))).alias("most"))
+        same = [F.col(f"o.{c}").eqNullSafe(F.col(f"m.{c}")) for c in dims]
+        out = out.alias("o").join(modal.alias("m"), same).select("o.*", (-F.col("m.most.day")).alias("modal_day"))
+    return out.orderBy(F.desc("reserve"), *dims)
 
 
 def ledger_only_breakdown(df: DataFrame) -> DataFrame:
@@ -233,8 +288,8 @@ def prepared(df: DataFrame, default_type: str | None = None) -> DataFrame:
 
 
 def full_analysis(df: DataFrame, cfg: Recon = Recon()) -> dict[str, DataFrame]:
-    """By clause; lazy."""
-    df = prepared(df)
+    """By clause; all from one scan of df, which writes their facts."""
+    df = cut(facts(prepared(df), cfg), "facts")
     return {
         "audit_summary": audit_summary(df), "instruction_ratios": instruction_ratios(df), "shortfall_by_clause": shortfall_by_clause(df), "provision_by_clause": provision_by_clause(df),
         "gap_bins": gap_bins(df, cfg), "ledger_only_by_month": ledger_only_by_month(df, cfg), "inv_missing_by_month": inv_missing_by_month(df, cfg),
@@ -242,8 +297,8 @@ def full_analysis(df: DataFrame, cfg: Recon = Recon()) -> dict[str, DataFrame]:
 
 
 def collected_analyses(df: DataFrame, cfg: Recon = Recon(), **tags: str) -> dict[str, DataFrame]:
-    """Over all clauses, with constant columns (client, clause, type) first; lazy."""
-    df = prepared(df)
+    """Over all clauses, with constant columns (client, clause, type) first; all from one scan of df, which writes their facts."""
+    df = cut(facts(prepared(df), cfg), "facts")
     found = {
         "instruction_global": instruction_global(df), "shortfall_by_action": shortfall_by_action(df), "instruction_reserve": instruction_reserve(df, cfg), "delete_not_followed": delete_not_followed(df, cfg),
         "provision_study": provision_study(df), "ledger_only_breakdown": ledger_only_breakdown(df), "late_obs_breakdown": late_obs_breakdown(df),

@@ -263,3 +263,14 @@ def test_top_rows_cut(spark):
     df = df.withColumn("inv_reserve", F.col("inv_reserve").cast("decimal(18,2)"))
     assert [r.inv_person_id for r in analyses.fanout_detail(df, 3).collect()] == ["3", "1", "4"]
     assert len(analyses.fanout_detail(df).collect()) == 5
+
+
+def test_all_tables_come_from_one_scan(spark):
+    """Tables of a collection read facts only, which are written from one scan of the result."""
+    sf = "/root/testdata/sf0.001"
+    wide = waterfall.reconcile(fixtures.ledger(spark, sf), fixtures.inventory(spark, sf)).withColumn("late_source", F.lit(None).cast("string"))
+    for found in (analyses.full_analysis(wide), analyses.collected_analyses(wide)):
+        for table in found.values():
+            plan = table._jdf.queryExecution().optimizedPlan().toString()
+            assert "gap0_abs" in plan and "inv_person_id" not in plan
+            assert {x.rsplit("/", 2)[-2].rsplit("-", 1)[0] for x in table.inputFiles()} == {"facts"}
