@@ -29,6 +29,8 @@ from .pieces import model_path
 #: Characters: longer texts are cut into chunks of CHUNK that share OVERLAP.
 LONG, CHUNK, OVERLAP = 32_768, 16_384, 256
 LIMIT = 4096
+#: Chunks of one text that leave a task at once.
+ROWS = 64
 
 _open: dict[str, sentencepiece.SentencePieceProcessor] = {}
 TOKEN = "struct<first: int, last: int, id: int>"
@@ -80,16 +82,25 @@ def chunk_counts(chunks: DataFrame, path: str, overlap: int) -> DataFrame:
     return chunks.mapInArrow(run, f"key string, n int, n_tokens long, head array<{TOKEN}>, tail array<{TOKEN}>")
 
 
+def cutting(chunk: int, overlap: int):
+    """Cuts texts (key, text) into chunk rows (key, n, start, text), each character once or twice: in time that grows with the text."""
+
+    def run(batches):
+        for batch in batches:
+            for key, text in zip(batch.column("key").to_pylist(), batch.column("text")):
+                text = text.as_py()
+                starts = range(0, max(len(text) - overlap - 1, 0) + 1, chunk - overlap)
+                for a in range(0, len(starts), ROWS):
+                    some = starts[a : a + ROWS]
+                    columns = [pa.array([key] * len(some), pa.string()), pa.array(range(a, a + len(some)), pa.int32()), pa.array(some, pa.int32()), pa.array([text[s : s + chunk] for s in some], pa.string())]
+                    yield pa.RecordBatch.from_arrays(columns, ["key", "n", "start", "text"])
+
+    return run
+
+
 def spliced(texts: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
     """Counts of distinct texts (key, text): key, n_tokens; null where an overlap had no common token."""
-    step = chunk - overlap
-    starts = F.expr(f"sequence(0, greatest(char_length(text) - {overlap} - 1, 0), {step})")
-    rows = (
-        texts.select("key", "text", F.posexplode(starts).alias("n", "start"))
-        .select("key", F.col("n").cast("int").alias("n"), F.col("start").cast("int").alias("start"), F.expr(f"substring(text, start + 1, {chunk})").alias("text"))
-        .repartition("key", "n")
-        .dropDuplicates(["key", "n"])
-    )
+    rows = texts.select("key", "text").mapInArrow(cutting(chunk, overlap), "key string, n int, start int, text string").repartition("key", "n").dropDuplicates(["key", "n"])
     before = F.lag("tail").over(W.partitionBy("key").orderBy("n"))
     seams = chunk_counts(rows, path, overlap).withColumn("before", before)
     seams = seams.withColumn("at", F.when(F.col("n") > 0, F.array_min(F.expr("transform(array_intersect(filter(head, x -> x.last > x.first), before), x -> x.first)"))))

@@ -1,5 +1,7 @@
 import random
+import time
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -40,3 +42,15 @@ def test_query_with_its_own_parameters(spark, tmp_path):
     want = [(i, len((t or "").encode()), len(model.encode(t or ""))) for i, t in zip([*range(8), -1], texts)]
     assert got == sorted((*x, x[2] > 4096) for x in want)
     assert {x[3] for x in got} == {True, False}
+
+
+def test_a_huge_text_is_cut_once():
+    """50 MB in seconds: every character, in chunks that overlap."""
+    text = "".join(chr(97 + k % 26) for k in range(1000)) * 50_000
+    began, end, n = time.time(), 0, 0
+    batch = pa.RecordBatch.from_arrays([pa.array(["k"]), pa.array([text])], ["key", "text"])
+    for rows in token_counts.cutting(token_counts.CHUNK, token_counts.OVERLAP)([batch]):
+        for place, start, part in zip(*(rows.column(c).to_pylist() for c in ("n", "start", "text"))):
+            assert place == n and start == max(0, end - token_counts.OVERLAP) and part == text[start : start + token_counts.CHUNK]
+            end, n = start + len(part), n + 1
+    assert end == len(text) and time.time() - began < 10
