@@ -8,7 +8,8 @@ on the sample: centroids of one half of it score the other half, whole and cut s
 letters, doubling) gets MARGIN times the QUANTILE of those cosines. Bands with fewer than ENOUGH texts have no bound
 but ``least``.
 
-The model is fitted on a bounded sample of labelled rows: about SAMPLE per language, those whose id hashes lowest.
+The model is fitted on a bounded sample of labelled rows: about SAMPLE per language, those whose id and text hash
+lowest (equal rows count once), and MOST times as many at most.
 k-means runs in one Spark task per language over that sample, and the model (languages x clusters x DIMENSIONS
 floats) is bounded too. Prediction is a map over all rows.
 
@@ -25,13 +26,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import common
 
 DIMENSIONS, CLUSTERS, LEAST = 4096, 4, 0.05
 #: Labelled rows per language that the model is fitted on, about.
-SAMPLE = 1500
+SAMPLE, MOST = 1500, 2
 #: Of the cosines of a language's own texts in a band of lengths, this share may lie below the bound over MARGIN.
 QUANTILE, MARGIN, ENOUGH = 0.01, 0.75, 50
 #: Bands are [EDGES[i], EDGES[i + 1]) letters; texts shorter than the first edge have no bound but ``least``.
@@ -107,14 +109,27 @@ def bounded_slices(batch: pa.RecordBatch):
             yield part.slice(a, 512)
 
 
-def fit(labelled: DataFrame, clusters: int = CLUSTERS, sample: int = SAMPLE) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Fits on about ``sample`` rows (doc_id, text, lang) per language: the centroids' languages, centroids, idf, and bounds by band."""
-    rows = labelled.select("doc_id", "text", "lang", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int").alias("half")).filter("text IS NOT NULL AND lang IS NOT NULL")
+def sampled(labelled: DataFrame, sample: int = SAMPLE) -> DataFrame | None:
+    """(lang, text, half): about ``sample`` rows of each language, MOST times as many at most, whatever their ids; None without any row.
+
+    Rows (doc_id, text, lang) are drawn by a hash of id and text; those that are alike draw alike and count once.
+    """
+    half = F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text")), F.lit("half")), F.lit(2)).cast("int")
+    rows = labelled.select("doc_id", "text", "lang", half.alias("half")).filter("text IS NOT NULL AND lang IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
-        return [], np.zeros((0, DIMENSIONS), np.float32), np.ones(DIMENSIONS), np.zeros((0, len(EDGES) + 1))
+        return None
     share = F.create_map(*[F.lit(v) for k, n in sorted(sizes.items()) for v in (k, min(1.0, sample / n))])
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    rows = rows.withColumn("drawn", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)).filter(F.col("drawn") < share[F.col("lang")])
+    order = W.partitionBy("lang").orderBy("drawn", "doc_id", "text")
+    return rows.dropDuplicates(["lang", "drawn", "doc_id", "text"]).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= MOST * sample).select("lang", "text", "half")
+
+
+def fit(labelled: DataFrame, clusters: int = CLUSTERS, sample: int = SAMPLE) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Fits on a sample (doc_id, text, lang) of each language: the centroids' languages, centroids, idf, and bounds by band."""
+    rows = sampled(labelled, sample)
+    if rows is None:
+        return [], np.zeros((0, DIMENSIONS), np.float32), np.ones(DIMENSIONS), np.zeros((0, len(EDGES) + 1))
 
     def count(batches):
         for batch in batches:
@@ -132,7 +147,7 @@ def fit(labelled: DataFrame, clusters: int = CLUSTERS, sample: int = SAMPLE) ->
         bags = [np.minimum(counts[k], 65535).astype(np.uint16).tobytes() for k in keep]
         return pa.RecordBatch.from_arrays([lang.take(pa.array(keep)), pa.array(bags, pa.binary()), pa.array(letters[keep], pa.int64()), half.take(pa.array(keep))], ["lang", "counts", "letters", "half"])
 
-    picked = common.written(rows.filter(part < share[F.col("lang")]).mapInArrow(count, "lang string, counts binary, letters long, half int"), "language-sample")
+    picked = common.written(rows.mapInArrow(count, "lang string, counts binary, letters long, half int"), "language-sample")
 
     def frequencies(batches):  # texts in all as slot -1
         seen = np.zeros(DIMENSIONS + 1, np.int64)

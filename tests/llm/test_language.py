@@ -1,6 +1,8 @@
 import random
 import string
 
+from pyspark.sql import functions as F
+
 from tallybridge.llm import language
 
 from .conftest import frame
@@ -16,6 +18,17 @@ def test_odd_rows(spark):
     assert all(got[k].rejected and got[k].score == 0 for k in (2, 3, 4)) and got[5].lang_pred in ("en", "fr")
 
 
+def test_the_sample_is_bounded(spark):
+    """Half of the ids are null, one row holds a third of the table: a language's sample stays within its bound."""
+    texts = [f"text {k}" for k in range(6000)] + ["the same"] * 3000
+    ids = [None if k % 2 else k for k in range(6000)] + [None] * 3000
+    rows = frame(spark, texts, ids=ids).withColumn("lang", F.lit("en"))
+    some = language.sampled(rows, 100).collect()
+    assert 40 <= len(some) <= 200 and len({r.text for r in some}) == len(some)
+    assert sum(int(r.text.split()[-1]) % 2 for r in some if r.text != "the same") > 10  # null ids are drawn, too
+    assert language.sampled(frame(spark, ["same"] * 900, ids=[None] * 900), 10).count() <= 1
+
+
 def test_nothing_to_learn_from(spark):
     model = language.fit(frame(spark, ["a"]).limit(0))
     assert [r.lang_pred for r in language.predicted(frame(spark, ["a b", None]), model).collect()] == ["und", "und"]
