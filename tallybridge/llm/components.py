@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import mix, slices, written
+from .divergence import MAP_BITS, bit_map
 
 #: Nodes of a bucket whose pairs are proposed at once.
 SMALL = 16
@@ -148,8 +149,8 @@ def size_class(sizes: np.ndarray) -> np.ndarray:
 def listings(x: np.ndarray, centre: np.ndarray, name: np.uint64, shared: np.ndarray, least: float) -> tuple[np.ndarray, ...]:
     """Where the prefix index lists a set.
 
-    shared: keys of the elements that the centre lacks and another set of the family has, rarest first; elements that no
-    other set has come before them and are not listed. Returns keys, what is left from there on of their kind (lacking
+    shared: keys of the elements that the centre lacks and a pair in question may share, rarest first; the others that it
+    lacks come before them and are not listed. Returns keys, what is left from there on of their kind (lacking
     or the centre's), what follows of the other kind, classes of partner sizes, and the set's own class.
     """
     n, ratio, own = len(x), (1 + least) / least, np.isin(x, centre, assume_unique=True)
@@ -172,21 +173,36 @@ def _family_names(column: pa.Array) -> np.ndarray:
 
 
 def lacking_elements(families: DataFrame, sets: DataFrame, decode: Decode) -> DataFrame:
-    """(node, centre, shared): keys of the elements that the centre lacks and two or more sets of the family have, rarest first."""
-    kind = families.schema["node"].dataType.simpleString()
+    """(node, centre, shared): keys of the elements that the centre lacks and two or more sets of the family have, one of them of a minor node; rarest first.
 
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch, "x", 1 << 18):
-                name, keys = _family_names(part.column("centre")), [np.zeros(0, np.uint64)]
-                for k, (x, y) in enumerate(zip(_decoded(part.column("x"), decode), _decoded(part.column("y"), decode))):
-                    keys.append(mix(np.setdiff1d(x, y, assume_unique=True) ^ name[k]))
-                of = pa.array(np.repeat(np.arange(part.num_rows), [len(x) for x in keys[1:]]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), part.column("node").take(of), part.column("centre").take(of)], ["key", "node", "centre"])
+    Minor nodes' elements are told first. Those of the others are told only where a bounded bit map of the former has
+    them, so a large family of one component and a few more sends little.
+    """
+    kind = families.schema["node"].dataType.simpleString()
 
-    lacking = written(beside_centres(families.select("node", "centre"), sets).mapInArrow(run, f"key long, node {kind}, centre {kind}"), "lacking")
-    often = lacking.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    listed = lacking.join(often, "key").groupBy("node", "centre").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("shared"))
+    def told(known):
+        def run(batches):
+            bits = None if known is None else np.unpackbits(np.frombuffer(known.value, np.uint8), bitorder="little")
+            for batch in batches:
+                for part in slices(batch, "x", 1 << 18):
+                    name, keys = _family_names(part.column("centre")), [np.zeros(0, np.uint64)]
+                    for k, (x, y) in enumerate(zip(_decoded(part.column("x"), decode), _decoded(part.column("y"), decode))):
+                        own = mix(np.setdiff1d(x, y, assume_unique=True) ^ name[k])
+                        keys.append(own if bits is None else own[bits[(own & np.uint64((1 << MAP_BITS) - 1)).astype(np.int64)] > 0])
+                    of = pa.array(np.repeat(np.arange(part.num_rows), [len(x) for x in keys[1:]]))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), part.column("node").take(of), part.column("centre").take(of)], ["key", "node", "centre"])
+
+        return run
+
+    def of(minor: bool, known) -> DataFrame:
+        some = families.filter(F.col("minor") == minor).select("node", "centre")
+        return beside_centres(some, sets).mapInArrow(told(known), f"key long, node {kind}, centre {kind}").withColumn("minor", F.lit(minor))
+
+    few = written(of(True, None), "lacking")
+    known = families.sparkSession.sparkContext.broadcast(bit_map(few.select(F.col("key").alias("digest"))))
+    lacking = few.unionByName(written(of(False, known), "lacking"))
+    often = lacking.groupBy("key").agg(F.count("*").alias("n"), F.bool_or("minor").alias("minor")).filter("n > 1 AND minor").drop("minor")
+    listed = lacking.drop("minor").join(often, "key").groupBy("node", "centre").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("shared"))
     return listed.select("node", "centre", F.col("shared.key").alias("shared"))
 
 
