@@ -120,6 +120,7 @@ def d(x: str) -> str:
 
 
 def r(x: str, places: int = 2) -> str:
+    """Rounded from eight decimal digits: of 15 that a double holds, amounts of up to 10^7 leave eight behind the point; more would show its binary tail."""
     return f"CAST(round(CAST(CAST({x} AS DOUBLE) AS DECIMAL(38, 8)), {places}) AS DOUBLE)"
 
 
@@ -133,7 +134,7 @@ def share(col: str, *within: str, places: int = 2) -> str:
 
 
 def mean(x: str) -> str:
-    """Of amounts that are not negative, by whole numbers: cents, half up."""
+    """Of amounts that are not negative, as all reserves and absolute gaps here are (half up is half away from zero for them), by whole numbers: cents."""
     return f"CASE WHEN count({x}) = 0 THEN NULL ELSE CAST((2 * CAST(sum({x}) * 100 AS HUGEINT) + count({x})) // (2 * count({x})) AS DOUBLE) / 100 END"
 
 
