@@ -272,3 +272,14 @@ def test_all_tables_come_from_one_scan(spark):
     for found in (analyses.full_analysis(wide), analyses.collected_analyses(wide)):
         for table in found.values():
             assert {x.rsplit("/", 2)[-2].rsplit("-", 1)[0] for x in table.inputFiles()} == {"facts"}
+
+
+def test_sketch_estimates_do_not_depend_on_orders_and_parts(spark):
+    """One whole sketch, in two orders, and parts of it that are merged; sketches of few rows among them."""
+    ids = spark.range(20_000).select(
+        F.col("id").cast("string").alias("inv_person_id"), F.lit(DAY).alias("inv_birth_date"), F.lit(DAY).alias("inv_event_date"), F.lit(60).alias("inv_coverage"),
+        F.lit("MATCH_EXACT").alias("recon_label"), F.when(F.col("id") < 30, "few").when(F.col("id") < 700, "some").otherwise((F.col("id") % 3).cast("string")).alias("run"),
+    )
+    whole = [ids.coalesce(1).sort(order) for order in ("inv_person_id", F.desc("inv_person_id"))]
+    found = [analyses.merged_identities(x).first().identities for x in (*[analyses.identity_sketches(df) for df in whole], analyses.identity_sketches(ids, "run"), analyses.identity_sketches(ids.repartition(7)))]
+    assert len(set(found)) == 1 and abs(found[0] - 20_000) <= 600
