@@ -1,6 +1,7 @@
 """The cascade's modes on rows that share keys on both sides, against SQL; its plan; and persons with very many rows."""
 
 import random
+import re
 
 import duckdb
 import pytest
@@ -90,3 +91,15 @@ def test_sketch_finds_hot_persons(spark):
     df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("p"))
     found = df.select(F.call_function("approx_top_k", F.col("p"), F.lit(8), F.lit(64)).alias("x")).first().x
     assert found[0]["item"] == "hot" and found[0]["count"] >= 10_000
+
+
+@pytest.mark.parametrize("mode", ["row", "nearest", "one"])
+def test_rows_are_dealt_into_parts_by_their_number(spark, monkeypatch, mode):
+    """A task's rows do not grow with the input, whatever number of shuffle partitions is set, and adaptive execution joins none."""
+    monkeypatch.setattr(waterfall, "TASK_ROWS", 100, raising=False)
+    plans, cut = [], waterfall.cut
+    monkeypatch.setattr(waterfall, "cut", lambda df, name="cut": (plans.append(df._jdf.queryExecution().executedPlan().toString()), cut(df, name))[1])
+    run = waterfall.cascade(fixtures.ledger(spark, SF), fixtures.inventory(spark, SF), Recon(**MODES[mode]))
+    parts = -(-sum(n for _, n, _ in run.counts) // 100)
+    dealt = [re.findall(r"hashpartitioning\(person#\d+, birth#\d+, (\d+)\), (\w+)", plan) for plan in plans[1:]]
+    assert parts > 20 and all(found == [(str(parts), "REPARTITION_BY_NUM")] for found in dealt)
