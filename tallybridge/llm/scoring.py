@@ -5,14 +5,14 @@ The model is interpolated. A word w after v has p2(w | v) = (n(v, w) + MASS * p1
 t is the number of different words seen after u and v; if u, v was not seen, p2. The first token of a text has p2 after
 a start mark, which also comes before the first word for the second token.
 
-Groups of documents send their distinct words with training counts to hash buckets, which sum and answer them. Then
+Groups of documents send their distinct words with training counts to hash buckets, which sum and number them. Then
 they send their distinct pairs, each with the words that follow it, to the shard of the pair's first word. A shard sums
 the training counts, builds its part of the trie, and answers every pair and triple of every group; so each shard is
 built and read once, and no task holds more than one shard. A word that is very frequent is split into parts by the
 hashes of the words after it, so no shard has it alone.
 
 A shard's trie has three levels in one memory-mapped file: first words (hashes), pairs (the place of the first word,
-then 40 bits of the second word's hash) and triples (the place of the pair, then 32 bits of the third word's hash); all are
+then the second word's number) and triples (the place of the pair, then the third word's number); all are
 monotone and kept as Elias-Fano sequences, as are the pointers from each level to where its successors start in the
 next. Beside pairs and triples lie 16-bit codes of their shares, and beside pairs the weight that is left to shorter
 contexts. A lookup goes down by first word, pair and triple, each time among the successors of the context it has found.
@@ -20,8 +20,10 @@ Opened, a sequence takes its file's size and two 32-bit counts for each 64 bits
 
 ``scored`` can keep the shards as a table (one row each), which ``scored_by`` reads to score other documents later.
 
-Words of one context that agree in 40 (pairs) or 32 (triples) hash bits are taken for one: a word that was never seen after a
-pair with F followers is taken for one of them with probability F / 2^32. First words are told by 63 bits.
+A word's number is its bucket, then how many trained words of the bucket have smaller hashes, doubled, and one if it is trained
+itself. Numbers are exact for trained words and ascend with the hashes; words that training lacks have even numbers, which no
+pair of the trie has. They have a few bits more than the trained words' count needs, where hashes that tell words
+apart would be twice as long. Words themselves are told by 64 bits of their hashes, first words by 63.
 
 Cases: a null text is empty: one end token after the start. Rows with a null doc_id are scored, and train. Without
 training tokens only the unknown-word share is left (N = 0, V = 0). Repeated rows count and score one by one.
@@ -48,7 +50,7 @@ MASS, ADDED, DISCOUNT = 60.0, 0.1, 0.75
 PART_TOKENS = 1 << 20
 #: Code of a share p: STEP * -log10 p. NONE: no such successor. WHOLE: code of the weight 1.
 STEP, NONE, WHOLE = 4096, 65535, 65535
-WORD_BITS, THIRD_BITS = 40, 32
+WORD_BITS, THIRD_BITS = 38, 38
 END, START = xxhash.xxh3_64_intdigest(b""), xxhash.xxh3_64_intdigest(b"\n")
 
 
@@ -292,26 +294,48 @@ def send_words(bits: int):
     return run
 
 
+def numbered(known: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes' numbers within their bucket, and which of them are known; known: the bucket's trained hashes, ascending."""
+    at = np.searchsorted(known, hashes)
+    there = at < len(known)
+    there[there] = known[at[there]] == hashes[there]
+    return (2 * at + there).astype(np.uint64), there
+
+
+def told_words(count: np.ndarray, number: np.ndarray) -> bytes:
+    """Counts and numbers of a group's words in a bucket, in the order of their hashes: numbers ascend."""
+    return planes(count, np.diff(number, prepend=np.uint64(0)).astype(np.uint32))
+
+
 def answer_words(keys, table):
-    """Each group's hashes' total counts, in its order; and a row of group -1 with the bucket's tokens and types."""
+    """Each group's hashes' total counts and numbers, in its order; and a row of group -1 with the bucket's tokens and types."""
     of, hashes, counts = groups.gathered(table, np.uint64)
     distinct, back = np.unique(hashes, return_inverse=True)
     total = np.zeros(len(distinct), np.uint64)
     np.add.at(total, back, counts)
+    number, _ = numbered(distinct[total > 0], distinct)
     cuts = [0, *(np.flatnonzero(np.diff(of)) + 1), len(of)] if len(of) else [0]
-    rows = [(int(of[a]), planes(total[back[a:b]]), 0, 0) for a, b in zip(cuts[:-1], cuts[1:])]
+    rows = [(int(of[a]), told_words(total[back[a:b]], number[back[a:b]]), 0, 0) for a, b in zip(cuts[:-1], cuts[1:])]
     rows.append((-1, b"", int(total.sum()), int((total > 0).sum())))
     columns = list(zip(*rows))
     bucket = [keys[0].as_py()] * len(rows)
     return pa.table([pa.array(bucket, pa.int32()), pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64())], ["bucket", "grp", "payload", "tokens", "types"])
 
 
-def told_counts(group: Group, told: pa.Table) -> np.ndarray:
-    """The training counts of a group's words, from its answers; the start counts as often as the end."""
-    told = told.sort_by("bucket")
-    n_of = np.concatenate([of_planes(np.frombuffer(x.as_buffer(), np.uint8), len(x.as_buffer()) // 8, np.uint64)[0] for x in told.column("payload")])
+def told_counts(group: Group, told: pa.Table, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The training counts and numbers of a group's words, from its answers; the start counts as often as the end."""
+    told, counts, numbers = told.sort_by("bucket"), [], []
+    for bucket, payload in zip(told.column("bucket").to_pylist(), told.column("payload")):
+        data = np.frombuffer(payload.as_buffer(), np.uint8)
+        count, gap = of_planes(data, len(data) // 12, np.uint64, np.uint32)
+        counts.append(count)
+        number = np.cumsum(gap, dtype=np.uint64)
+        if len(number) and int(number[-1]) >> WORD_BITS - bits:
+            raise OverflowError(f"bucket {bucket} has more words than {WORD_BITS - bits} bits can number")
+        numbers.append(np.uint64(bucket << WORD_BITS - bits) + number)
+    n_of = np.concatenate(counts)
     n_of[group.start] = n_of[group.end]
-    return n_of
+    return n_of, np.concatenate(numbers)
 
 
 def share(n_of: np.ndarray, tokens: int, types: int) -> np.ndarray:
@@ -323,12 +347,12 @@ def send_grams(bits: int, counting: bool = True):
 
     def run(keys, table, told):
         group = Group(table)
-        n_of = told_counts(group, told)
+        n_of, number = told_counts(group, told, bits)
         g = group.grams(n_of)
         train = group.train & counting
         counts = np.bincount(g.back[train], minlength=len(g.part)).astype(np.uint32)
         counts3 = np.bincount(g.back3[train[g.at]], minlength=len(g.pair)).astype(np.uint32)
-        word, third = group.hashes[g.word] >> np.uint64(64 - WORD_BITS), (group.hashes[g.third] >> np.uint64(64 - THIRD_BITS)).astype(np.uint32)
+        word, third = number[g.word], number[g.third]
         below = np.searchsorted(g.pair, np.arange(len(g.part) + 1))
         followers = np.diff(below).astype(np.uint32)
         bucket = (g.part >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(g.part), np.int64)
@@ -366,7 +390,7 @@ class Sent:
             first, n_first, successors = groups.unpack(data[24 : 24 + size], np.uint64, np.uint32)
             word, count, followers = of_planes(data[24 + size :], n, np.uint64, np.uint32, np.uint32)
             word = summed(word, np.cumsum(successors) - successors)
-            third, count3 = of_planes(data[24 + size + 16 * n :], n3, np.uint32, np.uint32)
+            third, count3 = of_planes(data[24 + size + 16 * n :], n3, np.uint64, np.uint32)
             parts.append((np.repeat(first, successors), np.repeat(n_first, successors), word, count, np.repeat(np.arange(pairs, pairs + n), followers), third, count3))
             sizes.append((n, n3))
             pairs += n
@@ -408,7 +432,7 @@ def coded(share_of: np.ndarray) -> np.ndarray:
 def answers(sent: Sent, trie: Trie) -> list[bytes]:
     """For each group the codes and weights of its pairs, and the codes of its triples."""
     place, code, weight = trie.lookup(sent.first, sent.word)
-    code3 = trie.lookup3(place[sent.pair], sent.third.astype(np.uint64))
+    code3 = trie.lookup3(place[sent.pair], sent.third)
     rows, at, at3 = [], 0, 0
     for n, n3 in sent.sizes:
         rows.append(squeezed(np.array([n, n3], np.int64).tobytes() + planes(code[at : at + n], weight[at : at + n]) + planes(code3[at3 : at3 + n3])))
@@ -439,11 +463,11 @@ def answer_by(keys, table, shard):
     return pa.table([table.column("bucket"), table.column("grp"), pa.array(answers(sent, Trie(mapped(data))), pa.binary())], ["bucket", "grp", "payload"])
 
 
-def score_group(mass: float, tokens: int, types: int):
+def score_group(mass: float, tokens: int, types: int, bits: int):
     def run(keys, table, told):
         group = Group(table)
         kind = told.column("kind").to_numpy()
-        n_of = told_counts(group, told.filter(pa.array(kind == 0)))
+        n_of, _ = told_counts(group, told.filter(pa.array(kind == 0)), bits)
         g = group.grams(n_of)
         got = []
         for payload in told.filter(pa.array(kind == 1)).sort_by("bucket").column("payload"):
@@ -484,7 +508,7 @@ def scored(docs: DataFrame, train, mass: float = MASS, carry: list[str] | None =
         _words(by_group, bits).write.parquet(f"{model_path}/words")
         docs.sparkSession.createDataFrame([(bits, tokens, types, mass)], "bits int, tokens long, types long, mass double").write.parquet(f"{model_path}/sizes")
         told = told.filter("grp >= 0")
-    return _scores(base, by_group, words, told, mass, tokens, types)
+    return _scores(base, by_group, words, told, mass, tokens, types, bits)
 
 
 def scored_by(docs: DataFrame, model_path: str, carry: list[str] | None = None) -> DataFrame:
@@ -497,7 +521,7 @@ def scored_by(docs: DataFrame, model_path: str, carry: list[str] | None = None)
     words = common.written(words, "word-counts").select("grp", "bucket", "payload", F.lit(0).alias("kind"))
     sent = by_group.cogroup(words.groupBy("grp")).applyInArrow(send_grams(bits, False), groups.MESSAGE)
     told = sent.groupBy("bucket").cogroup(read("shards").groupBy("bucket")).applyInArrow(answer_by, groups.MESSAGE)
-    return _scores(base, by_group, words, told, mass, tokens, types)
+    return _scores(base, by_group, words, told, mass, tokens, types, bits)
 
 
 def _dealt(docs: DataFrame, train, carry: list[str] | None) -> tuple[DataFrame, DataFrame, int]:
@@ -507,10 +531,10 @@ def _dealt(docs: DataFrame, train, carry: list[str] | None) -> tuple[DataFrame,
     return base, groups.packed_rows(base).groupBy("grp"), chars
 
 
-def _scores(base: DataFrame, by_group, words: DataFrame, told: DataFrame, mass: float, tokens: int, types: int) -> DataFrame:
+def _scores(base: DataFrame, by_group, words: DataFrame, told: DataFrame, mass: float, tokens: int, types: int, bits: int) -> DataFrame:
     told = words.unionByName(told.select("grp", "bucket", "payload", F.lit(1).alias("kind")))
     kind = base.schema["row"].dataType.simpleString()
-    out = by_group.cogroup(told.groupBy("grp")).applyInArrow(score_group(mass, tokens, types), f"row {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    out = by_group.cogroup(told.groupBy("grp")).applyInArrow(score_group(mass, tokens, types, bits), f"row {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.select("row.*", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
@@ -528,13 +552,15 @@ def _words(by_group, bits: int) -> DataFrame:
 
 
 def answer_words_by(keys, table, kept):
-    """Each group's words' counts in a model that was kept, in the group's order."""
+    """Each group's words' counts and numbers in a model that was kept, in the group's order."""
     known, total = groups.unpack(kept.column("payload")[0].as_buffer(), np.uint64) if kept.num_rows else (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
     rows = []
     for payload in table.column("payload"):
         hashes, _ = groups.unpack(payload.as_buffer(), np.uint64)
-        at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
-        rows.append(planes(np.where(known[at] == hashes, total[at], np.uint64(0)) if len(known) else np.zeros(len(hashes), np.uint64)))
+        number, there = numbered(known, hashes)
+        count = np.zeros(len(hashes), np.uint64)
+        count[there] = total[number[there] >> np.uint64(1)]
+        rows.append(told_words(count, number))
     return pa.table([table.column("bucket"), table.column("grp"), pa.array(rows, pa.binary())], ["bucket", "grp", "payload"])
 
 

@@ -136,3 +136,17 @@ def test_steps():
     assert len(scoring.summed(np.zeros(0, np.uint64), np.zeros(0, np.int64))) == 0
     data = bytes(range(256)) * 9
     assert scoring.unsqueezed(pa.py_buffer(scoring.squeezed(data))).tobytes() == data
+
+
+def test_words_are_told_by_exact_numbers():
+    """Numbers ascend with hashes, are odd and distinct for trained words, and even for others; hash bits as such are not sent."""
+    known = np.array([5, 9, 12], np.uint64)
+    number, there = scoring.numbered(known, np.array([3, 5, 6, 9, 10, 11, 12, 13], np.uint64))
+    assert number.tolist() == [0, 1, 2, 3, 4, 4, 5, 6] and there.tolist() == [False, True, False, True, False, False, True, False]
+    assert scoring.numbered(known[:0], known)[0].tolist() == [0, 0, 0]
+    count = np.arange(8, dtype=np.uint64)
+    told = pa.table({"bucket": [1, 0], "payload": [scoring.told_words(count, number), scoring.told_words(count[:2], number[:2])]})
+    group = type("G", (), {"start": 0, "end": 1})
+    got, numbers = scoring.told_counts(group, told, 3)
+    assert got[1:].tolist() == [1, 0, 1, 2, 3, 4, 5, 6, 7] and got[0] == 1
+    assert numbers.tolist() == [0, 1, *((1 << scoring.WORD_BITS - 3) + number.astype(int)).tolist()]
