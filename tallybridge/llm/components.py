@@ -24,6 +24,7 @@ components are those of all similar pairs of the buckets.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -31,8 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import groups
 from .common import mix, slices, written
-from .divergence import MAP_BITS, bit_map
+from .divergence import MAP_BITS
 
 #: Nodes of a bucket whose pairs are proposed at once.
 SMALL = 16
@@ -176,7 +178,8 @@ def lacking_elements(families: DataFrame, sets: DataFrame, decode: Decode) -> Da
     """(node, centre, shared): keys of the elements that the centre lacks and two or more sets of the family have, one of them of a minor node; rarest first.
 
     Minor nodes' elements are told first. Those of the others are told only where a bounded bit map of the former has
-    them, so a large family of one component and a few more sends little.
+    them, so a large family of one component and a few more sends little. What is told is one row for each slice of nodes; a
+    slice asks each hash bucket with one binary row of distinct keys how often they occur, and is answered likewise.
     """
     kind = families.schema["node"].dataType.simpleString()
 
@@ -185,25 +188,103 @@ def lacking_elements(families: DataFrame, sets: DataFrame, decode: Decode) -> Da
             bits = None if known is None else np.unpackbits(np.frombuffer(known.value, np.uint8), bitorder="little")
             for batch in batches:
                 for part in slices(batch, "x", 1 << 18):
-                    name, keys = _family_names(part.column("centre")), [np.zeros(0, np.uint64)]
+                    name, keys = _family_names(part.column("centre")), []
                     for k, (x, y) in enumerate(zip(_decoded(part.column("x"), decode), _decoded(part.column("y"), decode))):
                         own = mix(np.setdiff1d(x, y, assume_unique=True) ^ name[k])
-                        keys.append(own if bits is None else own[bits[(own & np.uint64((1 << MAP_BITS) - 1)).astype(np.int64)] > 0])
-                    of = pa.array(np.repeat(np.arange(part.num_rows), [len(x) for x in keys[1:]]))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), part.column("node").take(of), part.column("centre").take(of)], ["key", "node", "centre"])
+                        keys.append(own if bits is None else own[bits[_place(own)] > 0])
+                    some = pa.array([k for k, own in enumerate(keys) if len(own)], pa.int64())
+                    if len(some):
+                        of = lambda c: pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), c.take(some))
+                        distinct = len(np.unique(np.concatenate(keys)))
+                        yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), of(part.column("node")), of(part.column("centre")), of(pa.array([own.tobytes() for own in keys], pa.binary())), pa.array([distinct], pa.int64())], ["slice", "nodes", "centres", "keys", "n"])
 
         return run
 
     def of(minor: bool, known) -> DataFrame:
         some = families.filter(F.col("minor") == minor).select("node", "centre")
-        return beside_centres(some, sets).mapInArrow(told(known), f"key long, node {kind}, centre {kind}").withColumn("minor", F.lit(minor))
-
-    few = written(of(True, None), "lacking")
-    known = families.sparkSession.sparkContext.broadcast(bit_map(few.select(F.col("key").alias("digest"))))
-    lacking = few.unionByName(written(of(False, known), "lacking"))
-    often = lacking.groupBy("key").agg(F.count("*").alias("n"), F.bool_or("minor").alias("minor")).filter("n > 1 AND minor").drop("minor")
-    listed = lacking.drop("minor").join(often, "key").groupBy("node", "centre").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("shared"))
-    return listed.select("node", "centre", F.col("shared.key").alias("shared"))
+        rows = beside_centres(some, sets).mapInArrow(told(known), f"slice string, nodes array<{kind}>, centres array<{kind}>, keys array<binary>, n long")
+        return written(rows.withColumn("minor", F.lit(minor)), "lacking")
+
+    few = of(True, None)
+    lacking = few.unionByName(of(False, families.sparkSession.sparkContext.broadcast(_map_of(few))))
+    answers = _asked(lacking).groupBy("bucket").applyInArrow(_answered, "slice string, payload binary")
+
+    def run(own, answer):
+        told = [groups.unpack(x.as_buffer(), np.uint32) for x in answer.column("payload")] if own.num_rows else []
+        known, n = (np.concatenate(c) for c in zip(*told)) if told else (np.zeros(0, np.uint64), np.zeros(0, np.uint32))
+        order = np.argsort(known)
+        known, n = known[order], n[order]
+        at, shared = [], []
+        for k, keys in enumerate(own.column("keys").combine_chunks().flatten() if len(known) else []):
+            keys = np.frombuffer(keys.as_buffer(), np.uint64)
+            place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            hit = known[place] == keys
+            keys, times = keys[hit].view(np.int64), n[place[hit]]
+            if len(keys):
+                at.append(k)
+                shared.append(keys[np.lexsort((keys, times))])
+        names = [own.column(c).combine_chunks().flatten().take(pa.array(at, pa.int64())) for c in ("nodes", "centres")]
+        return pa.table([*names, pa.array(shared, pa.list_(pa.int64()))], ["node", "centre", "shared"])
+
+    return lacking.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(run, f"node {kind}, centre {kind}, shared array<long>")
+
+
+def _place(keys: np.ndarray) -> np.ndarray:
+    """Where the bit map has keys."""
+    return (keys & np.uint64((1 << MAP_BITS) - 1)).astype(np.int64)
+
+
+def _bits(lacking: DataFrame) -> int:
+    """So many leading bits of a key's place in the map name its bucket."""
+    return min(groups.bucket_bits(lacking.agg(F.sum("n").alias("n")).first()["n"] or 0), MAP_BITS - 8)
+
+
+def _asked(lacking: DataFrame, bits: int | None = None) -> DataFrame:
+    """(bucket, slice, minor, payload): a slice's distinct keys in each bucket, ascending, and how many of its nodes have them."""
+    bits = _bits(lacking) if bits is None else bits
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                keys, counts = np.unique(np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("keys")[k].values]), return_counts=True)
+                bucket = _place(keys) >> MAP_BITS - bits
+                order = np.argsort(bucket, kind="stable")
+                keys, counts, bucket = keys[order], counts[order].astype(np.uint32), bucket[order]
+                cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(keys)]
+                rows = [groups.pack(keys[a:b], counts[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+                own = lambda c: pa.array([batch.column(c)[k].as_py()] * len(rows))
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]], pa.int32()), own("slice"), own("minor"), pa.array(rows, pa.binary())], ["bucket", "slice", "minor", "payload"])
+
+    return lacking.select("slice", "minor", "keys").mapInArrow(run, "bucket int, slice string, minor boolean, payload binary")
+
+
+def _answered(keys, table):
+    """Tells each slice which of its keys two or more nodes have, one of them minor, and how many."""
+    told = [groups.unpack(x.as_buffer(), np.uint32) for x in table.column("payload")]
+    values, counts = (np.concatenate(c) for c in zip(*told))
+    sizes = np.array([len(x) for x, _ in told])
+    minor = np.repeat(table.column("minor").to_numpy().astype(bool), sizes)
+    _, back = np.unique(values, return_inverse=True)
+    times = np.bincount(back, weights=counts).astype(np.uint32)[back]
+    good = (times > 1) & (np.bincount(back, weights=minor) > 0)[back]
+    ends = np.cumsum(sizes)
+    rows = [(name, groups.pack(values[a:b][good[a:b]], times[a:b][good[a:b]])) for name, a, b in zip(table.column("slice").to_pylist(), ends - sizes, ends) if good[a:b].any()]
+    return pa.table([pa.array([x[0] for x in rows], pa.string()), pa.array([x[1] for x in rows], pa.binary())], ["slice", "payload"])
+
+
+def _map_of(lacking: DataFrame) -> bytes:
+    """A map of MAP_BITS bits with those of the keys set; each bucket fills its own range of it."""
+    bits = _bits(lacking)
+    width = 1 << MAP_BITS - bits
+
+    def run(keys, table):
+        part = np.zeros(width, np.uint8)
+        for payload in table.column("payload"):
+            part[_place(groups.unpack(payload.as_buffer(), np.uint32)[0]) - (keys[0].as_py() << MAP_BITS - bits)] = 1
+        return pa.table([pa.array([keys[0].as_py()], pa.int32()), pa.array([np.packbits(part, bitorder="little").tobytes()], pa.binary())], ["bucket", "bits"])
+
+    found = {x.bucket: x.bits for x in _asked(lacking, bits).groupBy("bucket").applyInArrow(run, "bucket int, bits binary").collect()}
+    return b"".join(bytes(found.get(k, bytes(width // 8))) for k in range(1 << bits))
 
 
 def indexed_pairs(families: DataFrame, sets: DataFrame, decode: Decode, least: float) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tallybridge.llm import components, near_copies
@@ -135,3 +136,24 @@ def test_family_of_many_variants(spark):
     proposed = {(x.a, x.b) for x in components.indexed_pairs(families, with_base, sets_of(sets), 0.8).collect()}
     assert {p for p in alike if not near.issuperset(p)} <= proposed
     assert not any(near.issuperset(p) for p in proposed) and len(proposed) < 10 * len(names)
+
+
+def test_lacking_elements_are_told_by_slices(spark, monkeypatch):
+    """A row for each slice of nodes and not for each element; what is shared equals a count over all sets."""
+    r, rows, written = random.Random(7), [], components.written
+    monkeypatch.setattr(components, "written", lambda df, name: (out := written(df, name), rows.append((name, out.count())))[0])
+    sets = {k: sorted(set(r.sample(range(100), 80)) | {r.choice([200 + r.randint(0, 30), 10_000 + k]) for _ in range(20)}) for k in range(300)}
+    sets |= {1000: list(range(100)), **{2000 + k: [*range(90), 200 + k] for k in range(40)}}
+    same = spark.createDataFrame([(k, " ".join(map(str, v))) for k, v in sets.items()], "node long, thing string").coalesce(1)
+    families = spark.createDataFrame([(k, 1000, k < 300) for k in sets if k != 1000], "node long, centre long, minor boolean").coalesce(1)
+    got = {x.node: x.shared for x in components.lacking_elements(families, same, sets_of(sets)).collect()}
+    lacks = {k: set(v) - set(range(100)) for k, v in sets.items() if k != 1000}
+    often = {e: sum(e in v for v in lacks.values()) for e in {e for k, v in lacks.items() if k < 300 for e in v}}
+    want = {k: sorted(often[e] for e in v if often.get(e, 0) > 1) for k, v in lacks.items()}
+    assert {k: len(v) for k, v in got.items()} == {k: len(v) for k, v in want.items() if v}
+    key, name = {}, components._family_names(pa.array([1000]))[0]
+    for e in often:
+        key[int(components.mix(np.array([e], np.uint64) ^ name).view(np.int64)[0])] = often[e]
+    assert all([key[x] for x in got[k]] == want[k] for k in got)
+    told = [n for what, n in rows if what == "lacking"]
+    assert len(told) == 2 and sum(told) < 340 < sum(map(len, lacks.values()))
