@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import groups
 from .common import mix, slices, written
-from .divergence import MAP_BITS
+from .divergence import MAP_BITS, bit_map
 
 #: Nodes of a bucket whose pairs are proposed at once.
 SMALL = 16
@@ -234,6 +234,11 @@ def _place(keys: np.ndarray) -> np.ndarray:
     return (keys & np.uint64((1 << MAP_BITS) - 1)).astype(np.int64)
 
 
+def _entry(keys: np.ndarray, side: int) -> np.ndarray:
+    """What the map of listings has for a list and the side of its rows: 0 for the smaller set of a pair, 1 for the larger one."""
+    return keys & ~np.uint64(1) | np.uint64(side)
+
+
 def _bits(lacking: DataFrame) -> int:
     """So many leading bits of a key's place in the map name its bucket."""
     return min(groups.bucket_bits(lacking.agg(F.sum("n").alias("n")).first()["n"] or 0), MAP_BITS - 8)
@@ -288,30 +293,49 @@ def _map_of(lacking: DataFrame) -> bytes:
 
 
 def indexed_pairs(families: DataFrame, sets: DataFrame, decode: Decode, least: float) -> DataFrame:
-    """Pairs (a, b, root_a, root_b) of families (node, root, centre) that a family's prefix index proposes: all similar ones are among them."""
+    """Pairs (a, b, root_a, root_b) of families (node, root, centre) that a family's prefix index proposes: all similar ones are among them.
+
+    Minor nodes are listed first. A list is met from the nodes outside the main component only, so the others are listed just
+    where a bounded bit map has an entry of a minor node that they meet.
+    """
     kind = families.schema["node"].dataType.simpleString()
 
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch, "x", 1 << 18):
-                columns: list[list[np.ndarray]] = [[] for _ in range(7)]
-                name, shared = _family_names(part.column("centre")), part.column("shared")
-                for k, (x, y) in enumerate(zip(_decoded(part.column("x"), decode), _decoded(part.column("y"), decode))):
-                    own_shared = shared[k].values.to_numpy().view(np.uint64) if shared[k].is_valid else np.zeros(0, np.uint64)
-                    key, left, after, partner, own = listings(x, y, name[k], own_shared, least)
-                    key = key + mix(np.minimum(own, partner).astype(np.uint64) * np.uint64(4096) + np.maximum(own, partner).astype(np.uint64))
-                    for column, values in zip(columns, (np.full(len(key), k), key, left, after, np.full(len(key), len(x)), own <= partner, own >= partner)):
-                        column.append(values)
-                at, key, left, after, size, smaller, larger = (np.concatenate(c) for c in columns)
-                at, counts = pa.array(at), [pa.array(c.astype(np.int32)) for c in (size, left, after)]
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), part.column("node").take(at), part.column("root").take(at), part.column("minor").take(at), *counts, pa.array(smaller), pa.array(larger)], ["key", "node", "root", "minor", "size", "left", "after", "smaller", "larger"])
+    def run_with(known):
+        def run(batches):
+            bits = None if known is None else np.unpackbits(np.frombuffer(known.value, np.uint8), bitorder="little")
+            for batch in batches:
+                for part in slices(batch, "x", 1 << 18):
+                    columns: list[list[np.ndarray]] = [[] for _ in range(7)]
+                    name, shared = _family_names(part.column("centre")), part.column("shared")
+                    for k, (x, y) in enumerate(zip(_decoded(part.column("x"), decode), _decoded(part.column("y"), decode))):
+                        own_shared = shared[k].values.to_numpy().view(np.uint64) if shared[k].is_valid else np.zeros(0, np.uint64)
+                        key, left, after, partner, own = listings(x, y, name[k], own_shared, least)
+                        key = key + mix(np.minimum(own, partner).astype(np.uint64) * np.uint64(4096) + np.maximum(own, partner).astype(np.uint64))
+                        some = (key, left, after, own <= partner, own >= partner)
+                        if bits is not None:  # smaller ones meet larger ones
+                            met = some[3] & (bits[_place(_entry(key, 1))] > 0) | some[4] & (bits[_place(_entry(key, 0))] > 0)
+                            some = [c[met] for c in some]
+                        for column, values in zip(columns, (np.full(len(some[0]), k), *some, np.full(len(some[0]), len(x)))):
+                            column.append(values)
+                    at, key, left, after, smaller, larger, size = (np.concatenate(c) for c in columns)
+                    at, counts = pa.array(at), [pa.array(c.astype(np.int32)) for c in (size, left, after)]
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), part.column("node").take(at), part.column("root").take(at), part.column("minor").take(at), *counts, pa.array(smaller), pa.array(larger)], ["key", "node", "root", "minor", "size", "left", "after", "smaller", "larger"])
+
+        return run
 
     kinds = families.groupBy("centre", "root").agg(F.count("*").alias("n")).groupBy("centre").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"))
     # a family of one component proposes nothing; in the others only pairs with a node outside its main component are open
     families = written(families.join(kinds.filter("roots > 1"), "centre").select("node", "root", "centre", (F.col("root") != F.col("main")).alias("minor")), "families")
-    ordered = families.join(lacking_elements(families, sets, decode), ["node", "centre"], "left").select("node", "root", "centre", "minor", "shared")
-    listed = beside_centres(ordered, sets).mapInArrow(run, f"key long, node {kind}, root {kind}, minor boolean, size int, left int, after int, smaller boolean, larger boolean")
-    listed = written(listed, "listings")
+    ordered = written(families.join(lacking_elements(families, sets, decode), ["node", "centre"], "left").select("node", "root", "centre", "minor", "shared"), "ordered")
+
+    def of(minor: bool, known) -> DataFrame:
+        rows = beside_centres(ordered.filter(F.col("minor") == minor), sets)
+        return written(rows.mapInArrow(run_with(known), f"key long, node {kind}, root {kind}, minor boolean, size int, left int, after int, smaller boolean, larger boolean"), "listings")
+
+    few = of(True, None)
+    sides = F.array_compact(F.array(F.when(F.col("smaller"), 0), F.when(F.col("larger"), 1)))
+    entries = few.select("key", F.explode(sides).alias("side")).select(F.col("key").bitwiseAND(F.lit(-2)).bitwiseOR(F.col("side").cast("long")).alias("digest"))
+    listed = few.unionByName(of(False, families.sparkSession.sparkContext.broadcast(bit_map(entries))))
     left = listed.filter("smaller")
     right = listed.filter("larger").select(F.col("minor").alias("other_minor"), "key", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("size").alias("other_size"), F.col("left").alias("other_left"), F.col("after").alias("other_after"), F.col("smaller").alias("level"))
     enough = F.least("left", "other_left") + F.least("after", "other_after") >= least / (1 + least) * (F.col("size") + F.col("other_size")) - 1e-6

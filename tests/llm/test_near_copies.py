@@ -157,3 +157,21 @@ def test_lacking_elements_are_told_by_slices(spark, monkeypatch):
     assert all([key[x] for x in got[k]] == want[k] for k in got)
     told = [n for what, n in rows if what == "lacking"]
     assert len(told) == 2 and sum(told) < 340 < sum(map(len, lacks.values()))
+
+
+def test_lists_that_no_minor_node_meets_are_left_out(spark, monkeypatch):
+    """Nodes of the main component are listed only where a node outside it is, too; the similar pairs across components stay."""
+    r, rows, written = random.Random(11), [], components.written
+    monkeypatch.setattr(components, "written", lambda df, name: (out := written(df, name), rows.append((name, out)))[0])
+    sets = {k: sorted({*r.sample(range(100), 95), *r.sample(range(200, 230), 3)}) for k in range(300)}
+    sets |= {1000: list(range(100)), 2000: [*range(6, 100), 200, 201], 2001: [*range(500, 590), *range(10)]}
+    same = spark.createDataFrame([(k, " ".join(map(str, v))) for k, v in sets.items()], "node long, thing string")
+    families = spark.createDataFrame([(k, k if k >= 2000 else 0, 1000) for k in sets if k != 1000], "node long, root long, centre long")
+    proposed = {(x.a, x.b) for x in components.indexed_pairs(families, same, sets_of(sets), 0.8).collect()}
+    alike = {(a, b) for a in sets for b in (2000, 2001) if a < b and a != 1000 and 10 * len(set(sets[a]) & set(sets[b])) >= 8 * len(set(sets[a]) | set(sets[b]))}
+    assert alike and alike <= proposed
+    listed = [x for name, out in rows if name == "listings" for x in out.collect()]
+    few, many = [x for x in listed if x.minor], [x for x in listed if not x.minor]
+    met = {(x.key, side) for x in few for side in ("larger", "smaller") if x["smaller" if side == "larger" else "larger"]}
+    assert 2000 in {x.node for x in few} and many
+    assert sum(any(x[side] and (x.key, side) in met for side in ("larger", "smaller")) for x in many) > 0.99 * len(many)
