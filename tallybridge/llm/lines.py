@@ -4,8 +4,8 @@ All lines that are not blank take part, however short. Groups of documents (rang
 lines: each group sends hashes of its distinct lines to hash buckets, which tell all but the smallest group. Each
 line's first occurrence then gets a MinHash signature of its character shingles (one permutation with bins; empty bins
 borrow from full ones), cut into bands. Lines that share a band are candidates; their Jaccard similarity is verified
-on whole shingle sets, and distributed union-find makes components of the pairs at or above LEAST. Of a component the
-first line by (doc_id, place) stays.
+on whole shingle sets, and distributed union-find makes components of the pairs at or above LEAST. Bands that the same
+lines share propose them once. Of a component the first line by (doc_id, place) stays.
 
 Missed pairs: a pair of similarity 0.8 shares no band with probability of about 4e-4, less above.
 
@@ -16,6 +16,8 @@ then by texts. Lines are equal if 96 bits of their hashes are. Columns of docs o
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -77,6 +79,13 @@ def line_shingles(lines: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np
     return np.repeat(np.arange(len(lines)), padded - width + 1), common.mix(found[inside])
 
 
+@functools.lru_cache(1 << 12)
+def drawn(size: int, turn: int) -> np.ndarray:
+    """The bin that each of so many bins draws in a turn."""
+    draws = common.mix(np.arange(size, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(turn))
+    return ((draws >> np.uint64(40)) * np.uint64(size) >> np.uint64(24)).astype(np.int64)
+
+
 def line_bands(lines: pa.Array, bands: int, rows: int) -> np.ndarray:
     """Band keys (lines x bands) of one-permutation MinHash signatures."""
     size, n = bands * rows, len(lines)
@@ -85,17 +94,14 @@ def line_bands(lines: pa.Array, bands: int, rows: int) -> np.ndarray:
     bins = ((found >> np.uint64(40)) * np.uint64(size) >> np.uint64(24)).astype(np.int64)
     np.minimum.at(signature, owner * size + bins, found)
     empty = np.flatnonzero(signature == EMPTY)
-    line, slot = np.divmod(empty, size)
-    was = signature.copy()
-    turn = 0
-    while len(line):  # an empty bin takes the value of a bin drawn by its own number, until that one is full
+    slot = empty % size
+    start, was, turn = empty - slot, signature.copy(), 0
+    while len(start):  # an empty bin takes the value of a bin drawn by its own number, until that one is full
         turn += 1
-        draws = common.mix(np.arange(size, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(turn))
-        source = ((draws >> np.uint64(40)) * np.uint64(size) >> np.uint64(24)).astype(np.int64)
-        taken = was[line * size + source[slot]]
+        taken = was[start + drawn(size, turn)[slot]]
         good = taken != EMPTY
-        signature[line[good] * size + slot[good]] = common.mix(taken[good] + np.uint64(turn))
-        line, slot = line[~good], slot[~good]
+        signature[start[good] + slot[good]] = common.mix(taken[good] + np.uint64(turn))
+        start, slot = start[~good], slot[~good]
     parts = signature.reshape(n, bands, rows)
     keys = np.broadcast_to(np.arange(bands, dtype=np.uint64), (n, bands)).copy()
     for k in range(rows):
@@ -134,23 +140,33 @@ def send_bands(bits: int, bands: int, rows: int):
 
 
 def shared_bands(keys, table):
-    """Of a bucket's (band key, line) messages: tells each group which of its lines share a band with another line."""
+    """Of a bucket's (band key, line) messages: tells each group which of its lines share a band with another line.
+
+    What is told is a hash of all lines that have the band key: bands that the same lines share are one key of candidates.
+    """
     of, hashes, number = groups.gathered(table, np.uint32)
     order = np.argsort(hashes, kind="stable")
     hashes = hashes[order]
     same = hashes[1:] == hashes[:-1]
     some = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(hashes) else np.zeros(0, bool)
-    return groups.replies(of[order][some], hashes[some], number[order][some])
+    of, hashes, number = of[order][some], hashes[some], number[order][some]
+    if len(hashes):
+        starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+        names = common.mix(np.add.reduceat(common.mix(of.astype(np.uint64) << np.uint64(32) | number), starts))
+        hashes = np.repeat(names, np.diff(starts, append=len(hashes)))
+    return groups.replies(of, hashes, number)
 
 
 def candidates(keys, table, told):
-    """(node, line, size, keys) of the lines of a group that share a band; node: group and number of the line; size: its shingles."""
+    """(node, line, size, keys) of the lines of a group that share a band; node: group and number of the line; size: its shingles; keys: distinct."""
     if not told.num_rows:
         return pa.table([pa.array([], pa.int64()), pa.array([], pa.string()), pa.array([], pa.int64()), pa.array([], pa.list_(pa.int64()))], ["node", "line", "size", "keys"])
     _, _, distinct, _ = lines_of(groups.rows_of(table).column("text").combine_chunks())
     _, hashes, number = groups.gathered(told, np.uint32)
-    order = np.argsort(number, kind="stable")
+    order = np.lexsort((hashes, number))
     number, hashes = number[order], hashes[order]
+    new = np.concatenate([[True], (number[1:] != number[:-1]) | (hashes[1:] != hashes[:-1])])
+    number, hashes = number[new], hashes[new]
     starts = np.flatnonzero(np.diff(number.astype(np.int64), prepend=-1))
     lists = pa.ListArray.from_arrays(pa.array([*starts, len(number)], pa.int32()), pa.array(hashes.view(np.int64)))
     nodes = (np.int64(keys[0].as_py()) << 32) + number[starts].astype(np.int64)

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallybridge.llm import groups, lines
@@ -101,3 +103,18 @@ def test_short_lines(spark):
     texts = ["Of, edti oner.\nAnd ornd.\nx\nThe quick brown fo", "And ornd.\n\nOf, edti oner.\nown", "x\n--------\n \nAnd ornd.", "---------\nThe quick brown fox\n"]
     out = got(lines.deduplicated(frame(spark, texts)))
     assert out == [(0, 4, 0, texts[0]), (1, 4, 2, "\nown"), (2, 4, 2, "--------\n "), (3, 3, 2, "")]
+
+
+def test_bands_of_the_same_lines():
+    """Bands that the same lines share are one key of candidates, so each pair is proposed once."""
+    r = random.Random(3)
+    x = "".join(r.choices("abcdefgh ", k=120))
+    texts = pa.array([x, x[:-1] + "z", x[:30] + "y" + x[31:], "".join(r.choices("abcdefgh ", k=120))])
+    bands = lines.line_bands(texts, lines.BANDS, lines.ROWS)
+    order = np.argsort(bands.ravel(), kind="stable")
+    sent = groups.messages(7, 0, bands.ravel()[order], np.repeat(np.arange(4, dtype=np.uint32), lines.BANDS)[order])
+    _, keys, number = groups.gathered(lines.shared_bands(None, sent), np.uint32)
+    got = {k: frozenset(number[keys == k].tolist()) for k in keys.tolist()}
+    sets = [frozenset(np.flatnonzero((bands == b).any(axis=1)).tolist()) for b in bands.ravel()]
+    assert sorted(got.values(), key=sorted) == sorted({s for s in sets if len(s) > 1}, key=sorted)
+    assert len({b for b, s in zip(bands.ravel().tolist(), sets) if len(s) > 1}) > len(got)
