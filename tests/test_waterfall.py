@@ -103,3 +103,13 @@ def test_rows_are_dealt_into_parts_by_their_number(spark, monkeypatch, mode):
     parts = -(-sum(n for _, n, _ in run.counts) // 100)
     dealt = [re.findall(r"hashpartitioning\(person#\d+, birth#\d+, (\d+)\), (\w+)", plan) for plan in plans[1:]]
     assert parts > 20 and all(found == [(str(parts), "REPARTITION_BY_NUM")] for found in dealt)
+
+
+def test_slim_rows_lie_in_small_files(spark, monkeypatch, tmp_path):
+    """A task that deals slim rows sorts what it reads; files of bounded rows bound that, as a task reads 32 of them at most."""
+    monkeypatch.setattr(waterfall, "TASK_ROWS", 100)
+    monkeypatch.setattr("tallybridge.plans.cut.shared_path", lambda _, name: f"{tmp_path}/{name}")
+    waterfall.cascade(fixtures.ledger(spark, SF), fixtures.inventory(spark, SF), last="MATCH_EXACT")
+    files = spark.read.parquet(f"{tmp_path}/slim-rows").groupBy(F.input_file_name()).count()
+    assert files.agg(F.max("count")).first()[0] <= 100 and files.count() > 8
+    assert spark.conf.get("spark.sql.files.maxRecordsPerFile") == "0"
